@@ -1,0 +1,48 @@
+"""Collecting the rows of a group without trusting the group to be small.
+
+An array or a joined text has to fit into one row of one task. A normal group gives one
+row, with ``part`` 0. A group above ``rows_per_part`` is spread evenly over several rows,
+``part`` 0, 1, 2, ..., and the parts together hold the whole group.
+"""
+
+from pyspark.sql import functions as F
+
+ROWS_PER_PART = 100_000
+
+
+def with_parts(df, keys, spread, rows_per_part=ROWS_PER_PART):
+    """Add ``part``. ``spread`` names columns that tell the rows of a group apart.
+
+    Group sizes come from a count that is combined map-side; only the groups that are too
+    large enter the join, and AQE broadcasts them if they are few.
+    """
+    large = (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > rows_per_part)
+        .select(*keys, F.ceil(F.col("_rows") / rows_per_part).cast("bigint").alias("_parts"))
+    )
+    part = F.pmod(F.xxhash64(*spread), F.col("_parts"))
+    return (
+        df.join(large, list(keys), "left")
+        .withColumn("part", F.coalesce(part, F.lit(0).cast("bigint")))
+        .drop("_parts")
+    )
+
+
+def collect_in_parts(df, keys, element, spread, name, rows_per_part=ROWS_PER_PART):
+    """Sorted array of ``element`` per key and part."""
+    parted = with_parts(df, keys, spread, rows_per_part)
+    return parted.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(element)).alias(name))
+
+
+def concat_values(df, key, col, sep=", ", spread=None, rows_per_part=ROWS_PER_PART):
+    """All values of a group as one text, in value order, repeats kept."""
+    parted = with_parts(df.filter(F.col(col).isNotNull()), [key], spread or [col], rows_per_part)
+    return collect_text(parted, [key, "part"], col, sep)
+
+
+def collect_text(df, keys, col, sep):
+    return df.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_list(col)), sep).alias(col)
+    )
