@@ -1,6 +1,12 @@
 """Event streams: NDJSON landing folders in, stored tables out."""
 
-from .companies import company_document_from_event, diff_companies, flatten_company, start_company_stream  # noqa: F401,E501
+from .companies import (  # noqa: F401
+    COMPANY_COLUMNS,
+    diff_companies,
+    flatten_company,
+    start_company_stream,
+    timepoint_block,
+)
 from .events import (  # noqa: F401
     backlog_age,
     dedupe_events,
@@ -12,6 +18,7 @@ from .events import (  # noqa: F401
     repair_frames,
     resume_after,
     unknown_codes,
+    with_event_key,
 )
-from .filings import describe_filings  # noqa: F401
+from .filings import describe_filings, flatten_filing  # noqa: F401
 from .runs import run_continuous, run_until_current, save_each_batch  # noqa: F401

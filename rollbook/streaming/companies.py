@@ -53,13 +53,9 @@ def flatten_company(ev):
     )
 
 
-def company_document_from_event(ev):
-    return flatten_company(ev).select(*[c for c in COMPANY_COLUMNS])
-
-
-def event_hour(published="published", timepoint="timepoint"):
-    """Time line segment of an event: a block of consecutive timepoints."""
-    return F.floor(F.col(timepoint) / 10_000)
+def timepoint_block(timepoint="timepoint", width=10_000):
+    """Time line segment of an event: a block of consecutive timepoints, so it is bounded."""
+    return F.floor(F.col(timepoint) / width)
 
 
 def diff_companies(ev, state=None, segment=None):
@@ -70,7 +66,7 @@ def diff_companies(ev, state=None, segment=None):
     before left it; the origin is compared with the one first seen. A timepoint older than
     the stored one does not change the stored company.
     """
-    segment = segment if segment is not None else event_hour()
+    segment = segment if segment is not None else timepoint_block()
     if state is None:
         state = ev.select(*COMPANY_COLUMNS).limit(0)
     stored = state.select(
@@ -136,8 +132,11 @@ def start_company_stream(events, folder, segment=None):
 
     def process(batch, batch_id):
         state = spark.read.parquet(version(batch_id - 1)) if batch_id > 0 else None
+        # the batch is read several times, but its source and its state only once
+        batch.persist()
         out, companies = diff_companies(batch, state, segment)
         companies.write.mode("overwrite").parquet(version(batch_id))
         out.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id:010d}")
+        batch.unpersist()
 
     return events.writeStream.foreachBatch(process)

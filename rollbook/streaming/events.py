@@ -1,6 +1,7 @@
 """Envelope streams: framing, parsing, duplicates, meters. All work on batches as well."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed_values import STREAM_IDS
 from ..functions import instant
@@ -26,25 +27,16 @@ def repair_frames(df):
 def parse_or_quarantine(df, schema):
     """(events, unreadable lines): a line that is not JSON never stops the run."""
     corrupt = "_corrupt_record"
-    parsed = df.select(
-        "value",
-        F.from_json(
-            "value",
-            schema.add(corrupt, "string") if corrupt not in schema.names else schema,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
-        ).alias("e"),
-    )
+    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    parsed = df.select("value", F.from_json("value", with_corrupt, options).alias("e"))
     bad = F.col("e").isNull() | F.col(f"e.{corrupt}").isNotNull()
-    names = [n for n in schema.names if n != corrupt]
-    return parsed.filter(~bad).select(*[F.col(f"e.{n}").alias(n) for n in names]), parsed.filter(
-        bad
-    ).select("value")
+    events = parsed.filter(~bad).select(*[F.col(f"e.{n}").alias(n) for n in schema.names])
+    return events, parsed.filter(bad).select("value")
 
 
-def read_events(spark, topic, folder, max_files=None):
-    """Events of one topic as a stream, with ``event_key`` and ``published``."""
-    schema = type(TOPICS[topic])(list(TOPICS[topic].fields))
-    events, _ = parse_or_quarantine(repair_frames(read_lines(spark, folder, max_files)), schema)
+def with_event_key(events, topic):
+    """Add the identifier of the topic's events and the time they were published."""
     return events.withColumns(
         {
             "event_key": F.col(STREAM_IDS[topic]),
@@ -53,6 +45,13 @@ def read_events(spark, topic, folder, max_files=None):
     )
 
 
+def read_events(spark, topic, folder, max_files=None):
+    """Readable events of one topic as a stream."""
+    lines = repair_frames(read_lines(spark, folder, max_files))
+    events, _ = parse_or_quarantine(lines, TOPICS[topic])
+    return with_event_key(events, topic)
+
+
 def dedupe_events(df, id="event_key", ts="published", delay="10 minutes"):
     """One event per id.
 
