@@ -1,5 +1,7 @@
 """Landed event files to stored events, as a stream that stops when it is up to date."""
 
+from pyspark.sql import functions as F
+
 from ..streaming import (
     COMPANY_COLUMNS,
     dedupe_events,
@@ -16,12 +18,12 @@ def load_company_events(spark, landing, folder, max_files=None, segment=None):
     """(company events, companies) stored below ``folder`` after all landed files."""
     events = flatten_company(dedupe_events(read_events(spark, "companies", landing, max_files)))
     writer = start_company_stream(events, folder, segment)
-    query = run_until_current(writer, f"{folder}/checkpoint")
-    last = query.lastProgress["batchId"] if query.lastProgress else 0
+    run_until_current(writer, f"{folder}/checkpoint")
     stored = spark.read.parquet(f"{folder}/events").drop("batch")
     versions = spark.read.parquet(f"{folder}/companies")
-    newest = versions.filter(versions.version == last).select(*COMPANY_COLUMNS)
-    return stored, newest
+    # one row, so the broadcast has a fixed size
+    newest = F.broadcast(versions.agg(F.max("version").alias("version")))
+    return stored, versions.join(newest, "version", "left_semi").select(*COMPANY_COLUMNS)
 
 
 def load_filing_events(spark, landing, folder, templates, companies=None, max_files=None):

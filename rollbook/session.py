@@ -13,6 +13,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ids and other stream state live on disk, checkpointed in the shared folder
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # a sort with a larger limit is done as a distributed sort, not in one heap
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }

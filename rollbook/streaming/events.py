@@ -52,13 +52,14 @@ def read_events(spark, topic, folder, max_files=None):
     return with_event_key(events, topic)
 
 
-def dedupe_events(df, id="event_key", ts="published", delay="10 minutes"):
-    """One event per id.
+def dedupe_events(df, id="event_key", ts="published", delay=None):
+    """One event per id, however late a repeat comes.
 
-    A stream remembers an id for ``delay`` after it was published, so the state is bounded
-    by the rate of the topic; a batch has no such limit.
+    A stream keeps the ids it has seen in its state store. With ``delay`` it forgets an id
+    that long after its event was published: the state is then bounded by the rate of the
+    topic, but events later than that are dropped.
     """
-    if df.isStreaming:
+    if df.isStreaming and delay:
         return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id])
     return df.dropDuplicates([id])
 
