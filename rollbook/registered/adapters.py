@@ -159,6 +159,15 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df):
+    """Rows over all cores where the table is a single small file that one task would read.
+
+    A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _view(spark, folder, name, *tables):
     """The shape's SQL run by Spark: table names become DataFrame arguments."""
     sql = SHAPES[name].replace("{", "{{").replace("}", "}}")
@@ -203,7 +212,7 @@ def templates(spark, folder):
 
 def facts(spark, folder):
     """The lines of orders as long account facts, all labels next to each other."""
-    items = table(spark, folder, "lineitem")
+    items = spread(table(spark, folder, "lineitem"))
     pieces = ", ".join(
         f"'{label}', {expression}, {str(period).upper()}, {place}"
         for place, (label, expression, _, period) in enumerate(FACT_LABELS)
