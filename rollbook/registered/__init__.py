@@ -1,6 +1,6 @@
 """The operators as named queries over the given tables, each with the SQL it must equal."""
 
-from . import aggregates, filters, joins
+from . import aggregates, filters, joins, merges, ordering, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "filters", "joins"]
+__all__ = ["QUERIES", "SQL", "aggregates", "filters", "joins", "merges", "ordering", "scalars"]

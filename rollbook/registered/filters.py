@@ -263,9 +263,10 @@ def pf15(spark, folder):
 
 @query(
     "pf16_complete_groups",
-    """SELECT o_orderkey, CAST(length(o_orderpriority) AS BIGINT) AS declared, COUNT(l_orderkey) AS found,
-              COUNT(l_orderkey) = length(o_orderpriority) AS complete
-       FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""",
+    """SELECT o_orderkey, CAST(length(o_orderpriority) AS BIGINT) AS declared,
+              COUNT(l_orderkey) AS found, COUNT(l_orderkey) = MIN(length(o_orderpriority)) AS complete
+       FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+       GROUP BY o_orderkey, o_orderpriority""",
 )
 def pf16(spark, folder):
     declared = table(spark, folder, "orders").select(

@@ -153,16 +153,16 @@ def jn06(spark, folder):
                           ARG_MIN(kind, timepoint) AS kind
                    FROM register_events GROUP BY ALL)
            SELECT lpad(o_custkey::VARCHAR, 8, '0') AS company_number, o_orderkey,
-                  (floor(o_totalprice)::BIGINT % 100)::VARCHAR AS accounts_date, timepoint, kind
+                  dayofyear(o_orderdate)::VARCHAR AS accounts_date, timepoint, kind
            FROM orders LEFT JOIN f ON lpad(o_custkey::VARCHAR, 8, '0') = company_number
-                                  AND (floor(o_totalprice)::BIGINT % 100)::VARCHAR = made_up""",
+                                  AND dayofyear(o_orderdate)::VARCHAR = made_up""",
     ),
 )
 def jn07(spark, folder):
     accounts = table(spark, folder, "orders").select(
         F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("company_number"),
         F.col("o_orderkey"),
-        (F.floor(F.col("o_totalprice")) % 100).cast("string").alias("accounts_date"),
+        F.dayofyear("o_orderdate").cast("string").alias("accounts_date"),
     )
     filings = register_events(spark, folder).select(
         "company_number",
@@ -262,7 +262,7 @@ def jn12(spark, folder):
               'Flag ' || l_returnflag AS dimension, s_name AS member
        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
        WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem JOIN supplier
-                                ON l_suppkey = s_suppkey WHERE s_acctbal <= -900)""",
+                                ON l_suppkey = s_suppkey WHERE s_acctbal < 0)""",
 )
 def jn13(spark, folder):
     items = table(spark, folder, "lineitem").select(
@@ -285,7 +285,7 @@ def jn13(spark, folder):
             "value"
         ),
     )
-    solvent = table(spark, folder, "supplier").filter(F.col("s_acctbal") > -900)
+    solvent = table(spark, folder, "supplier").filter(F.col("s_acctbal") >= 0)
     members = solvent.select(
         F.col("s_suppkey").cast("string").alias("key"), F.col("s_name").alias("value")
     )

@@ -231,7 +231,7 @@ def officer_lines(spark, folder):
             F.lpad(text, 8, "0"),
             kind,
             F.lit("3"),
-            F.lpad((F.col("s_nationkey") % 20).cast("string"), 2, "0"),
+            F.lpad(F.col("s_nationkey").cast("string"), 2, "0"),
             F.lpad(text, 12, "1"),
             F.when(F.col("s_nationkey") > 12, "Y").otherwise(" "),
             F.lit(" " * 7),
