@@ -60,19 +60,17 @@ def officer_rows(persons):
         "post_code": F.when(blank, F.lit("")).otherwise(F.rtrim("post_code")),
         "birth_date": born,
         "birth_date_is_accurate": is_exact,
-        **{name: parts[i] for i, name in enumerate(OFFICER_VARIABLE_FIELDS)},
+        **{name: F.get(parts, F.lit(i)) for i, name in enumerate(OFFICER_VARIABLE_FIELDS)},
     }
+    flags = ("is_corporate_body", "birth_date_is_accurate")
     return persons.select(
         *[
-            (null_if_empty(columns[c]) if c not in FLAGS else columns[c]).alias(c)
+            (columns[c] if c in flags else null_if_empty(columns[c])).alias(c)
             for c in OFFICER_COLUMNS
         ]
     )
 
 
-FLAGS = ("is_corporate_body", "birth_date_is_accurate")
-
-
 def load_officers(lines):
     """(officers, quarantined lines, totals per record type, count check per file).
 

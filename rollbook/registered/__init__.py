@@ -1,6 +1,17 @@
 """The operators as named queries over the given tables, each with the SQL it must equal."""
 
-from . import aggregates, filters, joins, merges, ordering, scalars
+from . import aggregates, filters, joins, merges, ordering, scalars, sources, streams
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregates", "filters", "joins", "merges", "ordering", "scalars"]
+__all__ = [
+    "QUERIES",
+    "SQL",
+    "aggregates",
+    "filters",
+    "joins",
+    "merges",
+    "ordering",
+    "scalars",
+    "sources",
+    "streams",
+]

@@ -277,11 +277,19 @@ VALUE_MAPS = """, m AS (SELECT company_number AS document, label, end_date,
 
 @query(
     "ag15_value_map",
-    with_sql("facts", VALUE_MAPS + " SELECT document, label, end_date, value FROM m"),
+    with_sql(
+        "facts",
+        VALUE_MAPS
+        + """ SELECT document, end_date, COUNT(*) AS labels, MIN(value) AS low, MAX(value) AS high
+              FROM m GROUP BY ALL""",
+    ),
 )
 def ag15(spark, folder):
     maps = value_map(documents(spark, folder), "document")
-    return maps.select("document", "label", F.explode("values").alias("end_date", "value"))
+    entries = maps.select("document", F.explode("values").alias("end_date", "value"))
+    return entries.groupBy("document", "end_date").agg(
+        F.count("*").alias("labels"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
 
 
 @query(

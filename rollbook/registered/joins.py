@@ -97,7 +97,7 @@ def jn03(spark, folder):
         """, k AS (SELECT DISTINCT company_number, end_date FROM facts
                    WHERE label = 'UK Companies House registered number'
                      AND value = company_number)
-           SELECT f.company_number, f.end_date, f.label, COUNT(*) AS n
+           SELECT f.company_number, f.end_date, COUNT(*) AS n, MAX(value) AS high
            FROM k JOIN facts f ON f.company_number = k.company_number AND f.end_date = k.end_date
            GROUP BY ALL""",
     ),
@@ -109,7 +109,9 @@ def jn04(spark, folder):
         & (F.col("value") == F.col("company_number"))
     )
     joined = join_facts(key_list(keys, ["company_number", "end_date"]), rows)
-    return joined.groupBy("company_number", "end_date", "label").agg(F.count("*").alias("n"))
+    return joined.groupBy("company_number", "end_date").agg(
+        F.count("*").alias("n"), F.max("value").alias("high")
+    )
 
 
 @query(

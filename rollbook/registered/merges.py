@@ -120,12 +120,12 @@ def mg04(spark, folder):
                           TRY_CAST(REPLACE(value, ',', '') AS DECIMAL(38,6)) AS number,
                           CASE WHEN batch = 'O' THEN 0 ELSE 1 END AS age, seq
                    FROM facts),
-             r AS (SELECT *, row_number() OVER k AS at, first_value(number) OVER k AS first_number,
+             r AS (SELECT *, row_number() OVER k AS nth, first_value(number) OVER k AS first_number,
                           row_number() OVER (PARTITION BY company_number, label
                                              ORDER BY abs(number) DESC NULLS LAST, age, seq) AS big
                    FROM n WINDOW k AS (PARTITION BY company_number, label ORDER BY age, seq))
            SELECT company_number, label,
-                  MAX(CASE WHEN first_number IS NULL AND at = 1 THEN value
+                  MAX(CASE WHEN first_number IS NULL AND nth = 1 THEN value
                            WHEN first_number IS NOT NULL AND big = 1 THEN value END) AS value
            FROM r GROUP BY ALL""",
     ),
@@ -153,11 +153,18 @@ def mg06(spark, folder):
 
 @query(
     "mg07_drop_exact",
-    with_sql("facts", "SELECT DISTINCT company_number, end_date, label, value FROM facts"),
+    with_sql(
+        "facts",
+        """SELECT company_number, COUNT(*) AS n, MIN(value) AS low, MAX(value) AS high
+           FROM (SELECT DISTINCT company_number, end_date, label, value FROM facts) AS d
+           GROUP BY company_number""",
+    ),
 )
 def mg07(spark, folder):
-    columns = ["company_number", "end_date", "label", "value"]
-    return drop_exact(facts(spark, folder), columns).select(*columns)
+    rows = drop_exact(facts(spark, folder), ["company_number", "end_date", "label", "value"])
+    return rows.groupBy("company_number").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
 
 
 @query(

@@ -231,24 +231,37 @@ def bulk_path():
     "sf12_clean_number",
     with_sql(
         "facts",
-        """SELECT company_number, position,
-                  CASE WHEN TRY_CAST(replace(value, ',', '') AS DOUBLE) IS NULL THEN value
-                       ELSE replace(value, ',', '') END AS value FROM facts""",
+        """SELECT company_number, MIN(v) AS low, MAX(v) AS high, SUM(length(v))::BIGINT AS characters
+           FROM (SELECT company_number,
+                        CASE WHEN TRY_CAST(replace(value, ',', '') AS DOUBLE) IS NULL THEN value
+                             ELSE replace(value, ',', '') END AS v FROM facts) AS c
+           GROUP BY company_number""",
     ),
 )
 def sf12(spark, folder):
-    return facts(spark, folder).select(
-        "company_number", "position", clean_number(C("value")).alias("value")
+    clean = facts(spark, folder).select("company_number", clean_number(C("value")).alias("v"))
+    return clean.groupBy("company_number").agg(
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.sum(F.length("v")).cast("bigint").alias("characters"),
     )
 
 
 @query(
     "sf13_to_decimal",
-    with_sql("numbers", "SELECT company_number, label, seq, number::DOUBLE AS number FROM numbers"),
+    with_sql(
+        "numbers",
+        """SELECT company_number, COUNT(number) AS n, SUM(number)::DOUBLE AS total,
+                  MAX(number)::DOUBLE AS high
+           FROM numbers GROUP BY company_number""",
+    ),
 )
 def sf13(spark, folder):
-    return facts(spark, folder).select(
-        "company_number", "label", "seq", to_decimal(C("value")).cast("double").alias("number")
+    numbers = facts(spark, folder).select("company_number", to_decimal(C("value")).alias("number"))
+    return numbers.groupBy("company_number").agg(
+        F.count("number").alias("n"),
+        F.sum("number").cast("double").alias("total"),
+        F.max("number").cast("double").alias("high"),
     )
 
 
@@ -256,16 +269,17 @@ def sf13(spark, folder):
     "sf14_int_or_text",
     with_sql(
         "facts",
-        r"""SELECT position,
-                   CASE WHEN regexp_matches(value, '^-?\d+$') THEN value::DOUBLE END AS number,
-                   CASE WHEN NOT regexp_matches(value, '^-?\d+$') THEN value END AS text,
-                   company_number FROM facts""",
+        r"""SELECT company_number,
+                   SUM(CASE WHEN regexp_matches(value, '^-?\d+$') THEN value::DOUBLE END) AS total,
+                   MAX(CASE WHEN NOT regexp_matches(value, '^-?\d+$') THEN value END) AS high
+            FROM facts GROUP BY company_number""",
     ),
 )
 def sf14(spark, folder):
     number, text = int_or_text(C("value"))
-    return facts(spark, folder).select(
-        "company_number", "position", number.cast("double").alias("number"), text.alias("text")
+    rows = facts(spark, folder).select("company_number", number.alias("n"), text.alias("t"))
+    return rows.groupBy("company_number").agg(
+        F.sum("n").cast("double").alias("total"), F.max("t").alias("high")
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..fixed_values import COMPANY_TYPES
-from .adapters import companies, register_events, table
+from .adapters import register_events, table
 
 
 def snapshot_rows(spark, folder):
@@ -96,9 +96,9 @@ COMPANY_FLAT = f"""
     FROM register_events"""
 
 
-def company_event_json(spark, folder):
+def company_event_json(spark, folder, ev=None):
     """Events as JSON texts of company envelopes (column ``value``)."""
-    ev = register_events(spark, folder)
+    ev = register_events(spark, folder) if ev is None else ev
     kind, k = F.col("kind"), F.col("k")
     no_text = F.lit(None).cast("string")
     address = F.struct(
@@ -196,7 +196,7 @@ def filing_event_json(spark, folder):
 
 
 def kind_templates(spark, folder):
-    """Templates for the event kinds that carry a value above 95 at least once."""
+    """Templates for three of the five event kinds."""
     return (
         register_events(spark, folder)
         .filter(F.col("kind").isin("click", "view", "purchase"))
@@ -260,13 +260,3 @@ def officer_lines(spark, folder):
     head = tail.select(F.lit("DDDDSNAP289820210421").alias("value"))
     return records.unionByName(tail).unionByName(head)
 
-
-__all__ = [
-    "COMPANY_FLAT",
-    "companies",
-    "company_event_json",
-    "filing_event_json",
-    "kind_templates",
-    "officer_lines",
-    "snapshot_rows",
-]
