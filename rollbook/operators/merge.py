@@ -108,9 +108,11 @@ def append_values(target, src, key, value, sep=";", order=None, rows_per_part=RO
     return lists.select(*keys, "part", joined.alias(value))
 
 
-def drop_exact(df, cols):
-    """One row per combination of the columns."""
-    return df.dropDuplicates(list(cols))
+def drop_exact(df, cols, order=None):
+    """One row per combination of the columns, the first one if an order is given."""
+    if order is None:
+        return df.dropDuplicates(list(cols))
+    return _first_by(df, list(cols), order)
 
 
 def replace_documents(target, src, key, order=None):

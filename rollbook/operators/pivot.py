@@ -120,14 +120,22 @@ def financial_profile(facts, accounts, document="document", labels=tuple(PROFILE
     return only.groupBy(document).agg(*columns)
 
 
+def _by(field):
+    """Comparator of structs by one field; the other fields may be maps."""
+    return lambda a, b: (
+        F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
+    )
+
+
 def nest_facts(facts, keys, position="position", fields=None, rows_per_part=ROWS_PER_PART):
     """Facts back into documents: an array of structs in fact order per key.
 
-    A document with more facts than ``rows_per_part`` becomes several consecutive parts.
+    Positions count from 0. A document with more facts than ``rows_per_part`` becomes several
+    consecutive parts.
     """
     fields = fields or [c for c in facts.columns if c not in [*keys, position]]
     part = F.floor(F.col(position) / rows_per_part).cast("bigint")
-    items = F.array_sort(F.collect_list(F.struct(position, *fields)))
+    items = F.array_sort(F.collect_list(F.struct(position, *fields)), _by(position))
     return (
         facts.withColumn("part", part)
         .groupBy(*keys, "part")

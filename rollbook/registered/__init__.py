@@ -1,6 +1,6 @@
 """The operators as named queries over the given tables, each with the SQL it must equal."""
 
-from . import aggregates, filters, joins, merges, ordering, scalars, sources, streams
+from . import aggregates, filters, jobs, joins, merges, ordering, scalars, sources, streams
 from .registry import QUERIES, SQL
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "SQL",
     "aggregates",
     "filters",
+    "jobs",
     "joins",
     "merges",
     "ordering",

@@ -311,7 +311,7 @@ def ag16(spark, folder):
     )
 
 
-def _profile_sql():
+def profile_sql():
     columns = []
     for column, label in PROFILE_LABELS:
         value = f"MAX(value) FILTER (WHERE label = '{label}')"
@@ -330,7 +330,7 @@ def _profile_sql():
                           THEN MAX(CASE WHEN end_date = accounts_date THEN value END)
                           WHEN COUNT(*) = 1 THEN MAX(value) END AS value
               FROM m JOIN accounts a ON m.document = a.document GROUP BY ALL)
-              SELECT document, {_profile_sql()} FROM o GROUP BY document""",
+              SELECT document, {profile_sql()} FROM o GROUP BY document""",
     ),
 )
 def ag17(spark, folder):

@@ -276,8 +276,8 @@ def st10(spark, folder):
 
 @query(
     "st11_backlog_age",
-    """SELECT event_id, round(epoch(date_trunc('day', ts) + INTERVAL 1 DAY) - epoch(ts), 3)
-                  AS backlog_seconds FROM events""",
+    """SELECT event_id, (epoch_us(date_trunc('day', ts) + INTERVAL 1 DAY) - epoch_us(ts))::DOUBLE
+                  / 1000000 AS backlog_seconds FROM events""",
 )
 def st11(spark, folder):
     ev = table(spark, folder, "events").select(
@@ -287,7 +287,7 @@ def st11(spark, folder):
             "ingested_at"
         ),
     )
-    return backlog_age(ev).select("event_id", F.round("backlog_seconds", 3).alias("backlog_seconds"))
+    return backlog_age(ev).select("event_id", "backlog_seconds")
 
 
 @query(
