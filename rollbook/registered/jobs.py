@@ -221,15 +221,21 @@ def jb03b(spark, folder):
     with_sql(
         "facts companies",
         LOADED
-        + """ SELECT (SELECT COUNT(*) FROM u WHERE NOT short) AS long_facts,
-                     (SELECT COUNT(*) FROM (SELECT number FROM companies UNION
-                                            SELECT company_number FROM u) AS c) AS companies""",
+        + """ SELECT 'long facts' AS stored, COUNT(*) AS n FROM u WHERE NOT short
+              UNION ALL
+              SELECT 'companies', COUNT(*) FROM (SELECT number FROM companies UNION
+                                                 SELECT company_number FROM u) AS c""",
     ),
 )
 def jb03c(spark, folder):
     out = _loaded(spark, folder)
-    long = out["long_facts"].agg(F.count("*").alias("long_facts"))
-    return long.join(out["companies"].agg(F.count("*").alias("companies")), F.lit(True))
+    return (
+        out["long_facts"]
+        .select(F.lit("long facts").alias("stored"))
+        .unionByName(out["companies"].select(F.lit("companies").alias("stored")))
+        .groupBy("stored")
+        .agg(F.count("*").alias("n"))
+    )
 
 
 def _tracked_orders(spark, folder):
