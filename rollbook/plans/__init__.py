@@ -5,6 +5,7 @@ from .accounts import (  # noqa: F401
     account_documents_from_json,
     backfill_filings,
     build_tracker,
+    load_fact_stream,
     load_facts,
     profile_rows,
 )
