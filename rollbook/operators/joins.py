@@ -148,24 +148,18 @@ def relabel_all_or_none(docs, dims, document="document", position="position", co
     names = dims.select(F.col("key").alias("name_key"), clean_label(F.col("value")).alias("_name"))
     members = dims.select(F.col("key").alias("member_key"), F.col("value").alias("_member"))
     looked = entries.join(names, "name_key", "left").join(members, "member_key", "left")
-    looked = looked.withColumn(
-        "_missing",
-        F.col("_name").isNull() | (F.col("_member").isNull() & (F.col("member") != "None")),
-    )
-    bad = (
-        looked.groupBy(document)
-        .agg(F.bool_or("_missing").alias("_missing"))
-        .filter("_missing")
-        .select(document)
-    )
+    missing = F.col("_name").isNull() | (F.col("_member").isNull() & (F.col("member") != "None"))
+    pair = F.struct("_name", F.coalesce("_member", F.col("member_key")).alias("_member"))
     # all entries of a group come from the map of one fact, so the group is small
-    info = (
-        looked.filter(F.col("_name").isNotNull())
-        .groupBy(document, position, "_name")
-        .agg(F.max(F.coalesce("_member", F.col("member_key"))).alias("_member"))
-        .groupBy(document, position)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_name", "_member"))).alias("info"))
-        .withColumnRenamed("info", "additional_info")
+    info = looked.groupBy(document, position).agg(
+        F.bool_or(missing).alias("_missing"),
+        F.array_sort(F.collect_list(F.when(F.col("_name").isNotNull(), pair))).alias("_pairs"),
+    )
+    bad = info.filter("_missing").select(document).distinct()
+    next_name = lambda i: F.get(F.col("_pairs"), i + 1)["_name"]
+    unique = F.filter("_pairs", lambda p, i: ~p["_name"].eqNullSafe(next_name(i)))
+    info = info.filter(~F.col("_missing")).select(
+        document, position, F.map_from_entries(unique).alias("additional_info")
     )
     good = docs.drop(col).join(bad, document, "left_anti")
     return good.join(info, [document, position], "left"), bad

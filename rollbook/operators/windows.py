@@ -15,22 +15,30 @@ def _names(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def with_previous(df, key, order, cols, segment, prefix="previous_"):
+def with_previous(df, key, order, cols, segment, prefix="previous_", first=(), per_key=None):
     """Add ``previous_<col>`` from the row before, per key; NULL for the first row.
 
     ``order`` must tell the rows of a key apart. The flag ``has_previous`` is False for
-    the first row of a key.
+    the first row of a key. ``first`` names columns whose first value of the key is added
+    as ``first_<col>``. ``per_key`` is a table with one row per key whose other columns
+    are added. Both go through the summary of the segments, so the rows themselves are
+    shuffled once, by key and segment.
     """
-    keys, cols = _names(key), _names(cols)
+    keys, cols, first = _names(key), _names(cols), list(first)
     values = F.struct(*cols)
     rows = df.withColumn("_segment", segment)
+    ends = [F.max_by(values, order).alias("_last")]
+    time_line = Window.partitionBy(*keys).orderBy("_segment")
+    carried = [F.lag("_last").over(time_line).alias("_carry")]
+    if first:
+        ends.append(F.min_by(F.struct(*first), order).alias("_start"))
+        carried.append(F.first("_start").over(time_line).alias("_first"))
+    carry = rows.groupBy(*keys, "_segment").agg(*ends).select(*keys, "_segment", *carried)
+    added = []
+    if per_key is not None:
+        added = [c for c in per_key.columns if c not in keys]
+        carry = carry.join(per_key, keys, "left")
     in_segment = Window.partitionBy(*keys, "_segment").orderBy(order)
-    last = rows.groupBy(*keys, "_segment").agg(F.max_by(values, order).alias("_last"))
-    carry = last.select(
-        *keys,
-        "_segment",
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_segment")).alias("_carry"),
-    )
     before = F.coalesce(F.col("_before"), F.col("_carry"))
     return (
         rows.withColumn("_before", F.lag(values).over(in_segment))
@@ -40,6 +48,8 @@ def with_previous(df, key, order, cols, segment, prefix="previous_"):
             *df.columns,
             F.col("_before").isNotNull().alias("has_previous"),
             *[F.col(f"_before.{c}").alias(prefix + c) for c in cols],
+            *[F.col(f"_first.{c}").alias("first_" + c) for c in first],
+            *added,
         )
     )
 

@@ -168,13 +168,13 @@ def spread(df):
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def _view(spark, folder, name, *tables):
+def _view(spark, folder, name, *tables, prepare=lambda df: df):
     """The shape's SQL run by Spark: table names become DataFrame arguments."""
     sql = SHAPES[name].replace("{", "{{").replace("}", "}}")
     for t in tables:
         for word in ("FROM", "JOIN"):
             sql = sql.replace(f"{word} {t}", f"{word} {{{t}}}")
-    return spark.sql(sql, **{t: table(spark, folder, t) for t in tables})
+    return spark.sql(sql, **{t: prepare(table(spark, folder, t)) for t in tables})
 
 
 def companies(spark, folder):
@@ -189,8 +189,8 @@ def postcodes(spark, folder):
     return _view(spark, folder, "postcodes", "nation", "region")
 
 
-def register_events(spark, folder):
-    return _view(spark, folder, "register_events", "events")
+def register_events(spark, folder, prepare=lambda df: df):
+    return _view(spark, folder, "register_events", "events", prepare=prepare)
 
 
 def filing_events(spark, folder):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..fixed_values import COMPANY_TYPES
-from .adapters import register_events, table
+from .adapters import register_events, spread, table
 
 
 def snapshot_rows(spark, folder):
@@ -96,9 +96,14 @@ COMPANY_FLAT = f"""
     FROM register_events"""
 
 
+def spread_events(spark, folder):
+    """Events over all cores: writing and reading JSON is the larger part of the work."""
+    return register_events(spark, folder, spread)
+
+
 def company_event_json(spark, folder, ev=None):
     """Events as JSON texts of company envelopes (column ``value``)."""
-    ev = register_events(spark, folder) if ev is None else ev
+    ev = spread_events(spark, folder) if ev is None else ev
     kind, k = F.col("kind"), F.col("k")
     no_text = F.lit(None).cast("string")
     address = F.struct(
@@ -162,7 +167,7 @@ def filing_event_json(spark, folder):
 
     Codes are the event kinds; the template list of ``kind_templates`` lacks two of them.
     """
-    ev = register_events(spark, folder)
+    ev = spread_events(spark, folder)
     data = F.struct(
         F.concat(F.lit("B"), "id").alias("barcode"),
         F.lit("accounts").alias("category"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import HOME_COUNTRY
 from ..functions import change_map, company_type, instant
-from ..operators.windows import with_first_seen, with_previous
+from ..operators.windows import with_previous
 
 # compared in this order; the origin and the date of a company are never updated
 COMPARED = [
@@ -74,8 +74,9 @@ def diff_companies(ev, state=None, segment=None):
         F.lit(True).alias("_stored"),
         *[F.col(c).alias(f"_stored_{c}") for c in [*STATE, *KEPT, "timepoint"]],
     )
-    rows = with_previous(ev, "number", "timepoint", STATE, segment)
-    rows = with_first_seen(rows, "number", "timepoint", KEPT).join(stored, "number", "left")
+    rows = with_previous(
+        ev, "number", "timepoint", STATE, segment, first=KEPT, per_key=stored
+    )
     is_stored = F.coalesce("_stored", F.lit(False))
     known = F.col("has_previous") | is_stored
 
