@@ -55,7 +55,7 @@ def flatten_company(ev):
 
 def timepoint_block(timepoint="timepoint", width=10_000):
     """Time line segment of an event: a block of consecutive timepoints, so it is bounded."""
-    return F.floor(F.col(timepoint) / width)
+    return F.expr(f"{timepoint} div {int(width)}")
 
 
 def diff_companies(ev, state=None, segment=None):

@@ -29,7 +29,10 @@ def parse_or_quarantine(df, schema):
     corrupt = "_corrupt_record"
     with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    parsed = df.select("value", F.from_json("value", with_corrupt, options).alias("e"))
+    # filters do not move below a generator, so each line is parsed once and not per filter
+    parsed = df.select(
+        "value", F.explode(F.array(F.from_json("value", with_corrupt, options))).alias("e")
+    )
     bad = F.col("e").isNull() | F.col(f"e.{corrupt}").isNotNull()
     events = parsed.filter(~bad).select(*[F.col(f"e.{n}").alias(n) for n in schema.names])
     return events, parsed.filter(bad).select("value")
