@@ -3,17 +3,24 @@
 from pyspark.sql import functions as F
 
 DECIMAL = "decimal(38,6)"
+NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _looks_numeric(bare):
+    """A look at the text first: a failed cast raises inside, which is slow on many names."""
+    return bare.rlike(NUMERIC)
 
 
 def to_decimal(c, decimal_type=DECIMAL):
     """Numeric text with or without thousands commas to DECIMAL, otherwise NULL."""
-    return F.replace(F.trim(c), F.lit(","), F.lit("")).try_cast(decimal_type)
+    bare = F.replace(F.trim(c), F.lit(","), F.lit(""))
+    return F.when(_looks_numeric(bare), bare.try_cast(decimal_type))
 
 
 def clean_number(c):
     """Drop thousands commas and blanks from numeric text; other text is kept as it is."""
     bare = F.trim(F.replace(c, F.lit(","), F.lit("")))
-    return F.when(bare.try_cast("double").isNotNull(), bare).otherwise(c)
+    return F.when(_looks_numeric(bare), bare).otherwise(c)
 
 
 def int_or_text(c):

@@ -79,9 +79,12 @@ def self_consistent(facts, label, key, keys):
     )
 
 
-def require(df, cols):
-    """Rows in which none of the columns is missing or blank."""
-    return df.filter(reduce(lambda a, b: a & b, [F.length(c) > 0 for c in cols]))
+def require(df, cols, tokens=()):
+    """Rows in which none of the columns is missing, blank or one of the ``tokens``."""
+    conditions = [F.length(c) > 0 for c in cols]
+    if tokens:
+        conditions += [~F.col(c).isin(list(tokens)) for c in cols]
+    return df.filter(reduce(lambda a, b: a & b, conditions))
 
 
 def null_sentinels(df, cols, tokens=tuple(EMPTY_FACT_TOKENS), decimals=None):

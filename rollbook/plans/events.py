@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from ..streaming import (
     COMPANY_COLUMNS,
     dedupe_events,
-    describe_filings,
+    describe_flat,
     flatten_company,
+    flatten_filing,
     read_events,
     run_until_current,
     save_each_batch,
@@ -28,8 +29,9 @@ def load_company_events(spark, landing, folder, max_files=None, segment=None):
 
 def load_filing_events(spark, landing, folder, templates, companies=None, max_files=None):
     """Described filing events stored below ``folder`` after all landed files."""
-    events = describe_filings(
-        dedupe_events(read_events(spark, "filings", landing, max_files)), templates, companies
+    events = flatten_filing(dedupe_events(read_events(spark, "filings", landing, max_files)))
+    writer = save_each_batch(
+        events, f"{folder}/events", finish=lambda batch: describe_flat(batch, templates, companies)
     )
-    run_until_current(save_each_batch(events, f"{folder}/events"), f"{folder}/checkpoint")
+    run_until_current(writer, f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/events").drop("batch")

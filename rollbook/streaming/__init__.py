@@ -20,5 +20,5 @@ from .events import (  # noqa: F401
     unknown_codes,
     with_event_key,
 )
-from .filings import describe_filings, flatten_filing  # noqa: F401
+from .filings import describe_filings, describe_flat, flatten_filing  # noqa: F401
 from .runs import run_continuous, run_until_current, save_each_batch  # noqa: F401

@@ -23,6 +23,11 @@ def flatten_filing(ev):
 
 
 def describe_filings(ev, templates, companies=None):
-    """Flat filing events with their description; events with an unknown code are dropped."""
-    described = describe(flatten_filing(ev), templates, "inner")
+    """Filing event envelopes with their description; an unknown code drops the event."""
+    return describe_flat(flatten_filing(ev), templates, companies)
+
+
+def describe_flat(filings, templates, companies=None):
+    """The same for flat filing events, with the company profile next to each if given."""
+    described = describe(filings, templates, "inner")
     return described if companies is None else enrich_stream(described, companies)

@@ -15,14 +15,16 @@ def run_continuous(writer, checkpoint, every="1 minute"):
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
-def save_each_batch(df, path, mode="append"):
+def save_each_batch(df, path, mode="append", finish=lambda batch: batch):
     """A writer that stores every batch in a folder of its own.
 
     A batch that runs again after a failure replaces its folder, so nothing is stored twice.
-    In ``complete`` mode each folder holds the whole result so far.
+    In ``complete`` mode each folder holds the whole result so far. ``finish`` is applied to
+    the batch as an ordinary DataFrame: joins there are re-planned by AQE, which splits a
+    key that holds much of the batch.
     """
 
     def save(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:010d}")
+        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id:010d}")
 
     return df.writeStream.outputMode(mode).foreachBatch(save)
