@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key of a join even where a later step then needs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # the JVM never compiles a method of more than 8000 bytes of bytecode; above that, separate
     # operators run several times faster than one fused stage that stays interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
