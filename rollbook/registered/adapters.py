@@ -70,7 +70,11 @@ FACT_LABELS = [
     ("Net current assets (liabilities)", _text(f"{PRICE} - 30000"), None, False),
 ]
 
-SEQ = "(CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey) * 100000 + l_suppkey"
+# tells the lines of an order apart: line number, day and price in pence
+SEQ = (
+    "(CAST(l_linenumber AS BIGINT) * 10000000 + YEAR(l_shipdate) * 1000 + DAYOFYEAR(l_shipdate))"
+    " * 100000000 + CAST(ROUND(l_extendedprice * 100) AS BIGINT)"
+)
 
 _LABELS = ", ".join(f"'{label}'" for label, *_ in FACT_LABELS)
 _VALUES = ", ".join(duck or spark for _, spark, duck, _ in FACT_LABELS)

@@ -21,6 +21,7 @@ from ..operators import (
     with_exists_flag,
 )
 from .adapters import (
+    SEQ,
     companies,
     company_events,
     documents,
@@ -259,8 +260,7 @@ def jn12(spark, folder):
 
 @query(
     "jn13_relabel_all_or_none",
-    """SELECT l_orderkey::VARCHAR AS document,
-              l_linenumber::BIGINT * 10000000000 + l_partkey * 10000 + l_suppkey AS position,
+    f"""SELECT l_orderkey::VARCHAR AS document, {SEQ} AS position,
               'Flag ' || l_returnflag AS dimension, s_name AS member
        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
        WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem JOIN supplier
@@ -269,11 +269,7 @@ def jn12(spark, folder):
 def jn13(spark, folder):
     items = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("document"),
-        (
-            F.col("l_linenumber").cast("bigint") * 10_000_000_000
-            + F.col("l_partkey") * 10_000
-            + F.col("l_suppkey")
-        ).alias("position"),
+        F.expr(SEQ).alias("position"),
         "l_suppkey",
         F.create_map(
             F.concat(F.lit("uk-bus:"), F.col("l_returnflag")),
