@@ -1,12 +1,9 @@
 """Arrays and maps that belong to one row."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..fixed_values import NO_SIC
 from .dates import ch_date
-from .text import null_if_empty
 
 
 def previous_names(cols):
@@ -61,20 +58,3 @@ def chunk(arr, size):
 def drop_null_fields(df):
     """One JSON text per row in which fields without a value do not appear."""
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "true"})
-
-
-def any_of(conditions):
-    return reduce(lambda a, b: a | b, conditions)
-
-
-__all__ = [
-    "any_of",
-    "chunk",
-    "drop_null_fields",
-    "map_values_with",
-    "null_if_empty",
-    "only_value",
-    "previous_names",
-    "sic_array",
-    "snake_keys",
-]

@@ -1,5 +1,7 @@
 """Where queries are registered."""
 
+from functools import wraps
+
 QUERIES = {}
 SQL = {}
 
@@ -10,7 +12,14 @@ def query(name, sql=None):
     def add(function):
         if name in QUERIES:
             raise ValueError(f"query {name} exists already")
-        QUERIES[name] = function
+
+        @wraps(function)
+        def run(spark, folder):
+            # buckets and dates are those of UTC, whatever session the query is given
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return function
