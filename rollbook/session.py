@@ -48,11 +48,14 @@ def build_session(app_name="rollbook", master=None, shuffle_partitions=None, ext
 def shared_folder(spark, name):
     """A new sub-folder of the folder that the cluster shares between its executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests on
-    one machine) a temporary folder is made and put into the setting.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, an application whose
+    executors run inside the driver (master ``local``) gets a temporary folder; on a cluster it
+    is an error, since no executor would see the files of another.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="rollbook-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

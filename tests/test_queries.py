@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rollbook.registered import QUERIES, SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -33,7 +34,7 @@ def table_of(names, rows):
     return [names[i] for i in order], sorted(out, key=lambda r: [(x is None, str(x)) for x in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, data, name):
     df = entry.queries()[name](spark, data)
     got = table_of(df.columns, df.collect())
@@ -46,4 +47,5 @@ def test_entry(spark):
 
 
 def test_all_queries_have_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
