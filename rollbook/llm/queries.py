@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from .near_duplicates import near_duplicates
 from .quality import BASE, quality
 from .registry import query
 from .tables import documents_of
+from .toxicity import THRESHOLD, held_out, learn, score
 
 
 @query("op10_quality_rules")
@@ -12,3 +14,28 @@ def op10(spark, folder):
     """Base counts and verdict of every document."""
     judged = quality(documents_of(spark, folder, "doc_id", "text"), carry=["doc_id"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), *BASE, "base_failed", "kept", "posterior")
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark, folder):
+    """Component of every document by its two-word shingles."""
+    return near_duplicates(documents_of(spark, folder, "doc_id", "text"), k=2).drop("text_key")
+
+
+def toxicity_model(spark, docs, folder):
+    """Learnt from the labelled documents that are not held out."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    return learn(docs, labels.filter(~held_out("doc_id")))
+
+
+@query("op2_toxicity")
+def op2(spark, folder):
+    """Score of every document."""
+    docs = documents_of(spark, folder, "doc_id", "text")
+    scored = score(docs, toxicity_model(spark, docs, folder), carry=["doc_id"])
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.coalesce(held_out("row.doc_id"), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
