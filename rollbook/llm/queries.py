@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .mixing import copies, shares
 from .near_duplicates import near_duplicates
 from .quality import BASE, quality
 from .registry import query
@@ -39,3 +40,12 @@ def op2(spark, folder):
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op9_pivotal_mix")
+def op9(spark, folder):
+    """Words that the mix takes of every document."""
+    taken = shares(copies(documents_of(spark, folder, "doc_id", "text", "source")))
+    return taken.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
