@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .byte_bpe import Vocabulary, decode, encode, packed
 from .mixing import copies, shares
 from .near_duplicates import near_duplicates
 from .quality import BASE, quality
@@ -49,3 +50,23 @@ def op9(spark, folder):
     return taken.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def gpt_vocabulary(spark):
+    """The 50k byte-level ranks of the public tokenizers, and their pattern."""
+    import public_tokenizers
+
+    return Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_byte_bpe")
+def op6(spark, folder):
+    """Digests of every document's token ids and of the bytes they decode to."""
+    vocabulary = gpt_vocabulary(spark)
+    docs = documents_of(spark, folder, "doc_id", "text").select("doc_id", encode(vocabulary, F.col("text")).alias("ids"))
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(packed(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(decode(vocabulary, F.col("ids")), 256).alias("decoded_sha256"),
+    )
