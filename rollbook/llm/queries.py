@@ -7,6 +7,7 @@ from .mixing import copies, shares
 from .near_duplicates import near_duplicates
 from .quality import BASE, quality
 from .registry import query
+from .sharding import shard_rows
 from .tables import documents_of
 from .toxicity import THRESHOLD, held_out, learn, score
 
@@ -70,3 +71,20 @@ def op6(spark, folder):
         F.sha2(packed(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2(decode(vocabulary, F.col("ids")), 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_histogram_shards")
+def op5(spark, folder):
+    """Shard and slot of every document; shards have near equal bytes."""
+    docs = documents_of(spark, folder, "doc_id", "text")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64("text").alias("text_key"),
+    )
+    placed = shard_rows(rows, ["text_key", "doc_id"], "size")
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )

@@ -107,7 +107,7 @@ def _parts(sample):
     return [r.part for r in chosen.orderBy(F.desc("t"), "part").limit(PARTS).collect()]
 
 
-def _voters(rows, toxic, n):
+def _voters(rows, toxic, weight, n):
     """Parts that each find toxic texts which those before them miss, most first."""
     by_part = {}
     for row, hits in enumerate(rows):
@@ -115,7 +115,7 @@ def _voters(rows, toxic, n):
             by_part.setdefault(i, set()).add(row)
     left, chosen = {i for i in range(len(rows)) if toxic[i]}, []
     while left and len(chosen) < VOTERS:
-        best = max(range(n), key=lambda i: (len(by_part.get(i, set()) & left), -i), default=None)
+        best = max(range(n), key=lambda i: (sum(weight[r] for r in by_part.get(i, set()) & left), -i), default=None)
         if best is None or not by_part.get(best, set()) & left:
             break
         chosen.append(best)
@@ -123,16 +123,17 @@ def _voters(rows, toxic, n):
     return chosen
 
 
-def _classifier(rows, target, n, rounds=800, rate=0.3, decay=1e-6):
-    """Weights and bias of a logistic regression on the presence of parts; targets are probabilities."""
+def _classifier(rows, weight, target, n, rounds=800, rate=0.3, decay=1e-6):
+    """Weights and bias of a logistic regression on the presence of parts; targets are probabilities, weights sum to 1."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     part = np.fromiter((i for r in rows for i in r), np.int64, len(at))
-    w, b = np.zeros(n), np.log((target.mean() + 1e-4) / (1 - target.mean() + 1e-4))
+    share = float(weight @ target)
+    w, b = np.zeros(n), np.log((share + 1e-4) / (1 - share + 1e-4))
     moment, square = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, rounds + 1):
         z = np.bincount(at, w[part], len(rows)) + b
-        error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - target
-        gradient = np.append(np.bincount(part, error[at], n) / len(rows) + decay * w, error.mean())
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target)
+        gradient = np.append(np.bincount(part, error[at], n) + decay * w, error.sum())
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -160,11 +161,12 @@ def learn(df, labels, id="doc_id", text="text", label="toxic", sample=SAMPLE):
     texts = df.select(F.col(id).alias("id"), F.col(text).alias("text")).dropna().join(known, "id")
     texts = written(_without_copies(texts), "labelled")
     parts = _parts(texts)
-    rows = texts.select(F.arrow_udf(_found(parts), "array<int>")("text").alias("hits"), "toxic").orderBy("toxic", "hits").collect()
+    found = texts.select(F.arrow_udf(_found(parts), "array<int>")("text").alias("hits"), "toxic")
+    rows = sorted(found.groupBy("toxic", "hits").agg(F.count("*").alias("n")).collect(), key=lambda r: (r.toxic, r.hits))
     if not rows:
         return ToxicityModel([], [], -40.0, {})
-    hits, toxic = [r.hits for r in rows], np.array([r.toxic for r in rows])
-    chosen = _voters(hits, toxic, len(parts))
+    hits, toxic, weight = [r.hits for r in rows], np.array([r.toxic for r in rows]), np.array([float(r.n) for r in rows])
+    chosen = _voters(hits, toxic, weight, len(parts))
     place = {p: i for i, p in enumerate(chosen)}
     votes = np.zeros((len(rows), len(chosen) + 3), np.int64)
     for row, found in enumerate(hits):
@@ -176,8 +178,8 @@ def learn(df, labels, id="doc_id", text="text", label="toxic", sample=SAMPLE):
     votes[count >= 2, several] = 2
     votes[count == 0, none] = 1
     votes[:, annotator] = 1 + toxic
-    model = fit(votes, np.ones(len(rows)), np.where(toxic == 1, 0.9, 0.05))
-    weights, bias = _classifier(hits, model.posterior(votes), len(parts))
+    model = fit(votes, weight, np.where(toxic == 1, 0.9, 0.05))
+    weights, bias = _classifier(hits, weight / weight.sum(), model.posterior(votes), len(parts))
     names = [parts[i] for i in chosen] + ["several parts", "no part", "annotator"]
     return ToxicityModel(parts, weights, bias, dict(zip(names, model.accuracies())))
 
