@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .byte_bpe import Vocabulary, decode, encode, packed
+from .fingerprints import digests, edited, fingerprint, with_likeness, with_next
 from .mixing import copies, shares
 from .near_duplicates import near_duplicates
 from .quality import BASE, quality
@@ -88,3 +89,22 @@ def op5(spark, folder):
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op3_paragraph_sketches")
+def op3(spark, folder):
+    """Sketch of every document and of its edited text, and how alike they and the next one are."""
+    docs = with_next(documents_of(spark, folder, "doc_id", "text"))
+    docs = docs.withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    docs = docs.withColumn("edited_values", digests(F.col("edited")))
+    docs = with_likeness(docs, "values", "edited_values", "near_edited")
+    docs = with_likeness(docs, "values", "next_values", "near_next")
+    return docs.select(
+        F.col("id").alias("doc_id"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint("values").alias("fingerprint"),
+        fingerprint("edited_values").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
