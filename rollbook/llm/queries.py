@@ -4,12 +4,15 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import Vocabulary, decode, encode, packed
 from .fingerprints import digests, edited, fingerprint, with_likeness, with_next
+from .fixity import audit, warc_records
+from .licenses import license_spans
 from .mixing import copies, shares
 from .near_duplicates import near_duplicates
 from .quality import BASE, quality
 from .registry import query
 from .sharding import shard_rows
-from .tables import documents_of
+from .tables import documents_of, written
+from .token_counts import piece_scores, token_counts
 from .toxicity import THRESHOLD, held_out, learn, score
 
 
@@ -108,3 +111,63 @@ def op3(spark, folder):
         "near_edited",
         "near_next",
     )
+
+
+#: What the replica of the audit suffers, by a hash of the page: the numbers of ``damaged``.
+REPLICA_SQL = """
+WITH p AS (
+  SELECT page_id, ('0x' || substr(md5(page_id::VARCHAR), 1, 4))::INT % 50 AS d,
+    'pages-' || (page_id // 200) || '.warc' AS file,
+    strlen('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+      || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+      || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+      || chr(13) || chr(10) || chr(13) || chr(10)) + strlen(coalesce(html, '')) + 4 AS length
+  FROM pages),
+o AS (
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset_
+  FROM p)
+SELECT file, offset_::BIGINT AS "offset", 'changed' AS damage, length::BIGINT AS length,
+  (CASE WHEN d = 2 THEN length - 1 ELSE length END)::BIGINT AS replica_length FROM o WHERE d IN (0, 2)
+UNION ALL
+SELECT file, offset_::BIGINT, 'missing', length::BIGINT, NULL FROM o WHERE d = 1
+UNION ALL
+SELECT file, offset_::BIGINT + 1, 'extra', NULL, 5 FROM o WHERE d = 3
+"""
+
+
+def damaged(records):
+    """A replica of the records with changed, lost, cut and stray ones."""
+    kind = F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("int") % 50
+    records = records.withColumn("kind", F.coalesce(kind, F.lit(-1)))
+    size = F.octet_length("record")
+    flipped = F.concat(F.expr("substring(record, 1, octet_length(record) - 1)"), F.lit("?").cast("binary"))
+    cut = F.expr("substring(record, 1, octet_length(record) - 1)")
+    record = F.when(F.col("kind") == 0, flipped).when((F.col("kind") == 2) & (size > 0), cut).otherwise(F.col("record"))
+    left = records.filter("kind != 1").select("file", "offset", record.alias("record"))
+    stray = records.filter("kind = 3").select("file", (F.col("offset") + 1).alias("offset"), F.lit("stray").cast("binary").alias("record"))
+    return left.unionByName(stray)
+
+
+@query("op1_merkle_fixity", REPLICA_SQL)
+def op1(spark, folder):
+    """Damage of a replica of the pages' WARC files."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
+    records = written(warc_records(pages), "warc")
+    return audit(records, damaged(records))
+
+
+@query("op4_trie_token_counts")
+def op4(spark, folder):
+    """Words and unigram tokens of every document, by the pieces and scores of the public 32k model."""
+    import public_tokenizers
+
+    scores = piece_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    counted = token_counts(documents_of(spark, folder, "doc_id", "text"), scores, carry=["doc_id"])
+    return counted.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_tokens")
+
+
+@query("op8_license_spans")
+def op8(spark, folder):
+    """License notices in every document."""
+    found = license_spans(documents_of(spark, folder, "doc_id", "text"), carry=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "license", "matched", "coverage", "start", "stop")
