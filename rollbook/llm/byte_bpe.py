@@ -15,8 +15,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-#: Pieces whose tokens a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Pieces and pairs of tokens that a worker remembers; beyond that it starts anew. More would fall out of the
+#: processor's caches, and rare words don't come again.
+PIECES, PAIRS = 50_000, 150_000
 
 
 class ByteBpe:
@@ -35,8 +36,8 @@ class ByteBpe:
         for token, rank in self.rank.items():
             self.automaton.add_word(token, (len(token), rank))
         self.automaton.make_automaton()
-        self.compatible = {}
-        self.pieces = {}
+        self.sizes = {rank: len(token) for rank, token in self.token.items()}
+        self.compatible, self.pieces = {}, {}
         self.shorter, self.halves, self.merge = {}, {}, {}
         for rank in sorted(self.token):
             self._add(rank)
@@ -59,11 +60,12 @@ class ByteBpe:
 
     def fits(self, left, right):
         """Whether the merges leave ``left`` and ``right`` side by side as they are."""
-        known = self.compatible.get((left, right))
+        pair = left << 32 | right
+        known = self.compatible.get(pair)
         if known is None:
-            known = self.compatible[left, right] = self._fits(left, right)
-            if len(self.compatible) > 4 * REMEMBERED:
+            if len(self.compatible) >= PAIRS:
                 self.compatible.clear()
+            known = self.compatible[pair] = self._fits(left, right)
         return known
 
     def _fits(self, left, right):
@@ -86,44 +88,77 @@ class ByteBpe:
     def piece(self, data):
         """Token ids of the bytes of one piece, given as Latin-1 text."""
         whole = self.rank.get(data)
-        if whole is not None and (whole in self.halves or len(data) == 1):
+        if whole is not None:
             return (whole,)
-        n = len(data)
-        longest = [0] * n
-        best = [None] * n
-        for end, (size, rank) in self.automaton.iter(data):
-            start = end - size + 1
-            if size > longest[start]:
-                longest[start], best[start] = size, rank
-        dead = bytearray(n + 1)
-        out, at, choice = [], 0, best[0]
-        while at < n:
-            end = at + len(self.token[choice])
-            if not dead[end] and (not out or self.fits(out[-1], choice)):
+        shorter, known, sizes, longest = self.shorter.get, self.compatible.get, self.sizes, self.automaton.iter_long
+        out, dead, at, last = [], set(), 0, None
+        while True:
+            # the longest tokens, one after the other, as long as they fit
+            for end, (size, choice) in longest(data, at):
+                if end + 1 in dead:
+                    break
+                if last is not None:
+                    fit = known(last << 32 | choice)
+                    if not (self.fits(last, choice) if fit is None else fit):
+                        break
                 out.append(choice)
-                at = end
-                if at < n:
-                    choice = best[at]
-                continue
-            choice = self.shorter.get(choice)
-            while choice is None:
-                # nothing goes on from here: shorten the token before
-                dead[at] = 1
-                choice = out.pop()
-                at -= len(self.token[choice])
-                choice = self.shorter.get(choice)
-        return tuple(out)
+                last, at = choice, end + 1
+            else:
+                return tuple(out)
+            # else the next shorter one, or, where there is none, one instead of the token before
+            while True:
+                choice = shorter(choice)
+                while choice is None:
+                    dead.add(at)
+                    choice = out.pop()
+                    at -= sizes[choice]
+                    last = out[-1] if out else None
+                    choice = shorter(choice)
+                end = at + sizes[choice]
+                if end not in dead and (last is None or self.fits(last, choice)):
+                    out.append(choice)
+                    last, at = choice, end
+                    break
+
+    def _known(self, piece):
+        """Token ids of a piece."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            ids = self.pieces[piece] = self.piece(piece.encode("utf-8").decode("latin-1"))
+        return ids
 
     def encode(self, text, pattern):
-        """Token ids of a text; each match of the pattern is encoded by itself."""
-        out, pieces = [], self.pieces
-        for piece in pattern.findall(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                if len(pieces) >= REMEMBERED:
-                    pieces.clear()
-                ids = pieces[piece] = self.piece(piece.encode("utf-8").decode("latin-1"))
-            out += ids
+        """Token ids of a text; each match of the pattern is encoded by itself.
+
+        The pattern must begin a match at each space that stands between two characters which are no white space, and match
+        such a space with the letters behind it as one, as those of byte-level vocabularies do. So most words need not be matched.
+        """
+        parts = iter(text.split(" "))
+        out, known, own, cut, open_text = [], self.pieces.get, self._known, pattern.findall, next(parts)
+        for part in parts:
+            plain = part.isalpha()
+            if not plain and (not part or part[0].isspace() or part[-1].isspace()):
+                # white space of more than a space: goes on until a word follows a word
+                open_text = (open_text or "") + " " + part
+                continue
+            if open_text is not None:
+                if not open_text or open_text[-1].isspace():
+                    open_text += " " + part
+                    continue
+                for piece in cut(open_text):
+                    out += own(piece)
+                open_text = None
+            part = " " + part
+            if plain:
+                out += known(part) or own(part)
+            else:
+                for piece in cut(part):
+                    out += known(piece) or own(piece)
+        if open_text is not None:
+            for piece in cut(open_text):
+                out += own(piece)
         return out
 
     def decode(self, ids):
@@ -163,8 +198,8 @@ class Vocabulary:
 def encode(vocabulary, text):
     """Column of token ids (array of int) of a text column. NULL is the empty text, which has none.
 
-    Special tokens are ordinary text. Texts are encoded whole, however long; a worker remembers the ids of at most
-    REMEMBERED pieces. Equal texts get equal ids.
+    Special tokens are ordinary text. Texts are encoded whole, however long; what a worker remembers is bounded.
+    Equal texts get equal ids.
     """
     content, pattern = vocabulary.content, vocabulary.pattern
 

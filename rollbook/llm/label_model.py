@@ -11,6 +11,8 @@ from dataclasses import dataclass
 import numpy as np
 
 VOTES = 3
+#: Correlation from which two voters are taken for one another's copy.
+TWINS = 0.9
 
 
 @dataclass
@@ -81,13 +83,10 @@ def fit(votes, weight, start, prior=None, rounds=50, least=0.15, smooth=0.5):
     """
     votes, weight = np.asarray(votes, np.int64), np.asarray(weight, float)
     p = np.asarray(start, float)
-    parent = [-1] * votes.shape[1]
-    model = None
-    for correlated in (False, True):
-        if correlated:
-            parent = _parents(votes, weight, p, least)
-            if max(parent, default=-1) < 0:
-                break
+    # at first only voters that nearly repeat each other are tied, which would else decide what the class is;
+    # the other correlations are read from the classes once these are known
+    for bound in (max(least, TWINS), least):
+        parent = _parents(votes, weight, p, bound)
         for _ in range(rounds):
             model = _maximise(votes, weight, p, parent, prior if len(votes) else prior or 0.5, smooth)
             new = model.posterior(votes)

@@ -64,34 +64,40 @@ def _uniform(key, level):
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
 
 
-def pivotal(p, size, draw):
+def pivotal(p, size, rng):
     """Round probabilities ``p`` (between 0 and 1) so that the sum of ``p * size`` stays as it is.
 
     Rows are in order of size, the largest first. Each in turn is paired with the pool of the open rows
-    after it: mass goes one way or the other at random, until the row is 0 or 1 or the pool is, and
-    the pool's rows share it in proportion to what they have or lack. So a large row's outcome is
-    made up for by many small ones, and the row that stays open at last is a small one, unless a row
-    is larger than all others together. Expected values of all rows stay what they were.
-    ``draw`` decides each trade. Returns p with one open row at most, and that row (or -1).
+    after it: mass goes one way or the other at random, until the row or one of the pool is 0 or 1; the
+    pool's rows share it by size * p * (1 - p), either way. So a large row's outcome is made up for
+    by many small ones, and the row that stays open at last is a small one, unless one is larger than
+    all others together. Expected values of all rows stay what they were, since each trade's is nothing.
+    Returns p with one open row at most, and that row (or -1).
     """
     p = p.copy()
     for i in range(len(p)):
-        if not 0 < p[i] < 1:
-            continue
-        pool, weight = p[i + 1 :], size[i + 1 :]
-        has, lacks = pool @ weight, (1 - pool) @ weight
-        if has <= 0 or lacks <= 0:
-            break
-        gain, loss = (1 - p[i]) * size[i], p[i] * size[i]
-        up, down = min(gain, has), min(loss, lacks)
-        if draw[i] * (up + down) < down:
-            pool *= 1 - up / has if has > up else 0.0
-            p[i] = 1.0 if gain <= has else p[i] + up / size[i]
-        else:
-            pool[:] = 1 - (1 - pool) * (1 - down / lacks if lacks > down else 0.0)
-            p[i] = 0.0 if loss <= lacks else p[i] - down / size[i]
-    still = np.flatnonzero((p > 0) & (p < 1))
-    return p, int(still[0]) if len(still) else -1
+        while 0 < p[i] < 1:
+            pool = i + 1 + np.flatnonzero((p[i + 1 :] > 0) & (p[i + 1 :] < 1))
+            if not len(pool):
+                return p, i
+            q = p[pool]
+            share = q * (1 - q)
+            mass = share @ size[pool]
+            low, high = int(np.argmin(q)), int(np.argmax(q))
+            gain, loss = (1 - p[i]) * size[i], p[i] * size[i]
+            give, take = mass / (1 - q[low]), mass / q[high]
+            up, down = min(gain, give), min(loss, take)
+            if rng.random() * (up + down) < down:
+                p[pool] = np.clip(q - up * share / mass, 0.0, 1.0)
+                p[i] = 1.0 if gain <= give else p[i] + up / size[i]
+                if give <= gain:
+                    p[pool[low]] = 0.0
+            else:
+                p[pool] = np.clip(q + down * share / mass, 0.0, 1.0)
+                p[i] = 0.0 if loss <= take else p[i] - down / size[i]
+                if take <= loss:
+                    p[pool[high]] = 1.0
+    return p, -1
 
 
 def _rounder(level, last):
@@ -100,8 +106,8 @@ def _rounder(level, last):
         size = table["size"].to_numpy().astype(float)
         order = np.lexsort((_uniform(key, 1000 + level), -size))
         p = table["p"].to_numpy()[order]
-        draw = _uniform(key, level)[order]
-        p, left = pivotal(np.clip(p, 0.0, 1.0), size[order], draw)
+        rng = np.random.default_rng([level, int(np.bitwise_xor.reduce(key))])
+        p, left = pivotal(np.clip(p, 0.0, 1.0), size[order], rng)
         if last and left >= 0:
             p[left] = 1.0 if _uniform(key, 2000)[order][left] < p[left] else 0.0
         done = np.empty_like(p)

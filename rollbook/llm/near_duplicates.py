@@ -19,6 +19,8 @@ BATCH = 20
 MISS = 1e-6
 #: Rounds that compare the members of a bucket with one of them, before what is left is compared.
 STARS = 3
+#: Classes of a bucket that one task compares with as many others.
+BLOCK = 512
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -113,24 +115,57 @@ def least_matches(similarity, miss=MISS):
     return out
 
 
+def _alive(left, right, steps):
+    """Numbers of the rows (pairs of signatures) that are still in the running after all batches."""
+    alive, hits = np.arange(len(left)), np.zeros(len(left), np.int64)
+    for n, least in steps:
+        part = slice(n - BATCH, n)
+        hits = hits + (left[alive, part] == right[alive, part]).sum(axis=1)
+        going = hits >= least
+        alive, hits = alive[going], hits[going]
+    return alive
+
+
 def _may_match(similarity):
     """Whether a pair of signatures is still in the running after all batches."""
     steps = least_matches(similarity)
 
     def may_match(a: pa.Array, b: pa.Array) -> pa.Array:
-        left, right = _matrix(a), _matrix(b)
-        alive, hits = np.arange(len(left)), np.zeros(len(left), np.int64)
-        for n, least in steps:
-            part = slice(n - BATCH, n)
-            hits[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
-            alive = alive[hits[alive] >= least]
-        out = np.zeros(len(left), bool)
-        out[alive] = True
+        out = np.zeros(len(a), bool)
+        out[_alive(_matrix(a), _matrix(b), steps)] = True
         return pa.array(out)
 
     return may_match
 
 
+FOUND = "a bigint, b bigint, n_a bigint, n_b bigint"
+
+
+def _block_pairs(percent):
+    """Pairs in the running among the asking classes of a block and its other classes."""
+    steps = least_matches(percent / 100)
+
+    def block_pairs(table: pa.Table) -> pa.Table:
+        number, component, n = (table[c].to_numpy() for c in ("class", "component", "n"))
+        asks = table["asks"].to_numpy(zero_copy_only=False)
+        signatures = _matrix(table["signature"].combine_chunks())
+        ask, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        found = []
+        for i in ask:
+            rest = other[component[other] != component[i]]
+            sizes = n[rest]
+            rest = rest[100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])]
+            hit = rest[_alive(np.broadcast_to(signatures[i], (len(rest), HASHES)), signatures[rest], steps)]
+            found.append(np.stack([np.full(len(hit), i), hit], axis=1))
+        found = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        first = np.where(number[found[:, 0]] < number[found[:, 1]], found[:, 0], found[:, 1])
+        second = found.sum(axis=1) - first
+        columns = [number[first], number[second], n[first], n[second]]
+        return pa.table([pa.array(c) for c in columns], names=["a", "b", "n_a", "n_b"])
+
+    return block_pairs
+
+
 def _shingles(k):
     def shingles(text: pa.Array) -> pa.Array:
         out = []
@@ -147,8 +182,8 @@ def _shingles(k):
 def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
     """Shingles that two sets have in common."""
     out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist())):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    for i in range(len(a)):
+        x, y = (np.frombuffer(side[i].as_buffer(), np.uint64) for side in (a, b))
         if len(x) > len(y):
             x, y = y, x
         place = np.searchsorted(y, x)
@@ -231,8 +266,11 @@ def _linked(docs, classes, members, k, percent):
         members = _open_buckets(members.select("bucket", "class"), labels)
         if members.isEmpty():
             break
-        pairs = _star_pairs(members, turn) if turn < STARS else _rest_pairs(members)
-        found = _verified(docs, signatures, pairs, k, percent)
+        if turn < STARS:
+            survivors = _star_survivors(members, signatures, turn, percent)
+        else:
+            survivors = _rest_survivors(members, signatures, percent)
+        found = _verified(docs, signatures, survivors, k, percent)
         if found.isEmpty():
             continue
         edges = edges.unionByName(found)
@@ -253,35 +291,55 @@ def _open_buckets(members, labels):
     return written(named.join(mixed_up, "bucket"), "members")
 
 
-def _star_pairs(members, turn):
-    """Each class with its bucket's hub, another one each turn, where the two aren't linked yet."""
+def _star_survivors(members, signatures, turn, percent):
+    """Pairs in the running of each class with its bucket's hub (another one each turn) where the two
+    aren't linked yet."""
     order = F.xxhash64("class", F.lit(turn))
     hubs = members.groupBy("bucket").agg(
         F.min_by("class", order).alias("hub"), F.min_by("component", order).alias("hub_component")
     )
     pairs = members.join(written(hubs, "hubs"), "bucket").filter(F.col("component") != F.col("hub_component"))
-    return pairs.select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-
-
-def _rest_pairs(members):
-    """All pairs of a bucket that are in different components: those outside the bucket's largest
-    component, with the rest of the bucket."""
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-    rest = members.join(written(largest, "largest"), "bucket").filter(F.col("component") != F.col("largest"))
-    rest = rest.select("bucket", F.col("class").alias("x"), F.col("component").alias("own"))
-    pairs = written(rest, "rest").join(members, "bucket").filter(F.col("own") != F.col("component"))
-    return pairs.select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
-
-
-def _verified(docs, signatures, pairs, k, percent):
-    """The pairs (a, b) whose full sets are similar enough."""
+    pairs = pairs.select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     side = lambda name: signatures.select(
         F.col("class").alias(name), F.col("signature").alias(f"signature_{name}"), F.col("n").alias(f"n_{name}")
     )
     may = F.arrow_udf(_may_match(percent / 100), "boolean")(F.col("signature_a"), F.col("signature_b"))
     size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    survivors = written(pairs.join(side("a"), "a").join(side("b"), "b").filter(size).filter(may).select("a", "b", "n_a", "n_b"), "survivors")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(size)
+    return written(both.filter(may).select("a", "b", "n_a", "n_b"), "survivors")
+
+
+def _rest_survivors(members, signatures, percent):
+    """Pairs in the running among all classes of a bucket that are in different components.
+
+    Classes outside the bucket's largest component ask, all classes answer. Both are dealt to
+    blocks by hash, and each block of the one meets each block of the other in a task, so no
+    task gets more than about two blocks and no pair is a row unless it is in the running.
+    """
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"),
+        F.sum("n").alias("all"),
+        F.max("n").alias("most"),
+    )
+    blocks = lambda c: F.ceil(c / BLOCK).cast("long")
+    buckets = buckets.select(
+        "bucket", "largest", blocks(F.col("all") - F.col("most")).alias("askers"), blocks(F.col("all")).alias("answerers")
+    )
+    rows = members.join(written(buckets, "blocks"), "bucket")
+    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asking = rows.filter(F.col("component") != F.col("largest")).withColumn("one", own("askers"))
+    asking = asking.select("bucket", "class", "component", "one", every("answerers").alias("other"), F.lit(True).alias("asks"))
+    answering = rows.withColumn("other", own("answerers"))
+    answering = answering.select("bucket", "class", "component", every("askers").alias("one"), "other", F.lit(False).alias("asks"))
+    both = asking.unionByName(answering).join(signatures.select("class", "n", "signature"), "class")
+    found = both.groupBy("bucket", "one", "other").applyInArrow(_block_pairs(percent), FOUND)
+    return written(found.distinct(), "survivors")
+
+
+def _verified(docs, signatures, survivors, k, percent):
+    """The pairs (a, b) whose full sets are similar enough."""
     ends = survivors.select(F.col("a").alias("class")).union(survivors.select("b")).distinct()
     texts = written(signatures.join(ends, "class", "left_semi").select("class", F.col("id").alias("own_id"), F.col("text_key").alias("own_key")), "ends")
     same = (F.col("text_key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
