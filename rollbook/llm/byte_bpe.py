@@ -15,9 +15,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
-#: Pieces and pairs of tokens that a worker remembers; beyond that it starts anew. More would fall out of the
-#: processor's caches, and rare words don't come again.
-PIECES, PAIRS = 50_000, 150_000
+#: Pieces that a worker remembers in each of two generations, of which the older one is given up, and pairs of
+#: tokens, beyond which it starts anew.
+PIECES, PAIRS = 120_000, 400_000
 
 
 class ByteBpe:
@@ -27,8 +27,7 @@ class ByteBpe:
     """
 
     def __init__(self, content):
-        pairs = (line.split() for line in content.splitlines() if line)
-        self.rank = {base64.b64decode(token).decode("latin-1"): int(rank) for token, rank in pairs}
+        self.rank = dict(_ranks(content))
         self.token = {rank: token for token, rank in self.rank.items()}
         if any(chr(b) not in self.rank for b in range(256)):
             raise ValueError("every byte must be a token")
@@ -37,7 +36,7 @@ class ByteBpe:
             self.automaton.add_word(token, (len(token), rank))
         self.automaton.make_automaton()
         self.sizes = {rank: len(token) for rank, token in self.token.items()}
-        self.compatible, self.pieces = {}, {}
+        self.compatible, self.pieces, self.older = {}, {}, {}
         self.shorter, self.halves, self.merge = {}, {}, {}
         for rank in sorted(self.token):
             self._add(rank)
@@ -121,62 +120,47 @@ class ByteBpe:
                     break
 
     def _known(self, piece):
-        """Token ids of a piece."""
-        ids = self.pieces.get(piece)
+        """Token ids of a piece that isn't among the newer ones."""
+        ids = self.older.get(piece)
         if ids is None:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.piece(piece.encode("utf-8").decode("latin-1"))
+            ids = self.piece(piece if piece.isascii() else piece.encode("utf-8").decode("latin-1"))
+        if len(self.pieces) >= PIECES:
+            self.older = dict(self.pieces)
+            self.pieces.clear()
+        self.pieces[piece] = ids
         return ids
 
     def encode(self, text, pattern):
-        """Token ids of a text; each match of the pattern is encoded by itself.
-
-        The pattern must begin a match at each space that stands between two characters which are no white space, and match
-        such a space with the letters behind it as one, as those of byte-level vocabularies do. So most words need not be matched.
-        """
-        parts = iter(text.split(" "))
-        out, known, own, cut, open_text = [], self.pieces.get, self._known, pattern.findall, next(parts)
-        for part in parts:
-            plain = part.isalpha()
-            if not plain and (not part or part[0].isspace() or part[-1].isspace()):
-                # white space of more than a space: goes on until a word follows a word
-                open_text = (open_text or "") + " " + part
-                continue
-            if open_text is not None:
-                if not open_text or open_text[-1].isspace():
-                    open_text += " " + part
-                    continue
-                for piece in cut(open_text):
-                    out += own(piece)
-                open_text = None
-            part = " " + part
-            if plain:
-                out += known(part) or own(part)
-            else:
-                for piece in cut(part):
-                    out += known(piece) or own(piece)
-        if open_text is not None:
-            for piece in cut(open_text):
-                out += own(piece)
+        """Token ids of a text; each match of the pattern is encoded by itself."""
+        out, newer, known = [], self.pieces.get, self._known
+        for piece in pattern.findall(text):
+            out += newer(piece) or known(piece)
         return out
 
-    def decode(self, ids):
-        return "".join([self.token[i] for i in ids]).encode("latin-1")
+
+def _ranks(content):
+    """(token as Latin-1 text, rank) of the lines of a rank file."""
+    pairs = (line.split() for line in content.splitlines() if line)
+    return [(base64.b64decode(token).decode("latin-1"), int(rank)) for token, rank in pairs]
 
 
 _loaded = {}
 
 
-def _bpe(content):
-    """The tables of a rank file, built once per Python worker."""
-    key = hash(content)
+def _once(build, content):
+    """What ``build`` makes of a rank file, made once per Python worker."""
+    key = build.__name__, hash(content)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = ByteBpe(content)
+        _loaded[key] = build(content)
     return _loaded[key]
 
 
+def token_bytes(content):
+    """The bytes of each rank's token."""
+    return {rank: token.encode("latin-1") for token, rank in _ranks(content)}
+
+
 class Vocabulary:
     """A rank file and the pattern that cuts texts into pieces, ready to be sent to the executors.
 
@@ -204,7 +188,7 @@ def encode(vocabulary, text):
     content, pattern = vocabulary.content, vocabulary.pattern
 
     def encoded(texts: pa.Array) -> pa.Array:
-        bpe, cut = _bpe(content.value), regex.compile(pattern)
+        bpe, cut = _once(ByteBpe, content.value), regex.compile(pattern)
         rows = [np.array(bpe.encode(t.as_py() or "", cut), np.int32) for t in texts]
         offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
         flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
@@ -218,8 +202,9 @@ def decode(vocabulary, ids):
     content = vocabulary.content
 
     def decoded(rows: pa.Array) -> pa.Array:
-        bpe = _bpe(content.value)
-        return pa.array([None if r is None else bpe.decode(r) for r in rows.to_pylist()], pa.binary())
+        token = _once(token_bytes, content.value).__getitem__
+        ids = (r.as_py() for r in rows)
+        return pa.array([None if r is None else b"".join(map(token, r)) for r in ids], pa.binary())
 
     return F.arrow_udf(decoded, "binary")(ids)
 
