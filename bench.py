@@ -2,6 +2,7 @@
 
 import json
 import os
+import tempfile
 import time
 
 from rollbook.registered import QUERIES
@@ -18,6 +19,7 @@ HEADLINE = [
     "ag17_financial_profile",
     "jb09c_adviser_report",
     "jb09_wide_accounts",
+    "jb07_account_documents_from_json",
     "jb03_load_facts",
     "mg05_upsert_largest",
     "mg02_upsert",
@@ -46,6 +48,9 @@ def main():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
+            # the tables are one small file each: several tasks read it, as they would read many files
+            "spark.sql.files.maxPartitionBytes": "2m",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -29,6 +29,7 @@ from .joins import (  # noqa: F401
     with_area,
     with_exists_flag,
 )
+from .lists import in_order, list_values  # noqa: F401
 from .merge import (  # noqa: F401
     add_parents,
     append_values,
@@ -42,15 +43,14 @@ from .merge import (  # noqa: F401
     upsert,
     upsert_largest,
 )
-from .parts import collect_in_parts, concat_values, with_parts  # noqa: F401
 from .pivot import (  # noqa: F401
     dated_summary,
-    distinct_for,
     distinct_values,
     financial_profile,
     first_for,
     max_for,
     nest_facts,
+    only_values,
     pivot_facts,
     signed_extreme,
     value_map,

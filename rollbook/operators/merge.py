@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import to_decimal
-from .parts import ROWS_PER_PART, collect_in_parts
 
 
 def _names(x):
@@ -25,10 +24,10 @@ def _first_by(df, keys, order):
     )
 
 
-def insert_new(target, src, key, order=None):
-    """Rows of ``src`` with keys that ``target`` lacks are added; the first of a key counts."""
+def insert_new(target, src, key, order):
+    """Rows of ``src`` with keys that ``target`` lacks are added; the first of a key, by ``order``, counts."""
     keys = _names(key)
-    new = _first_by(src, keys, order) if order is not None else src.dropDuplicates(keys)
+    new = _first_by(src, keys, order)
     return target.unionByName(new.join(target.select(*keys), keys, "left_anti"))
 
 
@@ -90,35 +89,27 @@ def upsert_largest(target, src, key, value, order):
     return merged.select(*target.columns)
 
 
-def append_values(target, src, key, value, sep=";", order=None, rows_per_part=ROWS_PER_PART):
-    """New values of a key are put behind the old one, with a separator, in ``order``.
+def append_values(target, src, key, value, order):
+    """Child rows (key, ``order``, ``value``, ``age``) of a key: its old values, then the new ones in ``order``.
 
-    A key with very many values gives several rows, see ``parts``.
+    ``age`` is 0 for what ``target`` had and 1 for what is added; nothing stored is rewritten.
     """
     keys = _names(key)
-    order = order or value
-    both = (
-        target.select(*keys, value, order)
-        .withColumn("_age", F.lit(0))
-        .unionByName(src.select(*keys, value, order).withColumn("_age", F.lit(1)))
-    )
-    element = F.struct(F.col("_age"), F.col(order).alias("_order"), F.col(value).alias("_value"))
-    lists = collect_in_parts(both, keys, element, ["_age", order, value], "_items", rows_per_part)
-    joined = F.array_join(F.transform("_items", lambda i: i["_value"]), sep)
-    return lists.select(*keys, "part", joined.alias(value))
+    old = target.select(*keys, order, value, F.lit(0).alias("age"))
+    return old.unionByName(src.select(*keys, order, value, F.lit(1).alias("age")))
 
 
-def drop_exact(df, cols, order=None):
-    """One row per combination of the columns, the first one if an order is given."""
-    if order is None:
-        return df.dropDuplicates(list(cols))
+def drop_exact(df, cols, order):
+    """One row per combination of the columns, the first one by ``order``."""
+    if set(df.columns) <= set(cols):
+        return df.distinct()
     return _first_by(df, list(cols), order)
 
 
-def replace_documents(target, src, key, order=None):
-    """Documents of ``src`` replace those of ``target`` with the same key as a whole."""
+def replace_documents(target, src, key, order):
+    """Documents of ``src`` (the first of a key, by ``order``) replace those of ``target`` as a whole."""
     keys = _names(key)
-    new = _first_by(src, keys, order) if order is not None else src.dropDuplicates(keys)
+    new = _first_by(src, keys, order)
     return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 

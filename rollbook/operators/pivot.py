@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import DATED_SUMMARY, OFFICER_LABEL, PROFILE_LABELS, WIDE_ACCOUNTS
 from ..functions import to_decimal
-from .parts import ROWS_PER_PART, collect_in_parts
+from .lists import list_values
 
 
 def signed_extreme(v):
@@ -25,23 +25,18 @@ def max_for(label, v, label_col="label"):
     return F.max(F.when(F.col(label_col) == label, v))
 
 
-def distinct_for(label, value, label_col="label"):
-    """Sorted array of the distinct values, for groups known to be small.
-
-    ``distinct_values`` does the same for groups of any size.
-    """
-    return F.array_sort(F.collect_set(F.when(F.col(label_col) == label, value)))
-
-
-def distinct_values(facts, keys, label=OFFICER_LABEL, name="officers", rows_per_part=ROWS_PER_PART):
-    """Distinct values of a label per key as sorted arrays, see ``parts``."""
+def distinct_values(facts, keys, label=OFFICER_LABEL, name="officer"):
+    """Distinct values of a label per key, as child rows (keys, position, ``name``) in value order."""
     values = facts.filter(F.col("label") == label).select(*keys, "value").distinct()
-    return collect_in_parts(values, keys, F.col("value"), ["value"], name, rows_per_part)
+    return list_values(values, keys, "value", name=name)
 
 
-def pivot_facts(facts, keys, spec=tuple(WIDE_ACCOUNTS), order=None):
+def pivot_facts(facts, keys, spec=tuple(WIDE_ACCOUNTS), order=None, consistent=None):
     """One row per ``keys`` with one column per (column, label, rule) of ``spec``.
 
+    With ``consistent`` (a label and a column), only keys with a fact of that label that repeats the column
+    are kept; the aggregate itself finds out, the facts are read once.
+
     All columns come out of one aggregate with one shuffle. Only facts with a wanted label
     are read, and each map task combines its facts before the shuffle, so that a filing
     with a large share of all facts arrives as one row per task.
@@ -50,7 +45,8 @@ def pivot_facts(facts, keys, spec=tuple(WIDE_ACCOUNTS), order=None):
     labels = [label for _, label, _ in spec]
     number_labels = [label for _, label, rule in spec if rule in ("signed", "max")]
     number = F.when(F.col("label").isin(number_labels), to_decimal(F.col("value")))
-    wanted = facts.filter(F.col("label").isin(labels)).withColumn("_number", number)
+    read = [*labels, consistent[0]] if consistent else labels
+    wanted = facts.filter(F.col("label").isin(read)).withColumn("_number", number)
     aggregates = []
     for column, label, rule in spec:
         if rule == "signed":
@@ -62,26 +58,26 @@ def pivot_facts(facts, keys, spec=tuple(WIDE_ACCOUNTS), order=None):
             if rule == "date":
                 value = F.try_to_date(value, "yyyy-MM-dd")
         aggregates.append(value.alias(column))
-    return wanted.groupBy(*keys).agg(*aggregates)
+    if consistent is None:
+        return wanted.groupBy(*keys).agg(*aggregates)
+    repeats = (F.col("label") == consistent[0]) & (F.col("value") == F.col(consistent[1]))
+    flagged = wanted.groupBy(*keys).agg(*aggregates, F.bool_or(repeats).alias("_consistent"))
+    return flagged.filter("_consistent").drop("_consistent")
 
 
-def value_map(facts, document, label="label", key="end_date", order="position", rows_per_part=ROWS_PER_PART):
-    """Per document and label a map end date -> value; of several values the last counts."""
-    last = facts.groupBy(document, label, key).agg(
-        F.max_by("value", F.col(order)).alias("_value")
-    )
-    entries = collect_in_parts(
-        last, [document, label], F.struct(key, "_value"), [key], "_entries", rows_per_part
-    )
-    return entries.select(
-        document, label, "part", F.map_from_entries("_entries").alias("values")
-    )
+def value_map(facts, document, label="label", key="end_date", order="position"):
+    """Entries end date -> value per document and label, a row each; of several values the last counts."""
+    return facts.groupBy(document, label, key).agg(F.max_by("value", F.col(order)).alias("value"))
 
 
-def _only_values(facts, accounts, document):
-    """(document, label) -> the value at the accounts date, else the value if all dates agree."""
+def only_values(facts, accounts, document):
+    """(document, label) -> the value at the accounts date, else the value if there is one date only.
+
+    No date at all is a date of its own.
+    """
     dated = facts.join(accounts.select(document, "accounts_date"), document)
     at_date = F.col("end_date") == F.col("accounts_date")
+    dates = F.count_if(F.col("end_date").isNull())
     return (
         dated.groupBy(document, "label")
         .agg(
@@ -92,12 +88,18 @@ def _only_values(facts, accounts, document):
             F.max_by("value", "position").alias("_last"),
             F.min("end_date").alias("_from"),
             F.max("end_date").alias("_to"),
+            (dates > 0).alias("_undated"),
         )
         .select(
             document,
             "label",
             F.when(F.col("_has"), F.col("_at"))
-            .when(F.col("_from") == F.col("_to"), F.col("_last"))
+            .when(
+                F.when(F.col("_undated"), F.col("_from").isNull()).otherwise(
+                    F.col("_from") == F.col("_to")
+                ),
+                F.col("_last"),
+            )
             .alias("value"),
         )
     )
@@ -110,7 +112,7 @@ def financial_profile(facts, accounts, document="document", labels=tuple(PROFILE
     and accounts_date. No map is built: the rule needs five combinable aggregates.
     """
     wanted = facts.filter(F.col("label").isin([label for _, label in labels]))
-    only = _only_values(wanted, accounts, document)
+    only = only_values(wanted, accounts, document)
     columns = []
     for column, label in labels:
         value = F.max(F.when(F.col("label") == label, F.col("value")))
@@ -120,35 +122,12 @@ def financial_profile(facts, accounts, document="document", labels=tuple(PROFILE
     return only.groupBy(document).agg(*columns)
 
 
-def _by(field):
-    """Comparator of structs by one field; the other fields may be maps."""
-    return lambda a, b: (
-        F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
-    )
-
-
-def nest_facts(facts, keys, position="position", fields=None, rows_per_part=ROWS_PER_PART):
-    """Facts back into documents: an array of structs in fact order per key.
-
-    Positions count from 0. A document with more facts than ``rows_per_part`` becomes several
-    consecutive parts.
-    """
+def nest_facts(facts, keys, position="position", fields=None):
+    """(documents, their facts): keys and ``number_of_facts`` of each document, and its facts as child rows
+    (keys, position, fields), which take a document of any size."""
     fields = fields or [c for c in facts.columns if c not in [*keys, position]]
-    part = F.floor(F.col(position) / rows_per_part).cast("bigint")
-    items = F.array_sort(F.collect_list(F.struct(position, *fields)), _by(position))
-    return (
-        facts.withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(items.alias("_items"))
-        .select(
-            *keys,
-            "part",
-            F.size("_items").cast("bigint").alias("number_of_facts"),
-            F.transform(
-                "_items", lambda f: F.struct(*[f[c].alias(c) for c in fields])
-            ).alias("facts"),
-        )
-    )
+    documents = facts.groupBy(*keys).agg(F.count("*").alias("number_of_facts"))
+    return documents, facts.select(*keys, position, *fields)
 
 
 def dated_summary(facts, accounts, document="document", labels=tuple(DATED_SUMMARY)):

@@ -12,6 +12,7 @@ from .accounts import (  # noqa: F401
 from .events import load_company_events, load_filing_events  # noqa: F401
 from .officers import load_officers, officer_rows, person_rules  # noqa: F401
 from .reports import (  # noqa: F401
+    account_officers,
     adviser_report,
     daily_frequency,
     hourly_frequency,

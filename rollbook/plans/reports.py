@@ -16,36 +16,38 @@ from ..operators import (
     groups_over,
     in_region,
     join_facts,
+    list_values,
     pivot_facts,
     scalar_lookup,
     self_consistent,
     time_range,
 )
-from ..operators.parts import collect_text, with_parts
 
 KEYS = ["company_number", "end_date"]
 
 
 def wide_accounts(facts, companies, short_list=True):
-    """One wide row per company and date, with postcode and officers.
+    """One wide row per company and date, with the postcode.
 
     With ``short_list`` only filings count that name their own company number.
     """
-    if short_list:
-        keys = self_consistent(facts, REGISTERED_NUMBER_LABEL, "company_number", KEYS)
-        facts = facts.join(keys, KEYS, "left_semi")
-    wide = pivot_facts(facts, KEYS)
-    with_code = scalar_lookup(
+    own = (REGISTERED_NUMBER_LABEL, "company_number") if short_list else None
+    wide = pivot_facts(facts, KEYS, consistent=own)
+    return scalar_lookup(
         wide,
         companies.select("number", F.col("postcode").alias("post_code")),
         "company_number",
         "post_code",
         "number",
     )
-    officers = distinct_values(facts, KEYS)
-    return with_code.join(officers, KEYS, "left").withColumn(
-        "part", F.coalesce("part", F.lit(0).cast("bigint"))
-    )
+
+
+def account_officers(facts, short_list=True):
+    """Officers of the filings in the wide accounts, as child rows (keys, position, officer)."""
+    if short_list:
+        keys = self_consistent(facts, REGISTERED_NUMBER_LABEL, "company_number", KEYS)
+        facts = facts.join(keys, KEYS, "left_semi")
+    return distinct_values(facts, KEYS)
 
 
 def regional_accounts(facts, companies, postcodes, counties):
@@ -59,15 +61,13 @@ def regional_accounts(facts, companies, postcodes, counties):
 
 
 def adviser_report(regional, facts, over=5):
-    """Advisers with more than ``over`` regional filings: software used, number of clients."""
+    """(report, software) of the advisers with more than ``over`` regional filings: name and number of clients,
+    and the software that they used as child rows (name, position, software)."""
     named = regional.filter(F.col("accountants").isNotNull())
-    busy = groups_over(named, "accountants", over).select("accountants")
-    rows = named.join(busy, "accountants", "left_semi").select(
-        F.col("accountants").alias("name"), *KEYS, F.col("accounting_software").alias("software")
-    )
-    parted = with_parts(rows, ["name"], KEYS)
-    software = collect_text(parted, ["name", "part"], "software", ", ")
-    return client_counts(software, facts, ACCOUNTANTS_LABEL)
+    busy = groups_over(named, "accountants", over).select(F.col("accountants").alias("name"))
+    used = named.select(F.col("accountants").alias("name"), F.col("accounting_software").alias("software"))
+    software = list_values(used.join(busy, "name", "left_semi"), ["name"], "software", name="software")
+    return client_counts(busy, facts, ACCOUNTANTS_LABEL), software
 
 
 def _frequencies(filings, companies, unit, ts):

@@ -12,7 +12,7 @@ from ..functions import (
     safe_cast,
     sic_array,
 )
-from ..operators import explode_sic, insert_new, replace_documents
+from ..operators import drop_exact, explode_sic, insert_new, replace_documents
 from ..sources import read_mapped_csv, read_snapshot_csv
 
 
@@ -25,8 +25,8 @@ def _count(name):
     return F.coalesce(safe_cast(F.col(name), "int"), F.lit(0))
 
 
-def company_document(raw):
-    """One nested document per row of the snapshot (nested text columns)."""
+def company_document(raw, keep=()):
+    """One nested document per row of the snapshot (nested text columns), with the columns ``keep``."""
     number = pad_number(F.col("CompanyNumber"))
     mortgages = {
         "mortgageCharges": _count("Mortgages.NumMortCharges"),
@@ -47,6 +47,7 @@ def company_document(raw):
     statement = ("ConfStmtLastMadeUpDate", "ConfStmtNextDueDate")
     returns = ("Returns.LastMadeUpDate", "Returns.NextDueDate")
     return raw.select(
+        *keep,
         number.alias("_key"),
         number.alias("companyNumber"),
         F.col("CompanyName").alias("name"),
@@ -126,19 +127,22 @@ def warehouse_company(raw):
 
 def company_documents(spark, path, stored=None):
     """Documents of a snapshot; they replace the stored ones with the same key."""
-    documents = company_document(read_snapshot_csv(spark, path)).dropDuplicates(["_key"])
-    return documents if stored is None else replace_documents(stored, documents, "_key")
+    rows = read_snapshot_csv(spark, path, place="_place")
+    # of several rows of a company the first counts
+    new = drop_exact(company_document(rows, keep=["_place"]), ["_key"], F.col("_place")).drop("_place")
+    return new if stored is None else replace_documents(stored, new, "_key", F.col("_key"))
 
 
 def companies_and_sic(spark, path, companies=None, sic=None):
     """(companies, activity code bridge) after a snapshot; known companies stay as they are."""
-    rows = read_mapped_csv(spark, path, SNAPSHOT_HEADERS)
+    rows = read_mapped_csv(spark, path, SNAPSHOT_HEADERS, place="_place")
     flat = rows.drop(*[f"sic_text_{i}" for i in range(1, 5)]).withColumn(
         "date", ch_date(F.col("date"))
     )
-    codes = explode_sic(rows)
-    new_companies = flat.dropDuplicates(["number"])
+    codes = explode_sic(rows.drop("_place"))
+    # of several rows of a company the first counts
+    new_companies = drop_exact(flat, ["number"], F.col("_place")).drop("_place")
     return (
-        new_companies if companies is None else insert_new(companies, new_companies, "number"),
-        codes if sic is None else insert_new(sic, codes, ["company_number", "sic_code"]),
+        new_companies if companies is None else insert_new(companies, new_companies, "number", F.col("number")),
+        codes if sic is None else insert_new(sic, codes, ["company_number", "sic_code"], F.col("sic_code")),
     )

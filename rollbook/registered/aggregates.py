@@ -3,9 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..fixed_values import DATED_SUMMARY, OFFICER_LABEL, PROFILE_LABELS, WIDE_ACCOUNTS
-from ..functions import only_value, to_decimal
+from ..functions import to_decimal
 from ..operators import (
-    concat_values,
     count_summary,
     counter,
     dated_summary,
@@ -19,7 +18,9 @@ from ..operators import (
     largest_absolute,
     load_audit,
     max_for,
+    list_values,
     nest_facts,
+    only_values,
     non_null_frequency,
     pivot_facts,
     record_totals,
@@ -123,14 +124,14 @@ def ag03(spark, folder):
     "ag04_distinct_values",
     with_sql(
         "facts",
-        f"""SELECT company_number, 0::BIGINT AS part,
-                   array_to_string(list_sort(list(DISTINCT value)), '|') AS officers
-            FROM facts WHERE label = '{OFFICER_LABEL}' GROUP BY company_number""",
+        f"""SELECT company_number, value AS officer,
+                   row_number() OVER (PARTITION BY company_number ORDER BY value) - 1 AS position
+            FROM (SELECT DISTINCT company_number, value FROM facts
+                  WHERE label = '{OFFICER_LABEL}') AS d""",
     ),
 )
 def ag04(spark, folder):
-    out = distinct_values(facts(spark, folder), ["company_number"])
-    return out.withColumn("officers", F.array_join("officers", "|"))
+    return distinct_values(facts(spark, folder), ["company_number"])
 
 
 @query(
@@ -174,15 +175,15 @@ def ag07(spark, folder):
 
 @query(
     "ag08_concat_values",
-    """SELECT 'Customer ' || o_custkey AS name, 0::BIGINT AS part,
-              string_agg(o_orderpriority, ', ' ORDER BY o_orderpriority) AS o_orderpriority
-       FROM orders GROUP BY o_custkey""",
+    """SELECT 'Customer ' || o_custkey AS name, o_orderpriority,
+              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) - 1 AS position
+       FROM orders""",
 )
 def ag08(spark, folder):
     orders = table(spark, folder, "orders").withColumn(
         "name", F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))
     )
-    return concat_values(orders, "name", "o_orderpriority", ", ", ["o_orderkey"])
+    return list_values(orders, ["name"], "o_orderpriority", name="o_orderpriority")
 
 
 @query(
@@ -285,8 +286,7 @@ VALUE_MAPS = """, m AS (SELECT company_number AS document, label, end_date,
     ),
 )
 def ag15(spark, folder):
-    maps = value_map(documents(spark, folder), "document")
-    entries = maps.select("document", F.explode("values").alias("end_date", "value"))
+    entries = value_map(documents(spark, folder), "document")
     return entries.groupBy("document", "end_date").agg(
         F.count("*").alias("labels"), F.min("value").alias("low"), F.max("value").alias("high")
     )
@@ -305,10 +305,7 @@ def ag15(spark, folder):
     ),
 )
 def ag16(spark, folder):
-    maps = value_map(documents(spark, folder), "document")
-    return maps.join(accounts(spark, folder).select("document", "accounts_date"), "document").select(
-        "document", "label", only_value(F.col("values"), F.col("accounts_date")).alias("value")
-    )
+    return only_values(documents(spark, folder), accounts(spark, folder), "document")
 
 
 def profile_sql():
@@ -341,9 +338,13 @@ def ag17(spark, folder):
     "ag18_nest_facts",
     with_sql(
         "facts",
-        """SELECT company_number AS document, 0::BIGINT AS part, COUNT(*) AS number_of_facts,
-                  string_agg(label || '=' || value, ';' ORDER BY position) AS facts
-           FROM facts GROUP BY company_number""",
+        """SELECT company_number AS document, COUNT(*) AS number_of_facts,
+                  ARG_MIN(label || '=' || value, position) AS first_fact,
+                  ARG_MAX(label || '=' || value, position) AS last_fact,
+                  CAST(SUM(place * length(label || value)) AS BIGINT) AS checksum
+           FROM (SELECT *, row_number() OVER (PARTITION BY company_number ORDER BY position) - 1
+                           AS place FROM facts) AS f
+           GROUP BY company_number""",
     ),
 )
 def ag18(spark, folder):
@@ -353,9 +354,14 @@ def ag18(spark, folder):
         "at",
         F.floor(F.col("at") / 100),
     )
-    nested = nest_facts(placed, ["document"], fields=["label", "value"])
-    text = F.transform("facts", lambda f: F.concat(f["label"], F.lit("="), f["value"]))
-    return nested.withColumn("facts", F.array_join(text, ";"))
+    found, nested = nest_facts(placed, ["document"], fields=["label", "value"])
+    told = F.concat("label", F.lit("="), "value")
+    summary = nested.groupBy("document").agg(
+        F.min_by(told, "position").alias("first_fact"),
+        F.max_by(told, "position").alias("last_fact"),
+        F.sum(F.col("position") * F.length(F.concat("label", "value"))).alias("checksum"),
+    )
+    return found.join(summary, "document")
 
 
 @query(

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import ACCOUNTANTS_LABEL, REGISTERED_NUMBER_LABEL, WIDE_ACCOUNTS
-from ..operators import with_position
+from ..fixed_values import ACCOUNTANTS_LABEL, OFFICER_LABEL, REGISTERED_NUMBER_LABEL, WIDE_ACCOUNTS
+from ..operators import in_order, with_position
 from ..plans import (
+    account_officers,
     account_documents_from_facts,
     account_documents_from_json,
     adviser_report,
@@ -384,13 +385,14 @@ def jb05c(spark, folder):
 @query(
     "jb06_account_documents_from_facts",
     """WITH own AS (SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS d,
-                           COUNT(*) AS n, string_agg(l_returnflag || l_quantity::INT, ','
-                                                     ORDER BY l_linenumber, l_partkey) AS facts
+                           COUNT(*) AS n, list(l_returnflag || l_quantity::INT
+                                               ORDER BY l_linenumber, l_partkey) AS facts
                     FROM orders JOIN lineitem ON o_orderkey = l_orderkey
                      AND date_trunc('year', o_orderdate) = date_trunc('year', l_shipdate)
                     GROUP BY ALL)
        SELECT lpad(o_orderkey::VARCHAR, 8, '0') AS company_number, d AS accounts_date,
-              'F' || o_orderkey AS id, n AS number_of_facts, facts
+              'F' || o_orderkey AS id, n AS number_of_facts,
+              unnest(range(n)) AS place, unnest(facts) AS fact
        FROM own WHERE n = CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AND o_orderstatus <> 'P'""",
 )
 def jb06(spark, folder):
@@ -424,11 +426,11 @@ def jb06(spark, folder):
         text.alias("barcode"),
         text.alias("type"),
     )
-    documents_ = account_documents_from_facts(orders.drop("status", "o_orderkey"), placed, filings)
-    told = F.transform("facts", lambda f: F.concat(f["label"], f["value"]))
-    return documents_.select(
-        "company_number", "accounts_date", "id", "number_of_facts", F.array_join(told, ",").alias("facts")
-    )
+    built, nested = account_documents_from_facts(orders.drop("status", "o_orderkey"), placed, filings)
+    keys = ["company_number", "accounts_date"]
+    told = F.concat("label", "value").alias("fact")
+    rows = in_order(nested.select(*keys, "position", told), keys, ["position"], "place")
+    return built.select(*keys, "id", "number_of_facts").join(rows.drop("position"), keys)
 
 
 @query(
@@ -470,15 +472,10 @@ def jb07(spark, folder):
             text.alias("type"),
         )
     )
-    out = account_documents_from_json(files, names.unionByName(members), filings)
-    informed = F.size(F.filter("facts", lambda f: f["additional_info"].isNotNull()))
-    return out.select(
-        "company_number",
-        "accounts_date",
-        "id",
-        "number_of_facts",
-        informed.cast("bigint").alias("with_info"),
-    )
+    built, nested, _ = account_documents_from_json(files, names.unionByName(members), filings)
+    keys = ["company_number", "accounts_date"]
+    informed = nested.groupBy(*keys).agg(F.count("additional_info").alias("with_info"))
+    return built.select(*keys, "id", "number_of_facts").join(informed, keys)
 
 
 @query(
@@ -520,9 +517,7 @@ def _wide_sql():
         "numbers companies",
         f""", k AS (SELECT DISTINCT company_number, end_date FROM numbers
                     WHERE label = '{REGISTERED_NUMBER_LABEL}' AND value = company_number),
-              w AS (SELECT n.company_number, n.end_date, {_wide_sql()},
-                           array_to_string(list_sort(list(DISTINCT value)
-                               FILTER (WHERE label = 'Name of entity officer')), '|') AS officers
+              w AS (SELECT n.company_number, n.end_date, {_wide_sql()}
                     FROM numbers n JOIN k ON n.company_number = k.company_number
                                          AND n.end_date = k.end_date GROUP BY ALL)
             SELECT w.*, c.postcode AS post_code FROM w LEFT JOIN companies c
@@ -538,11 +533,26 @@ def jb09(spark, folder):
             dbl(c) if rule == "signed" else C(c).cast("string").alias(c)
             for c, _, rule in WIDE_ACCOUNTS
         ],
-        F.array_join("officers", "|").alias("officers"),
         "post_code",
     )
 
 
+@query(
+    "jb09d_account_officers",
+    with_sql(
+        "facts",
+        f"""SELECT company_number, end_date, value AS officer,
+                   row_number() OVER (PARTITION BY company_number, end_date ORDER BY value) - 1 AS position
+            FROM (SELECT DISTINCT company_number, end_date, value FROM facts
+                  WHERE label = '{OFFICER_LABEL}' AND (company_number, end_date) IN
+                        (SELECT (company_number, end_date) FROM facts
+                         WHERE label = '{REGISTERED_NUMBER_LABEL}' AND value = company_number)) AS d""",
+    ),
+)
+def jb09d(spark, folder):
+    return account_officers(facts(spark, folder))
+
+
 COUNTIES = ["NATION_1", "NATION_2", "NATION_3"]
 REGIONAL = f""", k AS (SELECT DISTINCT company_number, end_date FROM numbers
                        WHERE label = '{REGISTERED_NUMBER_LABEL}' AND value = company_number
@@ -583,8 +593,7 @@ def jb09b(spark, folder):
     with_sql(
         "numbers companies postcodes",
         REGIONAL
-        + f""" SELECT accountants AS name, 0::BIGINT AS part,
-                      string_agg(accounting_software, ', ' ORDER BY accounting_software) AS software,
+        + f""" SELECT accountants AS name,
                       (SELECT COUNT(DISTINCT company_number) FROM numbers f
                        WHERE f.label = '{ACCOUNTANTS_LABEL}' AND f.value = accountants)
                           AS number_of_clients
@@ -592,7 +601,22 @@ def jb09b(spark, folder):
     ),
 )
 def jb09c(spark, folder):
-    return adviser_report(_regional(spark, folder), facts(spark, folder))
+    return adviser_report(_regional(spark, folder), facts(spark, folder))[0]
+
+
+@query(
+    "jb09e_adviser_software",
+    with_sql(
+        "numbers companies postcodes",
+        REGIONAL
+        + """ SELECT accountants AS name, accounting_software AS software,
+                     row_number() OVER (PARTITION BY accountants ORDER BY accounting_software) - 1 AS position
+              FROM r WHERE accounting_software IS NOT NULL AND accountants IN
+                   (SELECT accountants FROM r GROUP BY accountants HAVING COUNT(*) > 5)""",
+    ),
+)
+def jb09e(spark, folder):
+    return adviser_report(_regional(spark, folder), facts(spark, folder))[1]
 
 
 @query(

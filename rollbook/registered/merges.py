@@ -161,7 +161,7 @@ def mg06(spark, folder):
     ),
 )
 def mg07(spark, folder):
-    rows = drop_exact(facts(spark, folder), ["company_number", "end_date", "label", "value"])
+    rows = drop_exact(facts(spark, folder), ["company_number", "end_date", "label", "value"], F.col("seq"))
     return rows.groupBy("company_number").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
@@ -214,7 +214,7 @@ def mg10(spark, folder):
     "mg11_append_values",
     """WITH b AS (SELECT c_custkey AS k, -1 AS o, c_mktsegment AS v FROM customer UNION ALL
                   SELECT o_custkey, o_orderkey, o_orderstatus FROM orders)
-       SELECT k, 0::BIGINT AS part, string_agg(v, ';' ORDER BY o) AS v FROM b GROUP BY k""",
+       SELECT k, o, v, CASE WHEN o = -1 THEN 0 ELSE 1 END AS age FROM b""",
 )
 def mg11(spark, folder):
     target = table(spark, folder, "customer").select(
@@ -223,7 +223,7 @@ def mg11(spark, folder):
     src = table(spark, folder, "orders").select(
         F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("o"), F.col("o_orderstatus").alias("v")
     )
-    return append_values(target, src, "k", "v", ";", "o")
+    return append_values(target, src, "k", "v", "o")
 
 
 @query(

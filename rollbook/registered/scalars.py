@@ -43,7 +43,7 @@ from ..functions import (
 )
 from ..fixed_values import APPOINTMENT_TYPES, COMPANY_TYPES
 from ..operators import explode_sic, flatten_tree
-from .adapters import facts, register_events, spread, stamp, table, with_sql
+from .adapters import facts, register_events, stamp, table, with_sql
 from .registry import query
 
 C = F.col
@@ -553,7 +553,7 @@ def concept_trees(spark, folder):
         concept("core", C("p_type"), brand, concept("core", C("p_name"))),
         concept("core", C("p_retailprice")),
     )
-    return spread(table(spark, folder, "part")).select(
+    return table(spark, folder, "part").select(
         "p_partkey", F.concat(F.lit('{"dimensions":['), role, F.lit("]}")).alias("tree")
     )
 

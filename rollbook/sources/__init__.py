@@ -1,6 +1,12 @@
 """Readers, writers and file-level checks."""
 
-from .facts import explode_fact_json, place_in_file, read_fact_csv, read_fact_json  # noqa: F401
+from .facts import (  # noqa: F401
+    explode_fact_json,
+    fact_rows,
+    read_fact_csv,
+    read_fact_json,
+    read_fact_lines,
+)
 from .files import latest_snapshot, ordered_scan, pending  # noqa: F401
 from .lookups import key_values, read_key_values, read_lookup  # noqa: F401
 from .officers import (  # noqa: F401

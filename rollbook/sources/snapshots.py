@@ -2,13 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from .headed import MOST_COLUMNS, cell, header_names, raw_reader, with_file, with_header
 
-def _text_csv(spark, path, **options):
+
+def _lines(spark, path, **options):
     """All columns as text: company numbers such as 00012345 must not become numbers."""
-    reader = spark.read.option("header", True).option("escape", '"')
-    for name, value in options.items():
-        reader = reader.option(name, value)
-    return reader.csv(path)
+    return with_header(with_file(raw_reader(spark.read, MOST_COLUMNS, **options).csv(path)))
 
 
 def nest_dotted(df):
@@ -27,13 +26,17 @@ def nest_dotted(df):
     return df.select(*out)
 
 
-def read_snapshot_csv(spark, path, schema=None):
-    """A header-line CSV with dotted headers as nested text columns.
+def read_snapshot_csv(spark, path, schema=None, place=None, **options):
+    """CSV files with dotted headers as nested text columns, each file by its own header.
 
-    With ``schema`` (a StructType) the result has exactly those columns; one that the file
-    lacks is NULL.
+    With ``schema`` (a StructType) the result has exactly those columns; one that the files
+    lack is NULL. ``place`` names a column to add: the place of the row, older files first.
+    ``multiline=True`` allows line breaks in values; a file is then read by one task.
     """
-    df = nest_dotted(_text_csv(spark, path))
+    lines = _lines(spark, path, **options)
+    names = header_names(lines)
+    flat = lines.select(*[cell(name).alias(name) for name in names], *([F.col("seq").alias(place)] if place else []))
+    df = nest_dotted(flat)
     if schema is None:
         return df
     present = set(df.columns)
@@ -49,13 +52,15 @@ def read_json_lines(spark, path, schema):
     return spark.read.schema(schema).json(path)
 
 
-def read_mapped_csv(spark, path, header_map):
-    """Keep and rename the headers in ``header_map``; all other columns are never parsed."""
-    df = _text_csv(spark, path)
-    kept = [(raw, header_map.get(raw.strip())) for raw in df.columns]
-    return df.select(*[F.col(f"`{raw}`").alias(name) for raw, name in kept if name])
+def read_mapped_csv(spark, path, header_map, place=None, **options):
+    """Keep and rename the headers in ``header_map``, each file by its own header; see ``read_snapshot_csv``."""
+    lines = _lines(spark, path, **options)
+    names = set(header_names(lines))
+    kept = [cell(raw).alias(name) for raw, name in header_map.items() if raw in names]
+    return lines.select(*kept, *([F.col("seq").alias(place)] if place else []))
 
 
 def read_delimited(spark, path, sep="<"):
     """Delimited text with a header line and no quoting."""
-    return _text_csv(spark, path, sep=sep, quote="")
+    lines = _lines(spark, path, sep=sep, quote="")
+    return lines.select(*[cell(name).alias(name) for name in header_names(lines)])

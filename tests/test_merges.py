@@ -84,7 +84,7 @@ def test_pivot_has_one_row_per_key(spark):
 def test_other_merges(spark):
     target = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     src = spark.createDataFrame([("b", 2), ("c", 2)], "k string, v int")
-    assert rows(replace_documents(target, src, "k")) == [("a", 1), ("b", 2), ("c", 2)]
+    assert rows(replace_documents(target, src, "k", F.col("v"))) == [("a", 1), ("b", 2), ("c", 2)]
     assert rows(add_parents(src, target, "k")) == [("a", 1), ("b", 1), ("c", None)]
     maps = merge_maps(
         spark.createDataFrame([("x", "1"), ("y", "1")], "key string, value string"),
@@ -92,7 +92,7 @@ def test_other_merges(spark):
     )
     assert rows(maps) == [("x", "1"), ("y", "2"), ("z", "2")]
     twice = target.unionByName(target)
-    assert rows(drop_exact(twice, ["k", "v"])) == rows(drop_exact(drop_exact(twice, ["k", "v"]), ["k", "v"]))
+    assert rows(drop_exact(twice, ["k", "v"], F.col("v"))) == rows(drop_exact(drop_exact(twice, ["k", "v"], F.col("v")), ["k", "v"], F.col("v")))
 
 
 def test_relabel_rejects_whole_documents(spark):

@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from rollbook.operators import pivot_facts, signed_extreme
+from rollbook.registered import QUERIES
 from rollbook.registered.adapters import facts
 
 # read-back queries run jobs of their own before they return; their plans are plain scans
@@ -17,9 +17,9 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(entry.queries()) if not n.startswith(SKIP)])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(SKIP)])
 def test_no_cross_joins_and_no_python(spark, data, name):
-    plan = physical(entry.queries()[name](spark, data))
+    plan = physical(QUERIES[name](spark, data))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
         assert node not in plan
 
@@ -41,11 +41,11 @@ def test_numeric_pivot_is_a_hash_aggregate(spark, data):
 
 
 def test_time_range_reaches_the_scan(spark, data):
-    plan = physical(entry.queries()["pf07_time_range"](spark, data))
+    plan = physical(QUERIES["pf07_time_range"](spark, data))
     assert "GreaterThan(ts" in plan and "LessThan(ts" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan
 
 
 def test_latest_per_key_limits_before_the_shuffle(spark, data):
-    plan = physical(entry.queries()["wn03_latest_per_key"](spark, data))
+    plan = physical(QUERIES["wn03_latest_per_key"](spark, data))
     assert "WindowGroupLimit" in plan

@@ -6,22 +6,23 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.fixed_values import REGISTERED_NUMBER_LABEL
 from rollbook.operators import (
     append_values,
     band_join,
-    collect_in_parts,
-    concat_values,
     distinct_values,
+    list_values,
     nest_facts,
+    only_values,
     rolling_count,
     rolling_mean,
     running_mean,
     value_map,
     with_first_seen,
-    with_parts,
     with_position,
     with_previous,
 )
+from rollbook.plans import account_officers, wide_accounts
 from tests.conftest import rows
 
 N = 900
@@ -130,48 +131,62 @@ def test_band_join(spark, skewed, data_rows):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_parts_hold_the_whole_group(skewed, data_rows):
-    parts = collect_in_parts(skewed, ["k"], F.col("at"), ["at"], "list", rows_per_part=25).collect()
+def test_lists_of_a_hot_key(skewed, data_rows):
+    got = list_values(skewed, ["k"], "at")
     seen = defaultdict(list)
-    for r in parts:
-        assert r.list == sorted(r.list)
-        seen[r.k] += r.list
-    groups = by_key(data_rows)
+    for r in got.collect():
+        seen[r.k].append((r.position, r.value))
     assert {k: sorted(v) for k, v in seen.items()} == {
-        k: [r[1] for r in g] for k, g in groups.items()
+        k: list(enumerate(sorted(r[1] for r in g))) for k, g in by_key(data_rows).items()
     }
-    assert len({r.part for r in parts if r.k == "hot"}) == N // 3 // 25
-    assert {r.part for r in parts if len(groups[r.k]) <= 25} == {0}
 
 
-def test_small_groups_are_one_row(skewed):
-    assert with_parts(skewed, ["k"], ["at"]).filter("part > 0").count() == 0
-
-
-def test_concat_values_keeps_repeats(skewed, data_rows):
-    got = concat_values(skewed, "k", "s", ",", ["at"], rows_per_part=25).collect()
+def test_lists_keep_repeats_and_drop_nulls(skewed, data_rows):
+    got = list_values(skewed, ["k"], "s")
     seen = defaultdict(list)
-    for r in got:
-        seen[r.k] += r.s.split(",")
+    for r in got.collect():
+        seen[r.k].append((r.position, r.value))
     assert {k: sorted(v) for k, v in seen.items()} == {
-        k: sorted(r[3] for r in g if r[3]) for k, g in by_key(data_rows).items()
+        k: list(enumerate(sorted(r[3] for r in g if r[3] is not None)))
+        for k, g in by_key(data_rows).items()
+        if any(r[3] is not None for r in g)
     }
 
 
 def test_append_values(spark):
     target = spark.createDataFrame([("a", 0, "x")], "k string, o int, v string")
     src = spark.createDataFrame([("a", 2, "z"), ("a", 1, "y"), ("b", 1, "n")], target.schema)
-    got = append_values(target, src, "k", "v", ";", "o").select("k", "v")
-    assert rows(got) == [("a", "x;y;z"), ("b", "n")]
+    got = append_values(target, src, "k", "v", "o")
+    assert rows(got) == [("a", 0, "x", 0), ("a", 1, "y", 1), ("a", 2, "z", 1), ("b", 1, "n", 1)]
 
 
-def test_nested_documents_in_parts(spark):
+def test_nested_documents_of_any_size(spark):
     facts = spark.range(95).select(
         F.lit("d").alias("document"), F.col("id").alias("position"), F.col("id").alias("value")
     )
-    got = nest_facts(facts, ["document"], rows_per_part=40).orderBy("part").collect()
-    assert [r.number_of_facts for r in got] == [40, 40, 15]
-    assert [f.value for r in got for f in r.facts] == list(range(95))
+    documents, nested = nest_facts(facts, ["document"])
+    assert rows(documents) == [("d", 95)]
+    assert sorted((r.position, r.value) for r in nested.collect()) == [(i, i) for i in range(95)]
+
+
+def test_one_wide_row_for_a_filing_with_very_many_officers(spark):
+    many = spark.range(120_000).select(
+        F.lit("00000001").alias("company_number"), F.lit("2020-01-31").alias("end_date"),
+        F.lit("Name of entity officer").alias("label"), F.concat(F.lit("P"), "id").alias("value"),
+        F.col("id").alias("seq"),
+    )
+    few = spark.createDataFrame(
+        [("00000001", "2020-01-31", "Equity", "5", -1),
+         ("00000001", "2020-01-31", REGISTERED_NUMBER_LABEL, "00000001", -2),
+         ("00000002", "2020-01-31", "Equity", "7", -3)],
+        "company_number string, end_date string, label string, value string, seq bigint",
+    )
+    facts = many.unionByName(few)
+    companies = spark.createDataFrame([("00000001", "AB1")], "number string, postcode string")
+    (wide,) = wide_accounts(facts, companies).collect()
+    assert (wide.company_number, int(wide.equity), wide.post_code) == ("00000001", 5, "AB1")
+    officers = account_officers(facts)
+    assert officers.count() == 120_000 and officers.agg(F.max("position")).first()[0] == 119_999
 
 
 def test_value_map_last_wins(spark):
@@ -180,7 +195,21 @@ def test_value_map_last_wins(spark):
          ("d", "Equity", "2021", 2, "-29949"), ("d", "Equity", "2020", 3, "7")],
         "document string, label string, end_date string, position int, value string",
     )
-    assert value_map(facts, "document").first()["values"] == {"2021": "-29949", "2020": "7"}
+    assert rows(value_map(facts, "document").drop("document", "label")) == [("2020", "7"), ("2021", "-29949")]
+
+
+@pytest.mark.parametrize(
+    "dates, expected",
+    [(["2021"], "v0"), (["2021", "2020"], None), (["2022", "2020"], "v0"), ([None], "v0"), ([None, "2021"], None)],
+)
+def test_only_value(spark, dates, expected):
+    """The accounts are of 2022; no date at all is a date of its own."""
+    facts = spark.createDataFrame(
+        [("d", "Equity", d, i, f"v{i}") for i, d in enumerate(dates)],
+        "document string, label string, end_date string, position int, value string",
+    )
+    accounts = spark.createDataFrame([("d", "2022")], "document string, accounts_date string")
+    assert only_values(facts, accounts, "document").first().value == expected
 
 
 def test_distinct_values_of_a_large_filing(spark):
@@ -189,5 +218,5 @@ def test_distinct_values_of_a_large_filing(spark):
         F.lit("Name of entity officer").alias("label"),
         F.concat(F.lit("P"), F.col("id") % 100).alias("value"),
     )
-    got = distinct_values(facts, ["company_number"], rows_per_part=30).collect()
-    assert sorted(v for r in got for v in r.officers) == sorted(f"P{i}" for i in range(100))
+    got = distinct_values(facts, ["company_number"]).collect()
+    assert sorted((r.position, r.officer) for r in got) == list(enumerate(sorted(f"P{i}" for i in range(100))))

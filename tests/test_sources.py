@@ -1,10 +1,12 @@
 """Readers on files with hand-made, invented content."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.operators import drop_exact
 from rollbook.plans import company_document, load_fact_stream, load_facts, load_officers
 from rollbook.plans.accounts import FACT_COLUMNS
 from rollbook.schemas import SIC_MAP
@@ -275,3 +277,40 @@ def test_documents_leave_out_missing_fields(spark, tmp_path):
     assert text == ['{"k":"a"}', '{"k":"b","v":"x"}', '{"k":"c"}']
     back = spark.read.schema("y string, k string, v string").json(str(tmp_path / "docs"))
     assert rows(back.select("y", "k", "v")) == rows(df)
+
+
+def test_fact_files_with_line_breaks_and_their_own_headers(spark, tmp_path):
+    """The older file counts first, however small; values go by the header of their own file."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    old, new = folder / "00012345_2020-05-31.csv", folder / "00012345_2019-05-31.csv"
+    old.write_text(
+        'Value,Label,contextRef,Name,End/Instant\n"line one\nline two, tail",Note,c1,core:Note,2020-05-31\n'
+    )
+    new.write_text(FACT_HEADER + "Note,core:Note,c1,later,x,,2020-05-31,,,e\n" * 50)
+    os.utime(old, (1_000_000, 1_000_000))
+    files = read_fact_csv(spark, str(folder))
+    first = files.filter("file_date = '2020-05-31'").collect()
+    assert [(r.value, r.label, r.name, r.context_ref, r.end_date, r.start_date) for r in first] == [
+        ("line one\nline two, tail", "Note", "core:Note", "c1", "2020-05-31", None)
+    ]
+    assert files.filter("file_date = '2019-05-31'").count() == 50
+    empty = files.withColumn("company_number", F.lit("")).select(*FACT_COLUMNS).limit(0)
+    scanned = spark.createDataFrame([], "company_number string, accounts_date string, number_of_facts bigint")
+    companies = spark.createDataFrame([], "number string, name string")
+    stored = load_facts(files, scanned, companies, empty, empty, "2024-01-01")["facts"].collect()
+    assert [r.value for r in stored] == ["line one\nline two, tail"]
+
+
+def test_snapshots_with_their_own_headers_and_repeated_companies(spark, tmp_path):
+    folder = tmp_path / "snapshot"
+    folder.mkdir()
+    one, two = folder / "part1.csv", folder / "part2.csv"
+    one.write_text(" CompanyNumber,CompanyName, CompanyCategory\n1,FIRST,A\n")
+    two.write_text("CompanyName,CompanyNumber\nSECOND,1\nOTHER,2\n")
+    os.utime(one, (1_000_000, 1_000_000))
+    mapped = read_mapped_csv(spark, str(folder), {"CompanyNumber": "number", "CompanyName": "name", "CompanyCategory": "kind"})
+    assert rows(mapped) == [("1", "FIRST", "A"), ("1", "SECOND", None), ("2", "OTHER", None)]
+    placed = read_mapped_csv(spark, str(folder), {"CompanyNumber": "number", "CompanyName": "name"}, place="_place")
+    kept = drop_exact(placed, ["number"], F.col("_place"))
+    assert rows(kept.select("number", "name")) == [("1", "FIRST"), ("2", "OTHER")]
