@@ -112,6 +112,13 @@ PROFILE_LABELS = [
     ("profit", "Profit (loss)"),
 ]
 
+# -- Fixed values: profile columns that are dates or numbers
+PROFILE_DATES = ["end_date", "balance_sheet_date", "start_date"]
+PROFILE_NUMBERS = [
+    "employees", "equity", "total_assets_less_current_liabilities", "net_assets", "net_current_assets", "current_assets",
+    "creditors", "revenue", "profit",
+]
+
 # -- Fixed values: balance-sheet-date summary, (column, label, exact or pattern)
 DATED_SUMMARY = [
     ("accountants", "Name of entity accountants", "exact"),

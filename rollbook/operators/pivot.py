@@ -2,7 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import DATED_SUMMARY, OFFICER_LABEL, PROFILE_LABELS, WIDE_ACCOUNTS
+from ..fixed_values import (
+    DATED_SUMMARY,
+    OFFICER_LABEL,
+    PROFILE_DATES,
+    PROFILE_LABELS,
+    PROFILE_NUMBERS,
+    WIDE_ACCOUNTS,
+)
 from ..functions import to_decimal
 from .lists import list_values
 
@@ -109,7 +116,9 @@ def financial_profile(facts, accounts, document="document", labels=tuple(PROFILE
     """One row per filing with the profile columns, by the only-value rule.
 
     ``facts`` has document, label, value, end_date and position; ``accounts`` has document
-    and accounts_date. No map is built: the rule needs five combinable aggregates.
+    and accounts_date. No map is built: the rule needs a few combinable aggregates. Numbers are
+    DECIMAL, dates DATE, texts that are neither NULL. Officers, of which a filing may have any number,
+    are child rows: ``distinct_values(facts, [document])``.
     """
     wanted = facts.filter(F.col("label").isin([label for _, label in labels]))
     only = only_values(wanted, accounts, document)
@@ -118,6 +127,10 @@ def financial_profile(facts, accounts, document="document", labels=tuple(PROFILE
         value = F.max(F.when(F.col("label") == label, F.col("value")))
         if column == "dormant":
             value = F.lower(value) == "true"
+        elif column in PROFILE_NUMBERS:
+            value = to_decimal(value)
+        elif column in PROFILE_DATES:
+            value = F.try_to_date(value, "yyyy-MM-dd")
         columns.append(value.alias(column))
     return only.groupBy(document).agg(*columns)
 

@@ -1,13 +1,11 @@
 """Landed event files to stored events, as a stream that stops when it is up to date."""
 
-from pyspark.sql import functions as F
-
 from ..streaming import (
-    COMPANY_COLUMNS,
     dedupe_events,
     describe_flat,
     flatten_company,
     flatten_filing,
+    read_companies,
     read_events,
     run_until_current,
     save_each_batch,
@@ -15,23 +13,28 @@ from ..streaming import (
 )
 
 
+def _store_unreadable(spark, bad, folder):
+    """Lines that are not events, stored next to the events batch by batch."""
+    run_until_current(save_each_batch(bad, f"{folder}/unreadable"), f"{folder}/unreadable-checkpoint")
+    return spark.read.schema("value string, batch int").parquet(f"{folder}/unreadable").select("value")
+
+
 def load_company_events(spark, landing, folder, max_files=None, segment=None):
-    """(company events, companies) stored below ``folder`` after all landed files."""
-    events = flatten_company(dedupe_events(read_events(spark, "companies", landing, max_files)))
-    writer = start_company_stream(events, folder, segment)
+    """(company events, companies, unreadable lines) stored below ``folder`` after all landed files."""
+    events, bad = read_events(spark, "companies", landing, max_files)
+    writer = start_company_stream(flatten_company(dedupe_events(events)), folder, segment)
     run_until_current(writer, f"{folder}/checkpoint")
     stored = spark.read.parquet(f"{folder}/events").drop("batch")
-    versions = spark.read.parquet(f"{folder}/companies")
-    # one row, so the broadcast has a fixed size
-    newest = F.broadcast(versions.agg(F.max("version").alias("version")))
-    return stored, versions.join(newest, "version", "left_semi").select(*COMPANY_COLUMNS)
+    return stored, read_companies(spark, folder), _store_unreadable(spark, bad, folder)
 
 
 def load_filing_events(spark, landing, folder, templates, companies=None, max_files=None):
-    """Described filing events stored below ``folder`` after all landed files."""
-    events = flatten_filing(dedupe_events(read_events(spark, "filings", landing, max_files)))
+    """(described filing events, unreadable lines) stored below ``folder`` after all landed files."""
+    events, bad = read_events(spark, "filings", landing, max_files)
     writer = save_each_batch(
-        events, f"{folder}/events", finish=lambda batch: describe_flat(batch, templates, companies)
+        flatten_filing(dedupe_events(events)),
+        f"{folder}/events",
+        finish=lambda batch: describe_flat(batch, templates, companies),
     )
     run_until_current(writer, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/events").drop("batch")
+    return spark.read.parquet(f"{folder}/events").drop("batch"), _store_unreadable(spark, bad, folder)

@@ -2,7 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import DATED_SUMMARY, OFFICER_LABEL, PROFILE_LABELS, WIDE_ACCOUNTS
+from ..fixed_values import (
+    DATED_SUMMARY,
+    OFFICER_LABEL,
+    PROFILE_DATES,
+    PROFILE_LABELS,
+    PROFILE_NUMBERS,
+    WIDE_ACCOUNTS,
+)
 from ..functions import to_decimal
 from ..operators import (
     count_summary,
@@ -312,7 +319,11 @@ def profile_sql():
     columns = []
     for column, label in PROFILE_LABELS:
         value = f"MAX(value) FILTER (WHERE label = '{label}')"
-        columns.append(f"LOWER({value}) = 'true'" if column == "dormant" else value)
+        if column == "dormant":
+            value = f"LOWER({value}) = 'true'"
+        elif column in PROFILE_NUMBERS:
+            value = f"CAST(TRY_CAST(replace({value}, ',', '') AS DECIMAL(38,6)) AS DOUBLE)"
+        columns.append(value)
         columns[-1] += f" AS {column}"
     return ", ".join(columns)
 
@@ -331,7 +342,15 @@ def profile_sql():
     ),
 )
 def ag17(spark, folder):
-    return financial_profile(documents(spark, folder), accounts(spark, folder))
+    return plain_profile(financial_profile(documents(spark, folder), accounts(spark, folder)))
+
+
+def plain_profile(rows):
+    """Profile rows with decimals as doubles and dates as texts, the same in both engines."""
+    kinds = dict(rows.dtypes)
+    plain = {c: "double" for c in PROFILE_NUMBERS} | {c: "string" for c in PROFILE_DATES}
+    assert all(kinds[c].startswith("decimal") for c in PROFILE_NUMBERS)
+    return rows.withColumns({c: F.col(c).cast(kind) for c, kind in plain.items()})
 
 
 @query(

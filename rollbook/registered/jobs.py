@@ -38,7 +38,7 @@ from .adapters import (
     table,
     with_sql,
 )
-from .aggregates import VALUE_MAPS, profile_sql
+from .aggregates import VALUE_MAPS, plain_profile, profile_sql
 from .registry import query
 from .scalars import bulk_path
 from .shapes import (
@@ -493,8 +493,23 @@ def jb07(spark, folder):
     ),
 )
 def jb08(spark, folder):
-    rows, _ = profile_rows(documents(spark, folder), accounts(spark, folder))
-    return rows
+    rows, _, _ = profile_rows(documents(spark, folder), accounts(spark, folder))
+    return plain_profile(rows)
+
+
+@query(
+    "jb08b_profile_officers",
+    with_sql(
+        "accounts",
+        f"""SELECT document, value AS officer,
+                   row_number() OVER (PARTITION BY document ORDER BY value) - 1 AS position
+            FROM (SELECT DISTINCT document, value FROM facts
+                  JOIN accounts USING (company_number)
+                  WHERE number_of_facts > 100 AND label = '{OFFICER_LABEL}') AS d""",
+    ),
+)
+def jb08b(spark, folder):
+    return profile_rows(documents(spark, folder), accounts(spark, folder))[2]
 
 
 def _wide_sql():
@@ -669,13 +684,34 @@ def jb10(spark, folder):
     ),
 )
 def jb11(spark, folder):
-    landing = landed(spark, folder, company_event_json, "company-events")
-    _, state = load_company_events(spark, landing, shared_folder(spark, "company-state"))
+    landing = landed(spark, folder, _with_broken_lines, "company-events")
+    _, state, _ = load_company_events(spark, landing, shared_folder(spark, "company-state"))
     return state.select(
         "number", "name", "status", "origin", C("date").cast("string").alias("date"), "timepoint"
     )
 
 
+def _with_broken_lines(spark, folder):
+    """All events, and those of deletions once more as lines that are not JSON."""
+    rows = company_event_json(spark, folder)
+    deleted = rows.filter(C("value").contains('"type":"deleted"'))
+    return rows.unionByName(deleted.select(F.concat(F.lit("?"), "value").alias("value")))
+
+
+@query(
+    "jb11b_stored_and_unreadable",
+    """SELECT 'stored' AS outcome, COUNT(*) AS n FROM events UNION ALL
+       SELECT 'unreadable', COUNT(*) FROM events WHERE event_type = 'error'""",
+)
+def jb11b(spark, folder):
+    landing = landed(spark, folder, _with_broken_lines, "company-events")
+    events, _, bad = load_company_events(spark, landing, shared_folder(spark, "company-state"))
+    outcomes = events.select(F.lit("stored").alias("outcome")).unionByName(
+        bad.select(F.lit("unreadable").alias("outcome"))
+    )
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
 @query(
     "jb12_load_filing_events",
     """SELECT event_id::VARCHAR AS id, event_id AS timepoint, 'B' || event_id AS barcode,
@@ -685,9 +721,10 @@ def jb11(spark, folder):
 def jb12(spark, folder):
     def twice(spark, folder):
         rows = filing_event_json(spark, folder)
-        return rows.unionByName(rows)
+        # repeats, and lines that break off
+        return rows.unionByName(rows).unionByName(rows.select(F.substring("value", 1, 30).alias("value")))
 
-    rows = load_filing_events(
+    rows, _ = load_filing_events(
         spark,
         landed(spark, folder, twice, "filing-events"),
         shared_folder(spark, "filing-events-stored"),

@@ -64,7 +64,7 @@ def st01(spark, folder):
         path = shared_folder(spark, f"topic-{topic}")
         of_kind = register_events(spark, folder).filter(F.col("kind") == kind)
         company_event_json(spark, folder, of_kind).write.text(path)
-        events = read_events(spark, topic, path).select(
+        events = read_events(spark, topic, path)[0].select(
             F.lit(kind).alias("kind"), F.col("event.timepoint").alias("timepoint"), "event_key"
         )
         rows = stored(spark, events, f"stored-{topic}")
@@ -126,7 +126,7 @@ def _twice(spark, folder):
 
 @query("st04_dedupe_events", "SELECT event_id::VARCHAR AS event_key FROM events")
 def st04(spark, folder):
-    events = read_events(spark, "companies", landed(spark, folder, _twice, "twice"))
+    events, _ = read_events(spark, "companies", landed(spark, folder, _twice, "twice"))
     return stored(spark, dedupe_events(events).select("event_key"), "once").select("event_key")
 
 
@@ -205,7 +205,7 @@ def st06b(spark, folder):
     for n in range(3):
         # the files of the next ten days arrive, the stream takes up where it stopped
         company_event_json(spark, folder, ev.filter(third == n)).write.mode("append").text(landing)
-        events, _ = load_company_events(spark, landing, target)
+        events, _, _ = load_company_events(spark, landing, target)
     return changes_text(events)
 
 
@@ -222,7 +222,7 @@ FILING_TEXT = """'**' || event_type || '** of ' || regexp_extract(props, '([0-9]
 )
 def st07(spark, folder):
     path = landed(spark, folder, filing_event_json, "filings")
-    rows = load_filing_events(
+    rows, _ = load_filing_events(
         spark,
         path,
         shared_folder(spark, "filings-stored"),
@@ -241,14 +241,14 @@ def st07(spark, folder):
 @query("st08_run_until_current", "SELECT event_id AS timepoint FROM events")
 def st08(spark, folder):
     path = landed(spark, folder, company_event_json, "current")
-    events = read_events(spark, "companies", path).select(F.col("event.timepoint").alias("timepoint"))
+    events = read_events(spark, "companies", path)[0].select(F.col("event.timepoint").alias("timepoint"))
     return stored(spark, events, "current-stored").select("timepoint")
 
 
 @query("st09_run_continuous", "SELECT event_id AS timepoint FROM events")
 def st09(spark, folder):
     landing = landed(spark, folder, company_event_json, "steady")
-    events = read_events(spark, "companies", landing).select(
+    events = read_events(spark, "companies", landing)[0].select(
         F.col("event.timepoint").alias("timepoint")
     )
     path = shared_folder(spark, "steady-stored")
@@ -266,7 +266,7 @@ def st09(spark, folder):
 )
 def st10(spark, folder):
     path = landed(spark, folder, company_event_json, "rate")
-    rates = event_rate(read_events(spark, "companies", path))
+    rates = event_rate(read_events(spark, "companies", path)[0])
     batches = stored(spark, rates, "rate-stored", "complete")
     newest = F.broadcast(batches.agg(F.max("batch").alias("batch")))
     return batches.join(newest, "batch", "left_semi").select(

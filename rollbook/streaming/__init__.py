@@ -4,6 +4,7 @@ from .companies import (  # noqa: F401
     COMPANY_COLUMNS,
     diff_companies,
     flatten_company,
+    read_companies,
     start_company_stream,
     timepoint_block,
 )

@@ -49,10 +49,10 @@ def with_event_key(events, topic):
 
 
 def read_events(spark, topic, folder, max_files=None):
-    """Readable events of one topic as a stream."""
+    """(readable events, unreadable lines) of one topic as streams."""
     lines = repair_frames(read_lines(spark, folder, max_files))
-    events, _ = parse_or_quarantine(lines, TOPICS[topic])
-    return with_event_key(events, topic)
+    events, bad = parse_or_quarantine(lines, TOPICS[topic])
+    return with_event_key(events, topic), bad
 
 
 def dedupe_events(df, id="event_key", ts="published", delay=None):

@@ -100,7 +100,7 @@ def test_stream_equals_batch_across_restarts(spark, tmp_path, cuts):
     for n, end in enumerate(cuts):
         # repeats of old events arrive again with the new ones
         (landing / f"{n}.json").write_text("\n".join(EVENTS[max(0, start - 2) : end]) + "\n")
-        events, companies = load_company_events(spark, str(landing), str(tmp_path / "out"))
+        events, companies, _ = load_company_events(spark, str(landing), str(tmp_path / "out"))
         start = end
     assert changes(events) == EXPECTED
     _, expected = diff_companies(batch(spark, EVENTS))
@@ -129,7 +129,7 @@ def test_topics_read_and_dedupe(spark, tmp_path, topic):
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "a.json").write_text("\n".join([event(1, etag="x"), event(1, etag="x"), event(2, etag="y")]) + "\n")
-    events = dedupe_events(read_events(spark, topic, str(landing))).select("event_key")
+    events = dedupe_events(read_events(spark, topic, str(landing))[0]).select("event_key")
     writer = save_each_batch(events, str(tmp_path / "rows"))
     run_until_current(writer, str(tmp_path / "check"))
     # the same events again in a later file
@@ -167,14 +167,29 @@ def test_filings(spark, tmp_path):
                 filing(3, "known", None),
                 filing(4, None, None),
                 filing(5, "known", {}, "/company/too-long-number/filing-history/x"),
+                "{broken",
             ]
         )
         + "\n"
     )
     templates = spark.createDataFrame([("known", "**Accounts** made up to {made_up_date}")], "key string, value string")
     companies = spark.createDataFrame([("SC000001", "ONE")], "number string, name string")
-    out = load_filing_events(spark, str(landing), str(tmp_path / "out"), templates, companies)
+    out, bad = load_filing_events(spark, str(landing), str(tmp_path / "out"), templates, companies)
+    assert rows(bad) == [("{broken",)]
     assert rows(out.select("id", "company_number", "description", "company_profile.name")) == [
         ("f1", "SC000001", "**Accounts** made up to 2021-05-31", "ONE"),
         ("f3", "SC000001", "**Accounts** made up to ", "ONE"),
     ]
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    landing.mkdir()
+    (landing / "0.json").write_text("\n".join(event(n, number=f"{n:08d}") for n in range(1, 300)) + "\n")
+    load_company_events(spark, str(landing), str(out))
+    (landing / "1.json").write_text(event(500, number="00000007") + "\n{broken\n")
+    _, companies, bad = load_company_events(spark, str(landing), str(out))
+    assert companies.count() == 299 and rows(bad) == [("{broken",)]
+    versions = sorted(p.name for p in (out / "companies").iterdir())
+    assert len(list((out / "companies" / versions[0]).glob("bucket=*"))) > 30
+    assert len(list((out / "companies" / versions[-1]).glob("bucket=*"))) == 1
