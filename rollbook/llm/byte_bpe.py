@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 #: Pieces that a worker remembers in each of two generations, of which the older one is given up, and pairs of
 #: tokens, beyond which it starts anew.
-PIECES, PAIRS = 120_000, 400_000
+PIECES, PAIRS = 150_000, 400_000
 
 
 class ByteBpe:
@@ -36,7 +36,7 @@ class ByteBpe:
             self.automaton.add_word(token, (len(token), rank))
         self.automaton.make_automaton()
         self.sizes = {rank: len(token) for rank, token in self.token.items()}
-        self.compatible, self.pieces, self.older = {}, {}, {}
+        self.compatible, self.newer, self.older = {}, {}, {}
         self.shorter, self.halves, self.merge = {}, {}, {}
         for rank in sorted(self.token):
             self._add(rank)
@@ -124,20 +124,25 @@ class ByteBpe:
         ids = self.older.get(piece)
         if ids is None:
             ids = self.piece(piece if piece.isascii() else piece.encode("utf-8").decode("latin-1"))
-        if len(self.pieces) >= PIECES:
-            self.older = dict(self.pieces)
-            self.pieces.clear()
-        self.pieces[piece] = ids
+        if len(self.newer) >= PIECES:
+            self.older, self.newer = self.newer, {}
+        self.newer[piece] = ids
         return ids
 
     def encode(self, text, pattern):
         """Token ids of a text; each match of the pattern is encoded by itself."""
-        out, newer, known = [], self.pieces.get, self._known
+        out = []
         for piece in pattern.findall(text):
-            out += newer(piece) or known(piece)
+            out += self.newer.get(piece) or self._known(piece)
         return out
 
 
+def _gathered(values, starts, sizes):
+    """The runs of ``values`` that begin at ``starts``, one after the other."""
+    first = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+
+
 def _ranks(content):
     """(token as Latin-1 text, rank) of the lines of a rank file."""
     pairs = (line.split() for line in content.splitlines() if line)
@@ -149,16 +154,29 @@ _loaded = {}
 
 def _once(build, content):
     """What ``build`` makes of a rank file, made once per Python worker."""
-    key = build.__name__, hash(content)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = build(content)
-    return _loaded[key]
+    key, made = _loaded.get(build.__name__, (None, None))
+    if key != content:
+        made = build(content)
+        _loaded[build.__name__] = content, made
+    return made
+
 
+class Tokens:
+    """The bytes of all tokens in a row, where each rank's begin, and how many they are."""
+
+    def __init__(self, content):
+        token = {rank: text.encode("latin-1") for text, rank in _ranks(content)}
+        named = [token.get(rank, b"") for rank in range(max(token) + 1)]
+        self.data = np.frombuffer(b"".join(named), np.uint8)
+        self.sizes = np.fromiter(map(len, named), np.int64, len(named))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
-def token_bytes(content):
-    """The bytes of each rank's token."""
-    return {rank: token.encode("latin-1") for token, rank in _ranks(content)}
+    def decode(self, ids):
+        """(bytes of all ids in a row, number of each id's bytes); an id without a token is an error."""
+        sizes = self.sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id has no token")
+        return _gathered(self.data, self.starts[ids], sizes), sizes
 
 
 class Vocabulary:
@@ -202,9 +220,14 @@ def decode(vocabulary, ids):
     content = vocabulary.content
 
     def decoded(rows: pa.Array) -> pa.Array:
-        token = _once(token_bytes, content.value).__getitem__
-        ids = (r.as_py() for r in rows)
-        return pa.array([None if r is None else b"".join(map(token, r)) for r in ids], pa.binary())
+        tokens = _once(Tokens, content.value)
+        data, sizes = tokens.decode(rows.flatten().to_numpy(zero_copy_only=False))
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        counts = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        cuts = ends[np.concatenate(([0], np.cumsum(counts)))]
+        missing = rows.is_null().to_numpy(zero_copy_only=False)
+        out = [None if m else data[a:b].tobytes() for m, a, b in zip(missing, cuts[:-1], cuts[1:])]
+        return pa.array(out, pa.binary())
 
     return F.arrow_udf(decoded, "binary")(ids)
 

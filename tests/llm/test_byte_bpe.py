@@ -2,6 +2,7 @@ import base64
 import hashlib
 import struct
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollbook.llm import QUERIES
-from rollbook.llm.byte_bpe import ByteBpe, decode, encode, packed, token_bytes
+from rollbook.llm.byte_bpe import ByteBpe, Tokens, decode, encode, packed
 from rollbook.llm.queries import gpt_vocabulary
 
 FILES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
@@ -22,20 +23,26 @@ def both(name):
     with open(public_tokenizers.path(name), "rb") as file:
         content = file.read()
     ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in content.splitlines() if line)}
-    return ByteBpe(content), token_bytes(content), tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return ByteBpe(content), Tokens(content), tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+SPACES = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "\x00"]
+TEXTS = st.one_of(
+    st.text(max_size=60),
+    st.lists(st.sampled_from([*SPACES, "a", "é", "\u0301", "ß", "中", "\U0001f600", "'s", "'", "1", "²", ".", "the"]), max_size=20).map("".join),
+)
 LOADED = {name: both(name) for name in FILES}
 
 
 @pytest.mark.parametrize("name", FILES)
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=60))
-def test_any_text(name, text):
-    own, token, other = LOADED[name]
-    ids = own.encode(text, CUT)
-    assert ids == other.encode_ordinary(text)
-    assert b"".join(token[i] for i in ids) == text.encode()
+@given(st.lists(TEXTS, max_size=4))
+def test_any_texts(name, texts):
+    own, tokens, other = LOADED[name]
+    expected = [other.encode_ordinary(t) for t in texts]
+    assert [own.encode(t, CUT) for t in texts] == expected
+    ids = np.array([i for e in expected for i in e], np.int64)
+    assert tokens.decode(ids)[0].tobytes() == "".join(texts).encode()
 
 
 @pytest.mark.parametrize("name", FILES)
