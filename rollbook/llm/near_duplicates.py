@@ -17,8 +17,8 @@ HASHES = BANDS * ROWS
 BATCH = 20
 #: A pair is dropped once its similarity reaches the limit with less than this probability.
 MISS = 1e-6
-#: Rounds that compare the members of a bucket with one of them, before what is left is compared.
-STARS = 3
+#: Members of a bucket that all of it is compared with, before what is left is compared.
+HUBS = 3
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 512
 _rng = np.random.default_rng(7)
@@ -201,8 +201,8 @@ def near_duplicates(df, id="doc_id", text="text", k=5, percent=80):
 
     Texts with equal sets are one class, and only one text of a class takes part. Classes that share
     a band of their signatures are candidates. Not all pairs of a bucket are made: the members are first
-    compared with one of them, over a few rounds of other ones, and only classes that are then still in different
-    components of a bucket are compared with the rest of it. A pair is pruned batch by batch with miss probability
+    compared with HUBS of them, and only classes that are then still in different components of a bucket
+    are compared with the rest of it. A pair is pruned batch by batch with miss probability
     MISS; survivors are verified on full sets. Sets and classes are compared by 64-bit hashes.
 
     Texts without words (and NULL) have no shingles and are linked with nothing. NULL ids never become a
@@ -257,25 +257,15 @@ def _members(classes):
 
 def _linked(docs, classes, members, k, percent):
     """(node, component) of the classes that have links."""
-    spark = docs.sparkSession
     taking_part = members.select("class").distinct()
     signatures = written(classes.join(taking_part, "class", "left_semi"), "signatures")
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    for turn in range(STARS + 1):
-        members = _open_buckets(members.select("bucket", "class"), labels)
-        if members.isEmpty():
-            break
-        if turn < STARS:
-            survivors = _star_survivors(members, signatures, turn, percent)
-        else:
-            survivors = _rest_survivors(members, signatures, percent)
-        found = _verified(docs, signatures, survivors, k, percent)
-        if found.isEmpty():
-            continue
-        edges = edges.unionByName(found)
-        labels = components(edges, labels)
-    return labels
+    found = _verified(docs, signatures, _hub_survivors(members, signatures, percent), k, percent)
+    labels = components(found)
+    left = _open_buckets(members, labels)
+    if left.isEmpty():
+        return labels
+    more = _verified(docs, signatures, _rest_survivors(left, signatures, percent), k, percent)
+    return labels if more.isEmpty() else components(found.unionByName(more), labels)
 
 
 def _open_buckets(members, labels):
@@ -291,15 +281,13 @@ def _open_buckets(members, labels):
     return written(named.join(mixed_up, "bucket"), "members")
 
 
-def _star_survivors(members, signatures, turn, percent):
-    """Pairs in the running of each class with its bucket's hub (another one each turn) where the two
-    aren't linked yet."""
-    order = F.xxhash64("class", F.lit(turn))
-    hubs = members.groupBy("bucket").agg(
-        F.min_by("class", order).alias("hub"), F.min_by("component", order).alias("hub_component")
-    )
-    pairs = members.join(written(hubs, "hubs"), "bucket").filter(F.col("component") != F.col("hub_component"))
-    pairs = pairs.select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+def _hub_survivors(members, signatures, percent):
+    """Pairs in the running of each class with the hubs of its buckets, which are drawn by hash."""
+    drawn = [F.min_by("class", F.xxhash64("class", F.lit(turn))) for turn in range(HUBS)]
+    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("hubs"))
+    pairs = members.join(written(hubs, "hubs"), "bucket").select("class", F.explode("hubs").alias("hub"))
+    pairs = pairs.filter(F.col("class") != F.col("hub"))
+    pairs = pairs.select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct()
     side = lambda name: signatures.select(
         F.col("class").alias(name), F.col("signature").alias(f"signature_{name}"), F.col("n").alias(f"n_{name}")
     )
