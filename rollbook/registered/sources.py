@@ -273,30 +273,36 @@ def sc11(spark, folder):
     "sc12_read_fact_csv",
     with_sql(
         "facts",
-        """SELECT company_number, COUNT(*) AS n, MIN(value) AS low, MAX(label) AS high,
-                  COUNT(start_date) AS periods
+        """SELECT company_number, COUNT(*) AS n,
+                  MIN(CASE WHEN label = 'Name of production software'
+                           THEN value || chr(10) || 'second, line' ELSE value END) AS low,
+                  MAX(label) AS high, COUNT(start_date) AS periods,
+                  CAST(SUM(length(label || end_date)
+                           + length(CASE WHEN label = 'Name of production software'
+                                         THEN value || chr(10) || 'second, line' ELSE value END))
+                       AS BIGINT) AS characters
            FROM facts GROUP BY company_number""",
     ),
 )
 def sc12(spark, folder):
+    """Two sets of files, with the columns in opposite orders and line breaks in values."""
     path = shared_folder(spark, "fact-csv")
     back = {v: k for k, v in FACT_HEADERS.items()}
-    rows = facts(spark, folder).select(
-        *[
-            F.col(c).alias(back[c])
-            for c in ("label", "value", "company_number", "start_date", "end_date")
-        ]
+    columns = ["label", "value", "company_number", "start_date", "end_date"]
+    broken = F.concat("value", F.lit("\nsecond, line"))
+    rows = facts(spark, folder).withColumn(
+        "value", F.when(F.col("label") == "Name of production software", broken).otherwise(F.col("value"))
     )
-    write_csv(rows, path)
-    return (
-        read_fact_csv(spark, path)
-        .groupBy("company_number")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("value").alias("low"),
-            F.max("label").alias("high"),
-            F.count("start_date").alias("periods"),
-        )
+    for name, batch, order in (("one", "O", columns), ("two", "F", columns[::-1])):
+        part = rows.filter(F.col("batch") == batch).select(*[F.col(c).alias(back[c]) for c in order])
+        write_csv(part, f"{path}/{name}")
+    read = read_fact_csv(spark, f"{path}/*")
+    return read.groupBy("company_number").agg(
+        F.count("*").alias("n"),
+        F.min("value").alias("low"),
+        F.max("label").alias("high"),
+        F.count("start_date").alias("periods"),
+        F.sum(F.length(F.concat("label", "end_date")) + F.length("value")).alias("characters"),
     )
 
 
