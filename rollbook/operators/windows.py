@@ -10,6 +10,8 @@ summary with one row per segment, or from copies of the few rows just before it.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .lists import in_order
+
 
 def _names(x):
     return [x] if isinstance(x, str) else list(x)
@@ -112,25 +114,33 @@ def rolling_mean(df, key, order, col, n, segment, name="rolling_mean", block=10_
     )
 
 
-def rolling_count(df, key, ts, seconds, name="rolling_count", width=3600):
-    """Rows of the key in the last ``seconds`` up to and including this one's time."""
+def rolling_count(df, key, ts, seconds, name="rolling_count", block=10_000):
+    """Rows of the key in the last ``seconds`` up to and including this one's time.
+
+    Rows are counted per moment first. The count of a span is the difference of two running counts, at
+    its end and just before its start; the running count goes over blocks of ``block`` moments, so no task
+    gets more of a key, however many rows fall into one hour.
+    """
     keys = _names(key)
-    width = max(width, seconds)
-    moment = F.unix_micros(F.col(ts).cast("timestamp"))
-    band, slot = seconds * 1_000_000, width * 1_000_000
-    copies = (
-        df.withColumn("_t", moment)
-        .withColumn("_own", F.floor(F.col("_t") / slot))
-        .withColumn(
-            "_slot", F.explode(F.sequence("_own", F.floor((F.col("_t") + band) / slot)))
-        )
+    df = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    counts = df.groupBy(*keys, "_t").agg(F.count("*").alias("_n"))
+    ends = counts.select(*keys, "_t", F.col("_t").alias("_at"), F.lit(1).alias("_end"), "_n")
+    # the start of a span sorts before the rows of the same moment, which are inside
+    starts = counts.select(
+        *keys, "_t", (F.col("_t") - seconds * 1_000_000).alias("_at"), F.lit(0).alias("_end"), F.lit(0).alias("_n")
     )
-    w = Window.partitionBy(*keys, "_slot").orderBy("_t").rangeBetween(-band, 0)
-    return (
-        copies.withColumn(name, F.count("*").over(w))
-        .filter(F.col("_slot") == F.col("_own"))
-        .drop("_t", "_own", "_slot")
+    placed = in_order(ends.unionByName(starts), keys, ["_at", "_end"], "_place")
+    placed = placed.withColumn("_block", F.floor(F.col("_place") / block))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*keys, "_block").agg(F.sum("_n").alias("_sum"))
+    offsets = offsets.select(*keys, "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    so_far = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    running = placed.withColumn("_so_far", F.sum("_n").over(so_far)).join(offsets, [*keys, "_block"])
+    total = F.col("_before") + F.col("_so_far")
+    spans = running.groupBy(*keys, "_t").agg(
+        (F.max(F.when(F.col("_end") == 1, total)) - F.max(F.when(F.col("_end") == 0, total))).alias(name)
     )
+    return df.join(spans, [*keys, "_t"]).select(*[c for c in df.columns if c != "_t"], name)
 
 
 def running_mean(df, key, order, col, segment, name="running_mean"):

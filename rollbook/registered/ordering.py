@@ -21,14 +21,11 @@ from ..operators import (
     work_list,
 )
 from ..sources import latest_snapshot, ordered_scan, pending
+from ..streaming import timepoint_block
 from .adapters import company_events, facts, filing_events, register_events, stamp, table, with_sql
 from .registry import query
 
 
-def _hour(ts="published"):
-    return F.date_trunc("hour", ts)
-
-
 @query(
     "wn01_with_previous",
     with_sql(
@@ -41,7 +38,7 @@ def _hour(ts="published"):
 )
 def wn01(spark, folder):
     ev = register_events(spark, folder)
-    rows = with_previous(ev, "company_number", "timepoint", ["kind", "k"], _hour())
+    rows = with_previous(ev, "company_number", "timepoint", ["kind", "k"], timepoint_block())
     return rows.select("id", "company_number", "kind", "previous_kind", "previous_k", "has_previous")
 
 
@@ -91,7 +88,7 @@ def wn03(spark, folder):
 )
 def wn04(spark, folder):
     rows = rolling_mean(
-        register_events(spark, folder), "company_number", "timepoint", "value", 5, _hour()
+        register_events(spark, folder), "company_number", "timepoint", "value", 5, timepoint_block()
     )
     return rows.select("id", F.round("rolling_mean", 6).alias("rolling_mean"))
 
@@ -123,7 +120,7 @@ def wn05(spark, folder):
 )
 def wn06(spark, folder):
     rows = running_mean(
-        register_events(spark, folder), "company_number", "timepoint", "value", _hour()
+        register_events(spark, folder), "company_number", "timepoint", "value", timepoint_block()
     )
     return rows.select("id", F.round("running_mean", 6).alias("running_mean"))
 

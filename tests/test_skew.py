@@ -97,7 +97,7 @@ def test_rolling_count(skewed, data_rows):
     for group in by_key(data_rows).values():
         for r in group:
             expected[r[1]] = sum(1 for x in group if 0 <= (r[1] - x[1]) * 7 <= 70)
-    got = rolling_count(skewed, "k", "ts", 70, width=80).collect()
+    got = rolling_count(skewed, "k", "ts", 70, block=9).collect()
     assert {r["at"]: r.rolling_count for r in got} == expected
 
 
