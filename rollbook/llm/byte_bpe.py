@@ -35,9 +35,12 @@ class ByteBpe:
         for token, rank in self.rank.items():
             self.automaton.add_word(token, (len(token), rank))
         self.automaton.make_automaton()
-        self.sizes = {rank: len(token) for rank, token in self.token.items()}
-        self.compatible, self.newer, self.older = {}, {}, {}
-        self.shorter, self.halves, self.merge = {}, {}, {}
+        # by rank; lists are found faster than dicts by the many processes of a machine that share its caches
+        self.sizes = [len(self.token.get(rank, "")) for rank in range(max(self.token) + 1)]
+        self.shorter = [None] * len(self.sizes)
+        self.compatible = [{} for _ in self.sizes]
+        self.newer, self.older, self.pairs = {}, {}, 0
+        self.halves, self.merge = {}, {}
         for rank in sorted(self.token):
             self._add(rank)
 
@@ -59,12 +62,12 @@ class ByteBpe:
 
     def fits(self, left, right):
         """Whether the merges leave ``left`` and ``right`` side by side as they are."""
-        pair = left << 32 | right
-        known = self.compatible.get(pair)
+        known = self.compatible[left].get(right)
         if known is None:
-            if len(self.compatible) >= PAIRS:
-                self.compatible.clear()
-            known = self.compatible[pair] = self._fits(left, right)
+            if self.pairs >= PAIRS:
+                self.compatible, self.pairs = [{} for _ in self.sizes], 0
+            known = self.compatible[left][right] = self._fits(left, right)
+            self.pairs += 1
         return known
 
     def _fits(self, left, right):
@@ -89,7 +92,7 @@ class ByteBpe:
         whole = self.rank.get(data)
         if whole is not None:
             return (whole,)
-        shorter, known, sizes, longest = self.shorter.get, self.compatible.get, self.sizes, self.automaton.iter_long
+        shorter, compatible, sizes, longest = self.shorter, self.compatible, self.sizes, self.automaton.iter_long
         out, dead, at, last = [], set(), 0, None
         while True:
             # the longest tokens, one after the other, as long as they fit
@@ -97,7 +100,7 @@ class ByteBpe:
                 if end + 1 in dead:
                     break
                 if last is not None:
-                    fit = known(last << 32 | choice)
+                    fit = compatible[last].get(choice)
                     if not (self.fits(last, choice) if fit is None else fit):
                         break
                 out.append(choice)
@@ -106,13 +109,13 @@ class ByteBpe:
                 return tuple(out)
             # else the next shorter one, or, where there is none, one instead of the token before
             while True:
-                choice = shorter(choice)
+                choice = shorter[choice]
                 while choice is None:
                     dead.add(at)
                     choice = out.pop()
                     at -= sizes[choice]
                     last = out[-1] if out else None
-                    choice = shorter(choice)
+                    choice = shorter[choice]
                 end = at + sizes[choice]
                 if end not in dead and (last is None or self.fits(last, choice)):
                     out.append(choice)
