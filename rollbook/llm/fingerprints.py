@@ -9,11 +9,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 #: A paragraph is a line; longer ones are cut after so many words.
-PIECE_WORDS = 16
-#: A table has SIDE cells, a group three tables. Digests are dealt to 1 group, and on failure to more and more.
+PIECE_WORDS = 32
+#: A table has SIDE cells, a group three tables. Two documents are compared by sketches with a group for every
+#: PER_GROUP of their paragraphs, and on failure with two, four and eight times as many.
 SIDE = 8
 CELLS = 3 * SIDE
-GROUPS = (1, 4, 16, 64, 256, 1024, 4096)
+PER_GROUP = 8
+TRIES = (1, 2, 4, 8)
 #: Rounds in which a group is peeled; a round takes out all digests that stand alone.
 ROUNDS = 12
 #: Runs of consecutive documents: so many documents in one, and at most so many runs.
@@ -46,8 +48,8 @@ def _sketch_sql(values, groups):
     )
     if groups == 1:
         return f"transform(array({values}), d -> {cells})"
-    own = f"filter({values}, x -> (shiftright(x, 24) & {groups - 1}) = g)"
-    return f"transform(sequence(0, {groups - 1}), g -> transform(array({own}), d -> {cells})[0])"
+    own = f"filter({values}, x -> pmod(shiftright(x, 24), {groups}) = g)"
+    return f"transform(sequence(0, {groups} - 1), g -> transform(array({own}), d -> {cells})[0])"
 
 
 def _peel_sql(left, right, groups):
@@ -82,17 +84,20 @@ def with_likeness(df, left, right, name):
     """``df`` with ``name``: shared share of all paragraphs of two documents, from the sketches of their
     digest columns ``left`` and ``right``; 1.0 for two documents without paragraphs.
 
-    The smallest sketch is tried first and a larger one only where peeling fails. Should the largest
-    fail too (some 80,000 paragraphs that differ), the digests are compared as they are, so the value is always exact.
+    A sketch has cells for all paragraphs of both to differ; where peeling fails all the same, larger ones are
+    tried, and should the last fail too, the digests are compared as they are, so the value is always exact.
     """
     exact = f"named_struct('ok', true, 'a', size(array_except({left}, {right})), 'b', size(array_except({right}, {left})))"
-    tried = f"{name}_tried"
-    df = df.withColumn(tried, F.expr(_peel_sql(left, right, GROUPS[0])))
-    for larger in [*(_peel_sql(left, right, groups) for groups in GROUPS[1:]), exact]:
+    tried, groups = f"{name}_tried", f"{name}_groups"
+    both = F.size(left) + F.size(right)
+    df = df.withColumn(groups, F.greatest(F.ceil(both / PER_GROUP), F.lit(1)).cast("int"))
+    df = df.withColumn(tried, F.expr(_peel_sql(left, right, groups)))
+    for larger in [*(_peel_sql(left, right, f"({groups} * {n})") for n in TRIES[1:]), exact]:
         df = df.withColumn(tried, F.when(F.col(tried)["ok"], F.col(tried)).otherwise(F.expr(larger)))
     only = F.col(tried)["a"]
     total = F.size(right) + only
-    return df.withColumn(name, F.when(total == 0, F.lit(1.0)).otherwise((F.size(left) - only) / total)).drop(tried)
+    likeness = F.when(total == 0, F.lit(1.0)).otherwise((F.size(left) - only) / total)
+    return df.withColumn(name, likeness).drop(tried, groups)
 
 
 def fingerprint(values):
