@@ -30,9 +30,10 @@ def digests(text):
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0)), lambda p: F.xxhash64(p)))
 
 
-def _table(x, cell):
-    """SQL: whether digest ``x`` goes to a cell."""
-    return f"((shiftright({x}, 8 * cast({cell} div {SIDE} as int)) & {SIDE - 1}) = {cell} % {SIDE})"
+#: SQL: the bits of a digest that a cell looks at, and what they have to be, for each cell of a group.
+_CELLS_SQL = "array(" + ", ".join(
+    f"named_struct('m', {(SIDE - 1) << 8 * table}L, 'w', {cell << 8 * table}L)" for table in range(3) for cell in range(SIDE)
+) + ")"
 
 
 def _check(x):
@@ -41,11 +42,9 @@ def _check(x):
 
 def _sketch_sql(values, groups):
     """SQL: array of groups of cells from an array of digests."""
-    zero = "named_struct('n', 0, 'k', 0L, 'h', 0L)"
-    add = f"named_struct('n', s.n + 1, 'k', s.k ^ x, 'h', s.h ^ {_check('x')})"
-    cells = (
-        f"transform(sequence(0, {CELLS - 1}), c -> aggregate(filter(d, x -> {_table('x', 'c')}), {zero}, (s, x) -> {add}))"
-    )
+    zero = "named_struct('n', 0, 'k', 0L, 'h', 0L, 'm', at.m, 'w', at.w)"
+    add = f"named_struct('n', s.n + 1, 'k', s.k ^ x, 'h', s.h ^ {_check('x')}, 'm', s.m, 'w', s.w)"
+    cells = f"transform({_CELLS_SQL}, at -> aggregate(d, {zero}, (s, x) -> if((x & s.m) = s.w, {add}, s)))"
     if groups == 1:
         return f"transform(array({values}), d -> {cells})"
     own = f"filter({values}, x -> pmod(shiftright(x, 24), {groups}) = g)"
@@ -53,31 +52,29 @@ def _sketch_sql(values, groups):
 
 
 def _peel_sql(left, right, groups):
-    """SQL: struct (ok, a, b): whether the difference came out whole, and how many digests only one side has."""
+    """SQL: struct (ok, found): whether the difference came out whole, and how many digests only one side has."""
     minus = (
         f"zip_with({_sketch_sql(left, groups)}, {_sketch_sql(right, groups)}, (p, q) -> zip_with(p, q, (x, y) -> "
-        "named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h)))"
+        "named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h, 'm', x.m, 'w', x.w)))"
     )
     alone = (
         f"array_distinct(transform(filter(t.cells, c -> abs(c.n) = 1 AND {_check('c.k')} = c.h), "
         "c -> named_struct('n', c.n, 'k', c.k)))"
     )
-    out = f"named_struct('n', c.n - p.n, 'k', c.k ^ p.k, 'h', c.h ^ {_check('p.k')})"
-    rest = f"transform(t.cells, (c0, i) -> aggregate(filter(alone, p -> {_table('p.k', 'i')}), c0, (c, p) -> {out}))"
-    count = lambda sign: f"size(filter(alone, p -> p.n = {sign}))"
+    out = f"named_struct('n', c.n - p.n, 'k', c.k ^ p.k, 'h', c.h ^ {_check('p.k')}, 'm', c.m, 'w', c.w)"
+    rest = f"transform(t.cells, c0 -> aggregate(alone, c0, (c, p) -> if((p.k & c.m) = c.w, {out}, c)))"
     step = (
-        f"transform(array({alone}), alone -> if(size(alone) = 0, named_struct('done', true, 'a', t.a, 'b', t.b, 'cells', t.cells), "
-        f"named_struct('done', false, 'a', t.a + {count(1)}, 'b', t.b + {count(-1)}, 'cells', {rest})))[0]"
+        f"transform(array({alone}), alone -> if(size(alone) = 0, named_struct('done', true, 'found', t.found, 'cells', t.cells), "
+        f"named_struct('done', false, 'found', t.found + size(alone), 'cells', {rest})))[0]"
     )
-    start = "named_struct('done', false, 'a', 0, 'b', 0, 'cells', u)"
+    start = "named_struct('done', false, 'found', 0, 'cells', u)"
     peeled = f"aggregate(sequence(1, {ROUNDS}), {start}, (t, r) -> if(t.done, t, {step}))"
     whole = "NOT exists(v.cells, c -> c.n != 0 OR c.k != 0 OR c.h != 0)"
-    each = f"transform(transform({minus}, u -> {peeled}), v -> named_struct('ok', {whole}, 'a', v.a, 'b', v.b))"
-    total = (
-        f"aggregate({each}, named_struct('ok', true, 'a', 0, 'b', 0), "
-        "(s, v) -> named_struct('ok', s.ok AND v.ok, 'a', s.a + v.a, 'b', s.b + v.b))"
+    each = f"transform(transform({minus}, u -> {peeled}), v -> named_struct('ok', {whole}, 'found', v.found))"
+    return (
+        f"aggregate({each}, named_struct('ok', true, 'found', 0), "
+        "(s, v) -> named_struct('ok', s.ok AND v.ok, 'found', s.found + v.found))"
     )
-    return total
 
 
 def with_likeness(df, left, right, name):
@@ -87,16 +84,16 @@ def with_likeness(df, left, right, name):
     A sketch has cells for all paragraphs of both to differ; where peeling fails all the same, larger ones are
     tried, and should the last fail too, the digests are compared as they are, so the value is always exact.
     """
-    exact = f"named_struct('ok', true, 'a', size(array_except({left}, {right})), 'b', size(array_except({right}, {left})))"
+    exact = f"named_struct('ok', true, 'found', size(array_except({left}, {right})) + size(array_except({right}, {left})))"
     tried, groups = f"{name}_tried", f"{name}_groups"
     both = F.size(left) + F.size(right)
     df = df.withColumn(groups, F.greatest(F.ceil(both / PER_GROUP), F.lit(1)).cast("int"))
     df = df.withColumn(tried, F.expr(_peel_sql(left, right, groups)))
     for larger in [*(_peel_sql(left, right, f"({groups} * {n})") for n in TRIES[1:]), exact]:
         df = df.withColumn(tried, F.when(F.col(tried)["ok"], F.col(tried)).otherwise(F.expr(larger)))
-    only = F.col(tried)["a"]
-    total = F.size(right) + only
-    likeness = F.when(total == 0, F.lit(1.0)).otherwise((F.size(left) - only) / total)
+    found = F.col(tried)["found"]
+    # of n + m paragraphs, those that were found are on one side only and the others are counted twice
+    likeness = F.when(both == 0, F.lit(1.0)).otherwise((both - found) / (both + found))
     return df.withColumn(name, likeness).drop(tried, groups)
 
 
