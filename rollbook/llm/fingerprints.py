@@ -8,8 +8,9 @@ digest left gives it away, is taken out of its other cells, and so on until all
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-#: A paragraph is a line; longer ones are cut after so many words.
-PIECE_WORDS = 32
+#: A paragraph is a line; longer ones are cut after so many words, few enough that a short text keeps pieces when its
+#: end is edited. Cuts count from the start of the line, so a word put into a line changes the pieces behind it there.
+PIECE_WORDS = 16
 #: A table has SIDE cells, a group three tables. Two documents are compared by sketches with a group for every
 #: PER_GROUP of their paragraphs, and on failure with two, four and eight times as many.
 SIDE = 8

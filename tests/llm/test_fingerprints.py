@@ -71,3 +71,11 @@ def test_next_over_many_runs(spark):
     df = spark.range(5000).select((F.col("id") * 7 % 5000 * 3).alias("doc_id"), F.concat(F.lit("t"), (F.col("id") * 7 % 5000 * 3).cast("string")).alias("text"))
     for r in with_next(df).select("id", "next_text").collect():
         assert r.next_text == f"t{(r.id - 3) % 15000}"
+
+
+def test_an_edit_at_the_end_leaves_pieces_of_a_short_text(spark):
+    words = [f"w{i:02}" for i in range(47)]
+    cases = [(" ".join(words[:n]), " ".join(["other"] * 60)) for n in range(26, 48)]
+    df = spark.createDataFrame(cases, "a string, b string").withColumn("b", edited(F.col("a"), F.col("b")))
+    df = df.select("a", digests(F.col("a")).alias("x"), digests(F.col("b")).alias("y"))
+    assert all(r.near > 0 for r in with_likeness(df, "x", "y", "near").collect())
