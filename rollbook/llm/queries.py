@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .byte_bpe import Vocabulary, decode, encode, packed
-from .fingerprints import digests, edited, fingerprint, with_likeness, with_next
+from .fingerprints import digests, edited, fingerprint, likeness, with_difference, with_next
 from .fixity import audit, warc_records
 from .licenses import license_spans
 from .mixing import copies, shares
@@ -96,20 +96,22 @@ def op5(spark, folder):
 
 @query("op3_paragraph_sketches")
 def op3(spark, folder):
-    """Sketch of every document and of its edited text, and how alike they and the next one are."""
+    """Sketch of every document and of its edited text, the digests in which they and the next one differ, and how alike they are."""
     docs = with_next(documents_of(spark, folder, "doc_id", "text"))
     docs = docs.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     docs = docs.withColumn("edited_values", digests(F.col("edited")))
-    docs = with_likeness(docs, "values", "edited_values", "near_edited")
-    docs = with_likeness(docs, "values", "next_values", "near_next")
+    docs = with_difference(docs, "values", "edited_values", "from_edited")
+    docs = with_difference(docs, "values", "next_values", "from_next")
     return docs.select(
         F.col("id").alias("doc_id"),
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint("values").alias("fingerprint"),
         fingerprint("edited_values").alias("edited_fingerprint"),
-        "near_edited",
-        "near_next",
+        likeness("values", "edited_values", "from_edited").alias("near_edited"),
+        likeness("values", "next_values", "from_next").alias("near_next"),
+        "from_edited",
+        "from_next",
     )
 
 

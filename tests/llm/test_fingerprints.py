@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.llm import QUERIES
-from rollbook.llm.fingerprints import PIECE_WORDS, digests, edited, fingerprint, with_likeness, with_next
+from rollbook.llm.fingerprints import PIECE_WORDS, digests, edited, fingerprint, stored_difference, with_difference, with_likeness, with_next
 
 PIECE = re.compile(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % PIECE_WORDS)
 
@@ -79,3 +79,44 @@ def test_an_edit_at_the_end_leaves_pieces_of_a_short_text(spark):
     df = spark.createDataFrame(cases, "a string, b string").withColumn("b", edited(F.col("a"), F.col("b")))
     df = df.select("a", digests(F.col("a")).alias("x"), digests(F.col("b")).alias("y"))
     assert all(r.near > 0 for r in with_likeness(df, "x", "y", "near").collect())
+
+
+def lines(names):
+    return "\n".join(names)
+
+
+def test_differing_digests_of_each_side(spark):
+    cases = []
+    for n in (0, 1, 9, 70, 600):
+        for gone, new in ((0, 0), (1, 0), (0, 3), (n // 2, n // 3), (n, n)):
+            left = [f"line {i} of {n}" for i in range(n)]
+            cases.append((lines(left), lines(left[gone:] + [f"new {i}" for i in range(new)])))
+    df = spark.createDataFrame(cases, "a string, b string")
+    df = df.select(digests(F.col("a")).alias("x"), digests(F.col("b")).alias("y"))
+    rows = with_difference(df, "x", "y", "d").collect()
+    assert len(rows) == len(cases)
+    for r in rows:
+        assert sorted(r.d.left_only) == sorted(set(r.x) - set(r.y)) and sorted(r.d.right_only) == sorted(set(r.y) - set(r.x))
+
+
+def test_query_returns_the_differing_digests(spark, data):
+    for r in QUERIES["op3_paragraph_sketches"](spark, data).collect():
+        assert bool(r.from_edited.left_only or r.from_edited.right_only) == (r.near_edited < 1)
+        assert bool(r.from_next.left_only or r.from_next.right_only) == (r.near_next < 1)
+
+
+def test_stored_fingerprints_are_subtracted(spark):
+    """Also of texts with more than 255 lines in a cell."""
+    cases = []
+    for n in (0, 5, 300, 5000):
+        left = [f"line {i} of {n}" for i in range(n)]
+        cases += [(lines(left), lines(left)), (lines(left), lines(left[2:] + ["new 1", "new 2", "new 3"])), (lines([*left, "old"]), lines(left))]
+    cases.append((lines(f"one {i}" for i in range(500)), lines(f"two {i}" for i in range(500))))
+    df = spark.createDataFrame(cases, "a string, b string")
+    df = df.select("a", digests(F.col("a")).alias("x"), digests(F.col("b")).alias("y"))
+    df = df.withColumn("p", fingerprint("x")).withColumn("q", fingerprint("y"))
+    rows = df.withColumn("d", stored_difference("p", "q")).collect()
+    assert [r.d.whole for r in rows] == [not r.a.startswith("one") for r in rows]
+    for r in rows:
+        if r.d.whole:
+            assert sorted(r.d.left_only) == sorted(set(r.x) - set(r.y)) and sorted(r.d.right_only) == sorted(set(r.y) - set(r.x))
