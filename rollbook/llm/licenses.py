@@ -119,35 +119,51 @@ def aligned(template, words, band=BAND):
     return best
 
 
+def matches_by(template, hits, hashes, low, high, least):
+    """(matched words, first word, word behind the last) of the matches of a template between two words, in order.
+
+    ``hits`` are sorted (diagonal, word) of the template's fingerprints; ``least`` words have to match.
+    """
+    found = []
+    i = 0
+    while i < len(hits):
+        # diagonals close to one another are one candidate
+        j = i
+        while j + 1 < len(hits) and hits[j + 1][0] - hits[i][0] <= BAND:
+            j += 1
+        a, b = max(hits[i][0] - BAND, low), min(hits[j][0] + len(template) + BAND, high)
+        matched, first, end = aligned(template, hashes[a:b].tolist()) if a < b else (0, 0, 0)
+        if not matched or matched < least:
+            i = j + 1
+            continue
+        first, end = a + first, a + end
+        # neighbouring copies share a candidate: less alike ones before the match are looked for in front of it,
+        # and hits behind the match go on as candidates
+        before = [h for h in hits[i : j + 1] if h[1] + GRAM <= first]
+        found += matches_by(template, before, hashes, low, first, least)
+        found.append((matched, first, end))
+        low = end
+        behind = [h for h in hits[i : j + 1] if h[1] >= end]
+        i = j + 1 - len(behind)
+        hits[i : j + 1] = behind
+    return found
+
+
 def scan(index, chunk, coverage=COVERAGE):
     """(text, template, matched words, first byte, byte behind the last) of the templates that a chunk's texts hold."""
     hashes = chunk.hashes()
     at, value = chunk.windows(hashes, GRAM)
-    starts = defaultdict(list)
+    hits = defaultdict(list)
     for i in index.places(value):
         for number, place in index.postings[int(value[i])]:
             word = int(at[i])
-            starts[int(chunk.doc[word]), number].append(word - place)
+            hits[int(chunk.doc[word]), number].append((word - place, word))
     found = []
-    for (doc, number), begin in sorted(starts.items()):
-        template = index.words[number]
+    for (doc, number), own in sorted(hits.items()):
+        template = index.words[number].tolist()
         low, high = int(chunk.first[doc]), int(chunk.first[doc + 1])
-        behind = low
-        begin.sort()
-        i = 0
-        while i < len(begin):
-            # diagonals close to one another are one candidate
-            j = i
-            while j + 1 < len(begin) and begin[j + 1] - begin[i] <= BAND:
-                j += 1
-            a, b = max(begin[i] - BAND, behind), min(begin[j] + len(template) + BAND, high)
-            i = j + 1
-            if b - a < 1:
-                continue
-            matched, first, end = aligned(template.tolist(), hashes[a:b].tolist())
-            if matched >= coverage * len(template):
-                found.append((doc, number, matched, int(chunk.starts[a + first] - chunk.at[doc]), int(chunk.ends[a + end - 1] - chunk.at[doc])))
-                behind = a + end
+        for matched, first, end in matches_by(template, sorted(own), hashes, low, high, coverage * len(template)):
+            found.append((doc, number, matched, int(chunk.starts[first] - chunk.at[doc]), int(chunk.ends[end - 1] - chunk.at[doc])))
     return found
 
 
@@ -200,7 +216,7 @@ def license_spans(df, text="text", templates=None, coverage=COVERAGE, carry=None
     Words are runs of letters, digits and other characters, A to Z in lower case; punctuation and case don't count. The text's
     runs of GRAM words are looked up among the winnowed fingerprints of the templates, each hit names a template and a diagonal, and the words
     about it are aligned with the template within BAND words. A match has at least ``coverage`` of the template; matches of
-    one template don't overlap. The whole text is read. NULL and empty texts match nothing; equal texts have equal matches.
+    one template don't overlap, and copies next to each other are a match each. The whole text is read. NULL and empty texts match nothing; equal texts have equal matches.
     """
     templates = TEMPLATES if templates is None else templates
     if sum(len(t.split()) for t in templates.values()) > LARGEST:

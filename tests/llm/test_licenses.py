@@ -59,3 +59,28 @@ def test_any_long_enough_run_has_a_fingerprint():
 def test_odd_rows_and_empty_table(odd):
     assert license_spans(odd).collect() == [] and license_spans(odd.limit(0)).collect() == []
     assert license_spans(odd, templates={}).collect() == [] and license_spans(odd, templates={"a": "b"}).collect() == []
+
+
+def test_copies_on_neighbouring_lines_are_a_match_each(spark):
+    notices = [TEMPLATES[n] for n in ("All rights reserved", "MIT", "CC-BY-NC-4.0", "Apache-2.0", "BSD redistribution")]
+    rows = sorted({(times, notice, between.join([notice] * times)) for notice in notices for times in (1, 2, 3, 4, 9, 40) for between in ("\n", "\nand ")})
+    df = spark.createDataFrame(rows, "times int, notice string, text string")
+    spans = {}
+    for r in license_spans(df, templates={n: n for n in notices}).collect():
+        if r.license == r.row.notice:
+            spans.setdefault((r.row.notice, r.row.text), []).append((r.start, r.stop))
+    for times, notice, text in rows:
+        places = [m.start() for m in re.finditer(re.escape(notice.rstrip(".")), text)]
+        assert len(places) == times
+        assert sorted(spans[notice, text]) == [(p, p + len(notice.rstrip("."))) for p in places]
+
+
+def test_edited_copies_beside_whole_ones(spark):
+    whole = TEMPLATES["MIT"]
+    changed = whole.replace("License", "terms")
+    texts = [[changed, whole], [whole, changed], [changed, whole, changed, whole]]
+    df = spark.createDataFrame([("\n".join(t), [4 if x == changed else 5 for x in t]) for t in texts], "text string, matched array<int>")
+    found = license_spans(df, templates={"mit": whole}).collect()
+    for text in texts:
+        own = sorted((r for r in found if r.row.text == "\n".join(text)), key=lambda r: r.start)
+        assert own and [r.matched for r in own] == own[0].row.matched
