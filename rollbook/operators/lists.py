@@ -13,7 +13,7 @@ _ROW = (1 << 33) - 1
 
 
 def in_order(df, keys, order, name="position"):
-    """Add the place of each row within its keys (none of which is NULL), by the columns ``order``.
+    """Add the place of each row within its keys, by the columns ``order``; rows with NULL as a key are a group too.
 
     The rows are sorted by keys and order over all tasks, so a large group lies in several of them;
     places come from the number of rows per task and the first place of each key.
@@ -25,12 +25,14 @@ def in_order(df, keys, order, name="position"):
     rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(_ROW))
     # a row per key and task that holds some of it
     firsts = rows.groupBy("_part", *keys).agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
-    by_key = firsts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_part", "_from", "_n"))).alias("_runs"))
+    # a struct is never NULL, so that keys which are join too
+    rows = rows.withColumn("_keys", F.struct(*keys))
+    by_key = firsts.groupBy(F.struct(*keys).alias("_keys")).agg(F.sort_array(F.collect_list(F.struct("_part", "_from", "_n"))).alias("_runs"))
     earlier = F.aggregate(
         F.filter("_runs", lambda r: r["_part"] < F.col("_part")), F.lit(0).cast("bigint"), lambda n, r: n + r["_n"]
     )
     start = F.filter("_runs", lambda r: r["_part"] == F.col("_part"))[0]["_from"]
-    placed = rows.join(by_key, list(keys)).withColumn(name, (earlier + F.col("_at") - start).cast("bigint"))
+    placed = rows.join(by_key, "_keys").withColumn(name, (earlier + F.col("_at") - start).cast("bigint"))
     return placed.select(*df.columns, name)
 
 

@@ -119,11 +119,14 @@ def rolling_count(df, key, ts, seconds, name="rolling_count", block=10_000):
 
     Rows are counted per moment first. The count of a span is the difference of two running counts, at
     its end and just before its start; the running count goes over blocks of ``block`` moments, so no task
-    gets more of a key, however many rows fall into one hour.
+    gets more of a key, however many rows fall into one hour. Rows with NULL as a key are a group, and rows of a
+    key without a time are counted together, as a window does.
     """
-    keys = _names(key)
+    # structs are never NULL, so that keys and moments which are join too
+    moment = F.struct(*_names(key), "_t").alias("_moment")
+    keys = ["_key"]
     df = df.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    counts = df.groupBy(*keys, "_t").agg(F.count("*").alias("_n"))
+    counts = df.groupBy(F.struct(*_names(key)).alias("_key"), "_t").agg(F.count("*").alias("_n"))
     ends = counts.select(*keys, "_t", F.col("_t").alias("_at"), F.lit(1).alias("_end"), "_n")
     # the start of a span sorts before the rows of the same moment, which are inside
     starts = counts.select(
@@ -137,10 +140,10 @@ def rolling_count(df, key, ts, seconds, name="rolling_count", block=10_000):
     so_far = Window.partitionBy(*keys, "_block").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     running = placed.withColumn("_so_far", F.sum("_n").over(so_far)).join(offsets, [*keys, "_block"])
     total = F.col("_before") + F.col("_so_far")
-    spans = running.groupBy(*keys, "_t").agg(
+    spans = running.groupBy(F.struct(*[F.col("_key")[k].alias(k) for k in _names(key)], "_t").alias("_moment")).agg(
         (F.max(F.when(F.col("_end") == 1, total)) - F.max(F.when(F.col("_end") == 0, total))).alias(name)
     )
-    return df.join(spans, [*keys, "_t"]).select(*[c for c in df.columns if c != "_t"], name)
+    return df.withColumn("_moment", moment).join(spans, "_moment").select(*[c for c in df.columns if c != "_t"], name)
 
 
 def running_mean(df, key, order, col, segment, name="running_mean"):

@@ -101,6 +101,32 @@ def test_rolling_count(skewed, data_rows):
     assert {r["at"]: r.rolling_count for r in got} == expected
 
 
+def test_rolling_count_of_rows_without_key_or_time(spark, data_rows):
+    """A third of the rows have no key, some no time; also with two keys."""
+    cases = [(None if r[0] == "hot" else r[0], r[1], None if r[1] % 50 == 0 else r[1] * 7, r[3]) for r in data_rows]
+    df = spark.createDataFrame(cases, "k string, at bigint, t bigint, s string")
+    df = df.withColumn("ts", F.timestamp_seconds("t")).repartition(6)
+    for key in (["k"], ["k", "s"]):
+        groups = defaultdict(list)
+        for r in cases:
+            groups[(r[0], r[3])[: len(key)]].append(r[2])
+        expected = {}
+        for r in cases:
+            group = groups[(r[0], r[3])[: len(key)]]
+            inside = [t for t in group if (t is None if r[2] is None else t is not None and 0 <= r[2] - t <= 70)]
+            expected[r[1]] = len(inside)
+        got = rolling_count(df, key, "ts", 70, block=9).collect()
+        assert len(got) == N and {r["at"]: r.rolling_count for r in got} == expected
+
+
+def test_lists_of_rows_without_key(spark, data_rows):
+    cases = [(None if r[0] == "hot" else r[0], REGISTERED_NUMBER_LABEL, str(r[2])) for r in data_rows]
+    df = spark.createDataFrame(cases, "k string, label string, value string").repartition(6)
+    for got, kind in ((list_values(df, ["k"], "value"), list), (distinct_values(df, ["k"], REGISTERED_NUMBER_LABEL, "value"), set)):
+        expected = [(k, i, v) for k in {c[0] for c in cases} for i, v in enumerate(sorted(kind(c[2] for c in cases if c[0] == k)))]
+        assert rows(got) == sorted(expected, key=str)
+
+
 def test_running_mean(skewed, data_rows):
     expected = {}
     for group in by_key(data_rows).values():
