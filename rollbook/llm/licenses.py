@@ -16,7 +16,8 @@ BAND, COVERAGE = 6, 0.8
 #: Templates may have so many words in all, because each executor holds their index.
 LARGEST = 1_000_000
 
-# Notices by which licenses are granted, as their publishers word them.
+# Short notices as they stand in documents, and headers, grants and disclaimers as their publishers word
+# them. What several licenses share has a name for all of them, so that no version or relative is named wrongly.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -36,6 +37,37 @@ TEMPLATES = {
         "the following conditions are met"
     ),
     "All rights reserved": "All rights reserved.",
+    "GNU program notice": (
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+        "Free Software Foundation"
+    ),
+    "GNU program warranty": (
+        "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    ),
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "ISC permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "MIT disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    ),
+    "BSD disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED."
+    ),
+    "SPDX identifier": "SPDX-License-Identifier:",
 }
 
 #: A to Z in lower case; letters, digits and all bytes of other characters are words, the rest is space.

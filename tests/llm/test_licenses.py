@@ -84,3 +84,22 @@ def test_edited_copies_beside_whole_ones(spark):
     for text in texts:
         own = sorted((r for r in found if r.row.text == "\n".join(text)), key=lambda r: r.start)
         assert own and [r.matched for r in own] == own[0].row.matched
+
+
+def test_headers_of_common_licenses(spark):
+    cases = [
+        ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+         "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.", "GNU program notice"),
+        ("This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+         " * License as published by the Free Software Foundation; either", "GNU program notice"),
+        ("// SPDX-License-Identifier: BSD-3-Clause", "SPDX identifier"),
+        ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+         " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */", "MPL-2.0 header"),
+        (TEMPLATES["MIT disclaimer"] + " IN NO EVENT SHALL THE AUTHORS", "MIT disclaimer"),
+        (TEMPLATES["BSD disclaimer"].replace("HOLDERS AND CONTRIBUTORS", "OWNER"), "BSD disclaimer"),
+        (TEMPLATES["ISC permission"].replace("and/or", "and"), "ISC permission"),
+        (TEMPLATES["Unlicense"], "Unlicense"),
+    ]
+    df = spark.createDataFrame([(f"{prose(1, 20)}\n{t}\n{prose(2, 20)}", n) for t, n in cases], "text string, name string")
+    found = [(r.row.name, r.license) for r in license_spans(df).collect()]
+    assert sorted(found) == sorted((n, n) for _, n in cases)
