@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .byte_bpe import Vocabulary, decode, encode, packed
+from .decontamination import benchmark_hits, hit_words
 from .fingerprints import digests, edited, fingerprint, likeness, with_difference, with_next
 from .fixity import audit, warc_records
 from .licenses import license_spans
@@ -173,3 +174,45 @@ def op8(spark, folder):
     """License notices in every document."""
     found = license_spans(documents_of(spark, folder, "doc_id", "text"), carry=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), "license", "matched", "coverage", "start", "stop")
+
+
+#: Every window of 10 words of an item (or all words of a shorter one) wherever a document has it.
+WINDOWS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s
+  FROM (SELECT *, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, ks WHERE len(w) >= k)),
+hits AS (SELECT doc_id, item_id, i, dw.k FROM dw JOIN bw ON dw.k = bw.k AND dw.s = bw.s),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op12_benchmark_decontamination", WINDOWS_SQL)
+def op12(spark, folder):
+    """Words of every document that lie in a window of a benchmark item, and these items."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    found = benchmark_hits(documents_of(spark, folder, "doc_id", "text"), benchmark, carry=["doc_id"])
+    n_hit = hit_words()
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
