@@ -9,6 +9,7 @@ from .fixity import audit, warc_records
 from .licenses import license_spans
 from .mixing import copies, shares
 from .near_duplicates import near_duplicates
+from .phrases import collocations
 from .quality import BASE, quality
 from .registry import query
 from .sharding import shard_rows
@@ -216,3 +217,39 @@ def op12(spark, folder):
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+#: Counts of all phrases of one to three words, scored in 128-bit numbers.
+PHRASES_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, l.k AS cut, l.a AS l, r.a AS r, (1000000 * c.a * c.a) // (l.a * r.a) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS i FROM c) AS c
+    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(ws, 1, i), ' ')
+    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(ws, i + 1, c.k), ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(list_slice(ws, i, i + 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, ws, a, unnest([1, 2]) AS i FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT weakest.* FROM weakest LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASES_SQL)
+def op11(spark, folder):
+    """The 2000 strongest phrases of two or three words of each language."""
+    return collocations(documents_of(spark, folder, "lang", "text"))
