@@ -229,14 +229,15 @@ w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
 g AS (
   SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
   FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)),
-f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
-c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+halves AS MATERIALIZED (
+  SELECT lang, phrase, a, i AS cut, array_to_string(list_slice(ws, 1, i), ' ') AS lp, array_to_string(list_slice(ws, i + 1, k), ' ') AS rp
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS i FROM c)),
 cuts AS (
-  SELECT c.lang, c.phrase, c.a, l.k AS cut, l.a AS l, r.a AS r, (1000000 * c.a * c.a) // (l.a * r.a) AS score
-  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS i FROM c) AS c
-    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(ws, 1, i), ' ')
-    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(ws, i + 1, c.k), ' ')),
+  SELECT h.lang, h.phrase, h.a, cut, l.a AS l, r.a AS r, (1000000::HUGEINT * h.a * h.a) // (l.a::HUGEINT * r.a) AS score
+  FROM halves AS h JOIN f AS l ON l.lang = h.lang AND l.phrase = lp JOIN f AS r ON r.lang = h.lang AND r.phrase = rp),
 weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inner_ AS (
   SELECT lang, array_to_string(list_slice(ws, i, i + 1), ' ') AS phrase, max(a) AS longer
