@@ -19,7 +19,7 @@ from .tables import written
 from .words import LOWER, mixed, span_hashes
 
 #: Bytes of text that are worked on at a time, rows of counts that a task holds, and bytes of phrases in one trie.
-CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 4 << 20, 2_000_000, 16 << 20
+CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 2 << 20, 500_000, 16 << 20
 #: Bits of the largest filter of hashes (32 MB).
 MOST_BITS = 28
 NO_LANG = "und"
@@ -154,6 +154,14 @@ def _word_hash(lang: pa.Array, word: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array(keys.view(np.int64))], ["h", "key"])
 
 
+def _phrase_key(lang: pa.Array, hashes: pa.Array) -> pa.Array:
+    """The key of a phrase from the hashes of its words, which are as many in every row."""
+    flat = hashes.flatten().to_numpy().view(np.uint64)
+    k = len(flat) // max(1, len(lang))
+    langs = np.fromiter(map(_lang_hash, lang.to_pylist()), np.uint64, len(lang))
+    return pa.array(_key(langs, flat, np.arange(len(lang)) * k, k).view(np.int64))
+
+
 class Filter:
     """Bits of the hashes that may go on, one bit each; others may share it."""
 
@@ -179,7 +187,7 @@ def _filter(frequent):
 
 def _grow(k, sent):
     """Counts of the phrases of k words whose two phrases of k - 1 words pass the filter."""
-    names = ["lang", *[f"h{i}" for i in range(k)], "key"]
+    names = ["lang", *[f"h{i}" for i in range(k)]]
 
     def grow(batches):
         counted, passes = Counted(names), sent.value
@@ -190,9 +198,7 @@ def _grow(k, sent):
             good[shorter] = passes.has(_key(langs[shorter], hashes, shorter, k - 1))
             whole = p.within(k)
             first = np.flatnonzero(whole & good[: len(whole)] & good[1 : len(whole) + 1])
-            keys = _key(langs[first], hashes, first, k)
-            columns = [p.lang_column(first), *[pa.array(hashes[first + i].view(np.int64)) for i in range(k)], pa.array(keys.view(np.int64))]
-            yield from counted.add(columns)
+            yield from counted.add([p.lang_column(first), *[pa.array(hashes[first + i].view(np.int64)) for i in range(k)]])
         yield from counted.flush()
 
     return grow
@@ -357,10 +363,10 @@ def frequent_phrases(df, lang="lang", text="text", longest=3, least=10, trie_byt
     candidates, shorter = None, known
     for k in range(2, longest + 1):
         names = [f"h{i}" for i in range(k)]
-        schema = ", ".join(["lang string", *[f"{h} bigint" for h in names], "key bigint, n bigint"])
-        # the key follows from the hashes, it is only carried along
-        grown = named.mapInArrow(_grow(k, _filter(shorter)), schema).groupBy("lang", *names).agg(F.first("key").alias("key"), F.sum("n").alias("n"))
-        shorter = written(grown.filter(F.col("n") >= least).drop("n"), f"grown-{k}")
+        schema = ", ".join(["lang string", *[f"{h} bigint" for h in names], "n bigint"])
+        grown = named.mapInArrow(_grow(k, _filter(shorter)), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+        key = F.arrow_udf(_phrase_key, "bigint")("lang", F.array(*names)).alias("key")
+        shorter = written(grown.filter(F.col("n") >= least).select("lang", *names, key), f"grown-{k}")
         phrase = shorter
         for h in names:
             phrase = phrase.join(known.select("lang", F.col("h").alias(h), F.col("word").alias(f"w{h}")), ["lang", h])

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .alignment import align, tokenizers
 from .byte_bpe import Vocabulary, decode, encode, packed
 from .decontamination import benchmark_hits, hit_words
 from .fingerprints import digests, edited, fingerprint, likeness, with_difference, with_next
@@ -254,3 +255,15 @@ WHERE rank <= 2000
 def op11(spark, folder):
     """The 2000 strongest phrases of two or three words of each language."""
     return collocations(documents_of(spark, folder, "lang", "text"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark, folder):
+    """Tokens of two public tokenizers in every document, what they share, and how usual their pairs are."""
+    import public_tokenizers
+
+    both = tokenizers(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = align(documents_of(spark, folder, "doc_id", "text"), both, carry=["doc_id"])
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return aligned.select(F.col("row.doc_id").alias("doc_id"), *columns, digest.alias("groups_sha256"))
