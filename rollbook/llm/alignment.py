@@ -8,7 +8,6 @@ taken for another.
 
 import json
 import math
-import os
 import uuid
 
 import numpy as np
@@ -24,9 +23,13 @@ SHARD_PAIRS, BUCKET_PAIRS = 200_000, 2
 #: Rows of counts in one dense vector's task, vectors that are added at once, and bytes of the table sent at once.
 VECTOR_ROWS, FAN, SENT_BYTES = 1_000_000, 16, 96 << 20
 #: Bytes of text worked on at a time, segments remembered in each of two generations, pairs counted before they are combined.
-CHUNK_BYTES, SEGMENTS, HELD_PAIRS = 4 << 20, 150_000, 2_000_000
+CHUNK_BYTES, SEGMENTS, HELD_PAIRS = 2 << 20, 150_000, 2_000_000
+#: Links of a group from which on its pairs are formed from distinct ids.
+WIDE = 10_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 SPACE = "▁"
+#: Fixed value: how a byte-level model cuts texts before it merges bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters():
@@ -45,21 +48,34 @@ class Aligner:
     """
 
     def __init__(self, contents, lookup=None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
         content_a, content_b = contents
         self.lookup = lookup
-        self.a = Tokenizer.from_str(content_a.decode("utf-8"))
-        self.a.encode_special_tokens = True
+        model = json.loads(content_a)
         letters = _byte_letters()
-        vocabulary = json.loads(content_a)["model"]["vocab"]
+        vocabulary = model["model"]["vocab"]
         self.bytes_a = {i: bytes(letters.get(c, 0) for c in token) for token, i in vocabulary.items()}
+        self.ranks = _ranks(model, self.bytes_a)
+        if self.ranks:
+            # the same merges, several times faster
+            import tiktoken
+
+            self.encode_a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+        else:
+            own = Tokenizer.from_str(content_a.decode("utf-8"))
+            own.encode_special_tokens = True
+            self.encode_a = lambda text: own.encode(text, add_special_tokens=False).ids
         self.b = sentencepiece.SentencePieceProcessor(model_proto=content_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.sizes_a, self.sizes_b = {i: len(t) for i, t in self.bytes_a.items()}, list(map(len, self.bytes_b))
+        most = max(self.bytes_a) + 1
+        self.sizes_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(most)], np.int64)
+        self.sizes_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        # how an id is written, by what comes behind it
+        self.written_a = [[f"{i}{c}" for i in range(most)] for c in ",;"]
+        self.written_b = [[f"{i}{c}" for i in range(len(pieces))] for c in (",", "|", "")]
         self.width = len(pieces)
         self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.front = len(self.b.encode("a"))
@@ -93,63 +109,92 @@ class Aligner:
                 self.newer[s] = entry
         return found
 
+    def _ids(self, segments):
+        """Ids A and B of each segment."""
+        ids_a = [self.encode_a(f" {s}") for s in segments]
+        if not self.apart:
+            return ids_a, self.b.encode(segments, num_threads=1)
+        # behind another word, as a lone space would be nothing
+        return ids_a, [ids[self.front :] for ids in self.b.encode([f"a {s}" for s in segments], num_threads=1)]
+
+    def _fits(self, data, ids_a, ids_b):
+        return b"".join([self.bytes_a[i] for i in ids_a]) == data and b"".join([self.bytes_b[i] for i in ids_b]) == data
+
     def _entries(self, segments):
-        """(tokens A, tokens B, groups, links, groups as text, pairs, times of each pair or None, n_best, count_sum); None if the bytes differ."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in segments], add_special_tokens=False)]
-        if self.apart:
-            # behind another word, as a lone space would be nothing
-            ids_b = [ids[self.front :] for ids in self.b.encode([f"a {s}" for s in segments], num_threads=1)]
-        else:
-            ids_b = self.b.encode(segments, num_threads=1)
-        out = [self._aligned(f" {s}".encode(), a, b) for s, a, b in zip(segments, ids_a, ids_b)]
-        return self._with_counts(out) if self.lookup else out
-
-    def _aligned(self, data, ids_a, ids_b):
-        if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
-            return (None, ids_a, ids_b)
-        sizes_a, sizes_b = self.sizes_a, self.sizes_b
-        groups, first_a, first_b, j, end_a, end_b = [], 0, 0, 0, 0, 0
-        for i, a in enumerate(ids_a):
-            end_a += sizes_a[a]
-            while end_b < end_a:
-                end_b += sizes_b[ids_b[j]]
-                j += 1
-            if end_a == end_b:
-                groups.append((ids_a[first_a : i + 1], ids_b[first_b:j]))
-                first_a, first_b = i + 1, j
-        pairs, links = {}, 0
-        for own_a, own_b in groups:
-            links += len(own_a) * len(own_b)
-            times_a, times_b = {}, {}
-            for times, own in ((times_a, own_a), (times_b, own_b)):
-                for i in own:
-                    times[i] = times.get(i, 0) + 1
-            for a, n in times_a.items():
-                for b, m in times_b.items():
-                    key = a * self.width + b
-                    pairs[key] = pairs.get(key, 0) + n * m
-        text = "|".join([",".join(map(str, a)) + ";" + ",".join(map(str, b)) for a, b in groups])
-        times = None if len(pairs) == links else tuple(pairs.values())
-        return len(ids_a), len(ids_b), len(groups), links, text, tuple(pairs), times, 0, 0
+        """(tokens A, tokens B, groups, links, groups as text, pairs, times of each pair or None, n_best, count_sum) of each segment;
+        (None, ids A, ids B) if the bytes differ."""
+        ids_a, ids_b = self._ids(segments)
+        good = [i for i, s in enumerate(segments) if self._fits(f" {s}".encode(), ids_a[i], ids_b[i])]
+        made = self._aligned([ids_a[i] for i in good], [ids_b[i] for i in good])
+        out = [(None, a, b) for a, b in zip(ids_a, ids_b)]
+        for i, entry in zip(good, self._with_counts(made) if self.lookup else made):
+            out[i] = entry
+        return out
+
+    def _aligned(self, ids_a, ids_b):
+        """Entries of segments whose tokens have the same bytes, all at once: ends are places in their joined bytes."""
+        if not ids_a:
+            return []
+        flat_a, flat_b = (np.fromiter((i for own in ids for i in own), np.int64) for ids in (ids_a, ids_b))
+        per_a, per_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        # segments end where groups end
+        last = np.searchsorted(cuts, ends_a[np.cumsum(per_a) - 1]) + 1
+        first = np.concatenate(([0], last[:-1]))
+        segment = np.repeat(np.arange(len(ids_a)), last - first)
+        links = np.diff(np.concatenate(([0], np.cumsum(in_a * in_b)))[np.concatenate(([0], last))])
+        keys, times, own = self._pairs(flat_a, flat_b, group_a, group_b, in_a, in_b, segment)
+        edge = np.searchsorted(own, np.arange(len(ids_a) + 1)).tolist()
+        # every id with what is written behind it, group by group, A before B
+        ends_group = np.concatenate((group_a[1:] != group_a[:-1], [True])).tolist(), np.concatenate((group_b[1:] != group_b[:-1], [True]))
+        behind_b = np.where(ends_group[1], 1, 0)
+        behind_b[np.cumsum(per_b) - 1] = 2
+        words = [self.written_a[c][i] for i, c in zip(flat_a.tolist(), ends_group[0])] + [self.written_b[c][i] for i, c in zip(flat_b.tolist(), behind_b.tolist())]
+        order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable").tolist()
+        words = [words[i] for i in order]
+        stops = np.cumsum(per_a + per_b).tolist()
+        keys, times, out, at = keys.tolist(), times.tolist(), [], 0
+        for i, (n_a, n_b, n, m) in enumerate(zip(per_a.tolist(), per_b.tolist(), (last - first).tolist(), links.tolist())):
+            k, own_times = tuple(keys[edge[i] : edge[i + 1]]), None
+            if len(k) != m:
+                own_times = tuple(times[edge[i] : edge[i + 1]])
+            out.append((n_a, n_b, n, m, "".join(words[at : stops[i]]), k, own_times, 0, 0))
+            at = stops[i]
+        return out
+
+    def _pairs(self, flat_a, flat_b, group_a, group_b, in_a, in_b, segment):
+        """(pair, times, segment) of the distinct pairs of each segment, in its order."""
+        first_b = np.cumsum(in_b) - in_b
+        wide = in_a * in_b > WIDE
+        each = np.where(wide, 0, in_b)[group_a]
+        place = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+        group = np.repeat(group_a, each)
+        pair = np.repeat(flat_a, each) * self.width + flat_b[first_b[group] + place]
+        pairs, segments, times = [pair], [segment[group]], [np.ones(len(pair), np.int64)]
+        for g in np.flatnonzero(wide):
+            # many tokens that share no end: by distinct ids
+            (a, n), (b, m) = (np.unique(flat[group == g], return_counts=True) for flat, group in ((flat_a, group_a), (flat_b, group_b)))
+            pairs.append((a[:, None] * self.width + b).ravel())
+            times.append((n[:, None] * m).ravel())
+            segments.append(np.full(len(pairs[-1]), segment[g]))
+        pair, own, times = np.concatenate(pairs), np.concatenate(segments), np.concatenate(times)
+        order = np.lexsort((pair, own))
+        pair, own, times = pair[order], own[order], times[order]
+        new = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (own[1:] != own[:-1])))) if len(pair) else np.zeros(0, np.int64)
+        return pair[new], np.add.reduceat(times, new) if len(new) else times, own[new]
 
     def _with_counts(self, entries):
         """The entries with the looked up counts of their links."""
-        good = [e for e in entries if e[0] is not None]
-        sizes = np.fromiter((len(e[5]) for e in good), np.int64, len(good))
-        keys = np.fromiter((k for e in good for k in e[5]), np.int64, int(sizes.sum()))
-        times = np.fromiter((n for e in good for n in (e[6] or (1,) * len(e[5]))), np.int64, len(keys))
+        sizes = np.fromiter((len(e[5]) for e in entries), np.int64, len(entries))
+        keys = np.fromiter((k for e in entries for k in e[5]), np.int64, int(sizes.sum()))
+        times = np.fromiter((n for e in entries for n in (e[6] or (1,) * len(e[5]))), np.int64, len(keys))
         counts, best = self.lookup.find(keys, keys // self.width)
         ends = np.concatenate(([0], np.cumsum(sizes)))
         sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[ends]).tolist() for x in (times * best, times * counts)]
-        made = iter(zip(good, *sums))
-        out = []
-        for e in entries:
-            if e[0] is None:
-                out.append(e)
-            else:
-                e, n_best, total = next(made)
-                out.append((*e[:7], n_best, total))
-        return out
+        return [(*e[:7], n_best, total) for e, n_best, total in zip(entries, *sums)]
 
     def align(self, texts):
         """Entries of each text; no entry if there is no text or the joined tokens are not its bytes."""
@@ -158,19 +203,27 @@ class Aligner:
             if not text:
                 own = ()
             elif any(e[0] is None for e in own):
-                ids_a, ids_b = [], []
-                for e, s in zip(own, self.cut(text)):
-                    parts = e[1:] if e[0] is None else self._ids(s)
-                    ids_a += parts[0]
-                    ids_b += parts[1]
-                whole = self._aligned(f" {text}".encode(), ids_a, ids_b)
-                own = () if whole[0] is None else self._with_counts([whole]) if self.lookup else [whole]
+                ids = [[i for part in parts for i in part] for parts in self._ids(self.cut(text))]
+                own = ()
+                if self._fits(f" {text}".encode(), *ids):
+                    own = self._aligned(*[[i] for i in ids])
+                    own = self._with_counts(own) if self.lookup else own
             out.append(own)
         return out
 
-    def _ids(self, segment):
-        ids_b = self.b.encode(f"a {segment}")[self.front :] if self.apart else self.b.encode(segment)
-        return self.a.encode(f" {segment}", add_special_tokens=False).ids, ids_b
+
+def _ranks(model, tokens):
+    """Bytes -> id of a byte-level model whose ids are the order of its merges and which cuts texts by PATTERN; else None."""
+    before = model.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    if not plain or model.get("normalizer") or model["model"].get("dropout") or model["model"].get("ignore_merges"):
+        return None
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["model"]["merges"]]
+    ids = [model["model"]["vocab"][token] for token in merged]
+    if any(a >= b for a, b in zip(ids, ids[1:])):
+        return None
+    special = {t["id"] for t in model.get("added_tokens", ())}
+    return {token: i for i, token in tokens.items() if i not in special}
 
 
 _loaded = {}

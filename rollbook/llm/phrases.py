@@ -19,7 +19,7 @@ from .tables import written
 from .words import LOWER, mixed, span_hashes
 
 #: Bytes of text that are worked on at a time, rows of counts that a task holds, and bytes of phrases in one trie.
-CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 2 << 20, 500_000, 16 << 20
+CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 2 << 20, 1_000_000, 16 << 20
 #: Bits of the largest filter of hashes (32 MB).
 MOST_BITS = 28
 NO_LANG = "und"
@@ -364,7 +364,9 @@ def frequent_phrases(df, lang="lang", text="text", longest=3, least=10, trie_byt
     for k in range(2, longest + 1):
         names = [f"h{i}" for i in range(k)]
         schema = ", ".join(["lang string", *[f"{h} bigint" for h in names], "n bigint"])
-        grown = named.mapInArrow(_grow(k, _filter(shorter)), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+        # the tasks have combined their counts, so the rows are dealt out as they are
+        counts = named.mapInArrow(_grow(k, _filter(shorter)), schema).repartition("lang", *names)
+        grown = counts.groupBy("lang", *names).agg(F.sum("n").alias("n"))
         key = F.arrow_udf(_phrase_key, "bigint")("lang", F.array(*names)).alias("key")
         shorter = written(grown.filter(F.col("n") >= least).select("lang", *names, key), f"grown-{k}")
         phrase = shorter
