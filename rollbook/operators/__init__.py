@@ -29,6 +29,7 @@ from .joins import (  # noqa: F401
     with_area,
     with_exists_flag,
 )
+from .incremental import merge_partials, partial_facts, pivot_partials  # noqa: F401
 from .lists import in_order, list_values  # noqa: F401
 from .merge import (  # noqa: F401
     add_parents,
@@ -37,7 +38,9 @@ from .merge import (  # noqa: F401
     insert_new,
     largest_absolute,
     merge_maps,
+    read_refreshed,
     refresh,
+    stored,
     replace_documents,
     unique,
     upsert,

@@ -4,10 +4,11 @@ An array or a joined text would have to fit into one row of one task. Here a gro
 one shape, a row per value with its place in the group, from 0.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from .merge import refresh
+from .merge import stored
 
 _ROW = (1 << 33) - 1
 
@@ -21,18 +22,15 @@ def in_order(df, keys, order, name="position"):
     columns = [*keys, *order]
     ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     ranged = ranged.withColumn("_at", F.monotonically_increasing_id())
-    rows = refresh(ranged, shared_folder(df.sparkSession, "ordered"))
-    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(_ROW))
-    # a row per key and task that holds some of it
-    firsts = rows.groupBy("_part", *keys).agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
+    rows = stored(ranged, shared_folder(df.sparkSession, "ordered"))
+    part = F.shiftright("_at", 33)
     # a struct is never NULL, so that keys which are join too
-    rows = rows.withColumn("_keys", F.struct(*keys))
-    by_key = firsts.groupBy(F.struct(*keys).alias("_keys")).agg(F.sort_array(F.collect_list(F.struct("_part", "_from", "_n"))).alias("_runs"))
-    earlier = F.aggregate(
-        F.filter("_runs", lambda r: r["_part"] < F.col("_part")), F.lit(0).cast("bigint"), lambda n, r: n + r["_n"]
-    )
-    start = F.filter("_runs", lambda r: r["_part"] == F.col("_part"))[0]["_from"]
-    placed = rows.join(by_key, "_keys").withColumn(name, (earlier + F.col("_at") - start).cast("bigint"))
+    rows = rows.withColumns({"_run": F.struct(part.alias("part"), *keys), "_at": F.col("_at").bitwiseAND(_ROW)})
+    # a row per key and task that holds some of it, with the rows of the key in the tasks before
+    firsts = rows.groupBy("_run").agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*[F.col(f"_run.{k}") for k in keys]).orderBy("_run.part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = firsts.select("_run", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_from")).alias("_offset"))
+    placed = rows.join(offsets, "_run").withColumn(name, (F.col("_at") + F.col("_offset")).cast("bigint"))
     return placed.select(*df.columns, name)
 
 

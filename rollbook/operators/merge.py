@@ -3,11 +3,13 @@
 Parquet has no update in place: a job reads one version and writes the next.
 """
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from ..functions import to_decimal
+from ..sources.versions import Part, current_version, publish, read_parts, write_part
 
 
 def _names(x):
@@ -132,7 +134,27 @@ def merge_maps(old, new, key="key", value="value"):
     return both.groupBy(key).agg(F.max_by(value, F.struct("_age", value)).alias(value))
 
 
-def refresh(df, path):
-    """Replace a stored result and read it back."""
+def stored(df, path):
+    """Write a table to a new folder and read it back."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def refresh(df, folder):
+    """Replace a stored result and read it back.
+
+    The new result is written next to the old one, and then a new version names it: a reader finds the old or the new result
+    as a whole, also when the job fails in between.
+    """
+    spark = df.sparkSession
+    version, _ = current_version(spark, folder)
+    name = f"result/{uuid.uuid4().hex}"
+    part = Part("result", name, write_part(df, folder, name))
+    publish(spark, folder, 0 if version is None else version + 1, [part])
+    return read_refreshed(spark, folder, df.schema)
+
+
+def read_refreshed(spark, folder, schema):
+    """The result that ``refresh`` has stored last."""
+    _, parts = current_version(spark, folder)
+    return read_parts(spark, folder, parts, schema).drop("age")

@@ -17,6 +17,11 @@ def _names(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def _keyed(df, key):
+    """``df`` with its keys as the struct ``_key``, which is never NULL: rows with NULL as a key are a group, and join."""
+    return df.withColumn("_key", F.struct(*_names(key)))
+
+
 def with_previous(df, key, order, cols, segment, prefix="previous_", first=(), per_key=None):
     """Add ``previous_<col>`` from the row before, per key; NULL for the first row.
 
@@ -26,9 +31,9 @@ def with_previous(df, key, order, cols, segment, prefix="previous_", first=(), p
     are added. Both go through the summary of the segments, so the rows themselves are
     shuffled once, by key and segment.
     """
-    keys, cols, first = _names(key), _names(cols), list(first)
+    names, cols, first = _names(key), _names(cols), list(first)
     values = F.struct(*cols)
-    rows = df.withColumn("_segment", segment)
+    rows, keys = _keyed(df, key).withColumn("_segment", segment), ["_key"]
     ends = [F.max_by(values, order).alias("_last")]
     time_line = Window.partitionBy(*keys).orderBy("_segment")
     carried = [F.lag("_last").over(time_line).alias("_carry")]
@@ -38,8 +43,8 @@ def with_previous(df, key, order, cols, segment, prefix="previous_", first=(), p
     carry = rows.groupBy(*keys, "_segment").agg(*ends).select(*keys, "_segment", *carried)
     added = []
     if per_key is not None:
-        added = [c for c in per_key.columns if c not in keys]
-        carry = carry.join(per_key, keys, "left")
+        added = [c for c in per_key.columns if c not in names]
+        carry = carry.join(_keyed(per_key, key).drop(*names), keys, "left")
     in_segment = Window.partitionBy(*keys, "_segment").orderBy(order)
     before = F.coalesce(F.col("_before"), F.col("_carry"))
     return (
@@ -58,9 +63,9 @@ def with_previous(df, key, order, cols, segment, prefix="previous_", first=(), p
 
 def with_first_seen(df, key, order, cols, prefix="first_"):
     """Add the values that the key had first. One aggregate with a map-side combine."""
-    keys, cols = _names(key), _names(cols)
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("_first"))
-    return df.join(first, keys, "left").select(
+    cols, rows = _names(cols), _keyed(df, key)
+    first = rows.groupBy("_key").agg(F.min_by(F.struct(*cols), order).alias("_first"))
+    return rows.join(first, "_key", "left").select(
         *df.columns, *[F.col(f"_first.{c}").alias(prefix + c) for c in cols]
     )
 
@@ -76,8 +81,8 @@ def latest_per_key(df, key, order):
 
 def with_position(df, key, order, segment, name="position"):
     """Add the place of the row within its key, from 0."""
-    keys = _names(key)
-    rows = df.withColumn("_segment", segment)
+    keys = ["_key"]
+    rows = _keyed(df, key).withColumn("_segment", segment)
     sizes = rows.groupBy(*keys, "_segment").agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(
         Window.unboundedPreceding, -1
@@ -90,7 +95,7 @@ def with_position(df, key, order, segment, name="position"):
         rows.withColumn("_row", F.row_number().over(in_segment))
         .join(offsets, [*keys, "_segment"])
         .withColumn(name, (F.col("_offset") + F.col("_row") - 1).cast("bigint"))
-        .drop("_segment", "_row", "_offset")
+        .drop("_key", "_segment", "_row", "_offset")
     )
 
 
@@ -148,8 +153,8 @@ def rolling_count(df, key, ts, seconds, name="rolling_count", block=10_000):
 
 def running_mean(df, key, order, col, segment, name="running_mean"):
     """Mean of all rows of the key so far. Sums are kept as decimals, so they are exact."""
-    keys = _names(key)
-    rows = df.withColumn("_segment", segment).withColumn("_x", F.col(col).cast("decimal(20,6)"))
+    keys = ["_key"]
+    rows = _keyed(df, key).withColumn("_segment", segment).withColumn("_x", F.col(col).cast("decimal(20,6)"))
     totals = rows.groupBy(*keys, "_segment").agg(
         F.sum("_x").alias("_sum"), F.count("_x").alias("_count")
     )
@@ -170,5 +175,5 @@ def running_mean(df, key, order, col, segment, name="running_mean"):
     return (
         rows.join(offsets, [*keys, "_segment"])
         .withColumn(name, F.try_divide(total.cast("double"), count.cast("double")))
-        .drop("_segment", "_x", "_sum0", "_count0")
+        .drop("_key", "_segment", "_x", "_sum0", "_count0")
     )

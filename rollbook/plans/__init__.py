@@ -9,6 +9,7 @@ from .accounts import (  # noqa: F401
     load_facts,
     profile_rows,
 )
+from .accounts_view import read_wide_accounts, refresh_wide_accounts  # noqa: F401
 from .events import load_company_events, load_filing_events  # noqa: F401
 from .officers import load_officers, officer_rows, person_rules  # noqa: F401
 from .reports import (  # noqa: F401

@@ -20,6 +20,8 @@ from ..plans import (
     load_filing_events,
     load_officers,
     profile_rows,
+    read_wide_accounts,
+    refresh_wide_accounts,
     regional_accounts,
     wide_accounts,
 )
@@ -39,7 +41,7 @@ from .adapters import (
     with_sql,
 )
 from .aggregates import VALUE_MAPS, plain_profile, profile_sql
-from .registry import query
+from .registry import SQL, query
 from .scalars import bulk_path
 from .shapes import (
     COMPANY_FLAT,
@@ -552,6 +554,22 @@ def jb09(spark, folder):
     )
 
 
+@query("jb09f_refreshed_accounts", SQL["jb09_wide_accounts"])
+def jb09f(spark, folder):
+    """The same out of a stored view that is refreshed after each of three deliveries of facts, of which one comes twice."""
+    target = shared_folder(spark, "accounts-view")
+    rows = facts(spark, folder).withColumn("delivery", F.pmod(C("seq"), F.lit(3)))
+    for n in (0, 1, 1, 2):
+        refresh_wide_accounts(spark, target, rows.filter(C("delivery") == n), f"delivery {n}")
+    wide = read_wide_accounts(spark, target, companies(spark, folder))
+    return wide.select(
+        "company_number",
+        "end_date",
+        *[dbl(c) if rule == "signed" else C(c).cast("string").alias(c) for c, _, rule in WIDE_ACCOUNTS],
+        "post_code",
+    )
+
+
 @query(
     "jb09d_account_officers",
     with_sql(

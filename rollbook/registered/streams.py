@@ -10,18 +10,20 @@ from ..streaming import (
     backlog_age,
     dedupe_events,
     diff_companies,
-    event_rate,
     flatten_company,
     flatten_filing,
     mark_deleted,
     parse_or_quarantine,
     read_events,
     read_lines,
+    read_rates,
     repair_frames,
     resume_after,
     run_continuous,
     run_until_current,
     save_each_batch,
+    save_new_events,
+    store_rates,
     unknown_codes,
     with_event_key,
 )
@@ -130,6 +132,33 @@ def st04(spark, folder):
     return stored(spark, dedupe_events(events).select("event_key"), "once").select("event_key")
 
 
+@query(
+    "st04b_dedupe_by_stored_ids",
+    """SELECT event_id::VARCHAR AS event_key, 1::BIGINT AS n FROM events WHERE event_type <> 'error'
+       UNION ALL SELECT NULL, 4 * COUNT(*) FROM events WHERE event_type = 'error'""",
+)
+def st04b(spark, folder):
+    """Every event comes twice, in four deliveries and again after them; errors have no id, and none of them is a repeat."""
+    landing, target = shared_folder(spark, "repeats"), shared_folder(spark, "new-events")
+    ev = register_events(spark, folder)
+    quarter = F.pmod(F.col("timepoint"), F.lit(4))
+    for part in [quarter == 0, quarter.isin(0, 1), quarter.isin(1, 2, 3), quarter.isin(2, 3)]:
+        _without_error_ids(company_event_json(spark, folder, ev.filter(part))).write.mode("append").text(landing)
+        events, _ = read_events(spark, "companies", landing)
+        run_until_current(save_new_events(events, target, most_parts=2), f"{target}/checkpoint")
+    # once more in one batch
+    _without_error_ids(_twice(spark, folder)).write.mode("append").text(landing)
+    run_until_current(save_new_events(read_events(spark, "companies", landing)[0], target), f"{target}/checkpoint")
+    rows = spark.read.parquet(f"{target}/rows")
+    return rows.groupBy("event_key").agg(F.count("*").alias("n"))
+
+
+def _without_error_ids(lines):
+    """The events of deletions lose their etag, by which company events are told apart."""
+    gone = F.regexp_replace("value", '"etag":"[^"]*"', '"etag":null')
+    return lines.select(F.when(F.col("value").contains('"type":"deleted"'), gone).otherwise(F.col("value")).alias("value"))
+
+
 @query(
     "st05_resume_after",
     """SELECT event_id FROM events WHERE event_id > (SELECT MAX(event_id) FROM events
@@ -209,6 +238,28 @@ def st06b(spark, folder):
     return changes_text(events)
 
 
+@query(
+    "st06c_company_log",
+    with_sql(
+        "register_events",
+        f"""SELECT number, ARG_MAX_NULL(name, timepoint) AS name, ARG_MAX_NULL(streetaddress, timepoint) AS streetaddress,
+                   ARG_MAX_NULL(category, timepoint) AS category, ARG_MAX_NULL(status, timepoint) AS status,
+                   ARG_MIN(origin, timepoint) AS origin, MAX(timepoint) AS timepoint
+            FROM ({COMPANY_FLAT}) AS flat GROUP BY number""",
+    ),
+)
+def st06c(spark, folder):
+    """The companies after five deliveries; their log is put together several times in between."""
+    landing = shared_folder(spark, "companies-by-days")
+    target = shared_folder(spark, "companies-log")
+    ev = register_events(spark, folder)
+    days = F.least(F.floor((F.dayofmonth("published") - 1) / 6), F.lit(4))
+    for n in range(5):
+        company_event_json(spark, folder, ev.filter(days == n)).write.mode("append").text(landing)
+        _, state, _ = load_company_events(spark, landing, target, most_logs=1, share=1.5)
+    return state.select("number", "name", "streetaddress", "category", "status", "origin", "timepoint")
+
+
 FILING_TEXT = """'**' || event_type || '** of ' || regexp_extract(props, '([0-9]+)', 1)
                  || ' made up to ' || strftime(ts, '%Y-%m-%d')"""
 
@@ -265,11 +316,14 @@ def st09(spark, folder):
        FROM events GROUP BY ALL""",
 )
 def st10(spark, folder):
-    path = landed(spark, folder, company_event_json, "rate")
-    rates = event_rate(read_events(spark, "companies", path)[0])
-    batches = stored(spark, rates, "rate-stored", "complete")
-    newest = F.broadcast(batches.agg(F.max("batch").alias("batch")))
-    return batches.join(newest, "batch", "left_semi").select(
+    """Three deliveries, of which each has events of all windows; a window's rows are added up on reading."""
+    landing, target = shared_folder(spark, "rate"), shared_folder(spark, "rate-stored")
+    ev = register_events(spark, folder)
+    for n in range(3):
+        company_event_json(spark, folder, ev.filter(F.pmod(F.col("timepoint"), F.lit(3)) == n)).write.mode("append").text(landing)
+        events, _ = read_events(spark, "companies", landing)
+        run_until_current(store_rates(events, f"{target}/rows"), f"{target}/checkpoint")
+    return read_rates(spark, f"{target}/rows").select(
         stamp("window_start"), "events", F.round("events_per_second", 6).alias("events_per_second")
     )
 

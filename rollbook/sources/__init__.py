@@ -16,6 +16,7 @@ from .officers import (  # noqa: F401
     split_quarantine,
 )
 from .sinks import write_delimited, write_documents  # noqa: F401
+from .versions import current_version, publish, read_parts, write_part  # noqa: F401
 from .snapshots import (  # noqa: F401
     nest_dotted,
     read_delimited,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import HOME_COUNTRY
 from ..functions import change_map, company_type, instant
 from ..operators.windows import with_previous
+from .change_log import ChangeLog
 
 # compared in this order; the origin and the date of a company are never updated
 COMPARED = [
@@ -119,60 +120,41 @@ def _apply(state, newest):
     return both.select(*[columns[c].alias(c) for c in COMPANY_COLUMNS])
 
 
-#: Parts that the stored companies are cut into by the hash of their number.
-BUCKETS = 64
+COMPANY_SCHEMA = ", ".join(f"{c} {dict(date='date', timepoint='bigint').get(c, 'string')}" for c in COMPANY_COLUMNS)
 
 
-def _bucket():
-    return F.pmod(F.xxhash64("number"), F.lit(BUCKETS)).cast("int")
-
-
-def _versions(spark, folder, version=None):
-    """{bucket: version in which it was written last}, after ``version`` or the newest one; BUCKETS rows at most."""
-    if version is None:
-        version = spark.read.schema("version bigint").parquet(f"{folder}/newest").first().version
-    rows = spark.read.schema("bucket int, version bigint").parquet(f"{folder}/manifest/{version:010d}")
-    return {r.bucket: r.version for r in rows.collect()}
-
-
-def _read_buckets(spark, folder, versions):
-    """Companies of the given buckets, or None if there are none."""
-    paths = [f"{folder}/companies/{version:010d}/bucket={bucket}" for bucket, version in versions.items()]
-    return spark.read.parquet(*paths).select(*COMPANY_COLUMNS) if paths else None
+def company_log(spark, folder, **options):
+    """The stored companies of ``store_companies``, as a change log."""
+    return ChangeLog(spark, f"{folder}/companies", "number", COMPANY_SCHEMA, **options)
 
 
 def read_companies(spark, folder):
-    """The companies as ``start_company_stream`` has stored them last."""
-    found = _read_buckets(spark, folder, _versions(spark, folder))
-    return spark.range(0).select(*[F.lit(None).alias(c) for c in COMPANY_COLUMNS]) if found is None else found
+    """The companies as they were stored last."""
+    return company_log(spark, folder).read()
 
 
-def start_company_stream(events, folder, segment=None):
-    """A writer that stores the company events and, per batch, the companies of the buckets it touches.
+def store_companies(batch, batch_id, folder, segment=None, **options):
+    """Store the company events of a batch and the companies that it changes.
 
-    Batch n reads the buckets of its companies as they were after batch n - 1, writes them anew as
-    version n, and a manifest with the version of each bucket; a small file names the newest
-    version. So a batch's work is bounded by what it touches, not by all companies. A
-    batch that runs again reads the same versions and replaces its own output. No executor
-    holds state between batches.
+    Only the companies of the batch are read and appended to the change log, as version ``batch_id``. A batch that runs
+    again reads the same state and replaces its own output. No executor holds state between batches.
     """
-    spark = events.sparkSession
+    log = company_log(batch.sparkSession, folder, **options)
+    # no more rows than the batch has companies
+    state = log.read(batch.select("number"), batch_id).persist()
+    out, companies = diff_companies(batch, state, segment)
+    out.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id:010d}")
+    log.append(companies, batch_id)
+    state.unpersist()
+
+
+def start_company_stream(events, folder, segment=None, **options):
+    """A writer that stores the company events and the companies of each batch, see ``store_companies``."""
 
     def process(batch, batch_id):
-        # the batch is read several times, but its source and its state only once
+        # the batch is read several times, but its source only once
         batch.persist()
-        versions = _versions(spark, folder, batch_id - 1) if batch_id > 0 else {}
-        touched = [r.bucket for r in batch.select(_bucket().alias("bucket")).distinct().collect()]
-        state = _read_buckets(spark, folder, {b: versions[b] for b in sorted(touched) if b in versions})
-        out, companies = diff_companies(batch, state, segment)
-        rows = companies.withColumn("bucket", _bucket()).repartition("bucket")
-        rows.write.partitionBy("bucket").mode("overwrite").parquet(f"{folder}/companies/{batch_id:010d}")
-        out.write.mode("overwrite").parquet(f"{folder}/events/batch={batch_id:010d}")
-        versions.update({b: batch_id for b in touched})
-        manifest = spark.createDataFrame(sorted(versions.items()), "bucket int, version bigint")
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest/{batch_id:010d}")
-        newest = spark.createDataFrame([(batch_id,)], "version bigint")
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/newest")
+        store_companies(batch, batch_id, folder, segment, **options)
         batch.unpersist()
 
     return events.writeStream.foreachBatch(process)

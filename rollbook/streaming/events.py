@@ -60,11 +60,15 @@ def dedupe_events(df, id="event_key", ts="published", delay=None):
 
     A stream keeps the ids it has seen in its state store. With ``delay`` it forgets an id
     that long after its event was published: the state is then bounded by the rate of the
-    topic, but events later than that are dropped.
+    topic, but events later than that are dropped. ``save_new_events`` needs no state store at all. Events without
+    an id are no repeats of one another, they all stay.
     """
+    alone = df.withColumn("_alone", F.when(F.col(id).isNull(), F.expr("uuid()")))
     if df.isStreaming and delay:
-        return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id])
-    return df.dropDuplicates([id])
+        alone = alone.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id, "_alone"])
+    else:
+        alone = alone.dropDuplicates([id, "_alone"])
+    return alone.drop("_alone")
 
 
 def resume_after(df, hwm, col="timepoint"):
@@ -73,7 +77,7 @@ def resume_after(df, hwm, col="timepoint"):
 
 
 def event_rate(df, ts="published", width="5 minutes"):
-    """Events and events per second in each window of time."""
+    """Events and events per second in each window of time, for a batch; of a stream see ``store_rates``."""
     seconds = F.unix_timestamp("window.end") - F.unix_timestamp("window.start")
     return (
         df.groupBy(F.window(ts, width).alias("window"))
@@ -86,6 +90,29 @@ def event_rate(df, ts="published", width="5 minutes"):
     )
 
 
+def store_rates(events, folder, ts="published", width="5 minutes"):
+    """A writer that stores how many events of each batch fall into each window of time.
+
+    A batch adds a row for each window that it touches, and nothing is rewritten, so late events count too and no state
+    is kept. ``read_rates`` adds the rows up.
+    """
+
+    def save(batch, batch_id):
+        counted = batch.groupBy(F.window(ts, width).alias("window")).agg(F.count("*").alias("events"))
+        rows = counted.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "events")
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id:010d}")
+
+    return events.writeStream.foreachBatch(save)
+
+
+def read_rates(spark, folder):
+    """Events and events per second in each window, out of all batches of ``store_rates``."""
+    stored = spark.read.schema("window_start timestamp, window_end timestamp, events bigint").parquet(folder)
+    seconds = F.unix_timestamp("window_end") - F.unix_timestamp("window_start")
+    summed = stored.groupBy("window_start", "window_end").agg(F.sum("events").alias("events"))
+    return summed.select("window_start", "events", (F.col("events") / seconds).alias("events_per_second"))
+
+
 def backlog_age(df, published="published", ingested="ingested_at"):
     """Add ``backlog_seconds``: how late an event was taken in."""
     late = F.unix_micros(F.col(ingested)) - F.unix_micros(F.col(published))

@@ -7,15 +7,21 @@ import pytest
 
 from rollbook.plans import load_company_events, load_filing_events
 from rollbook.schemas import COMPANY_EVENT, TOPICS
+from rollbook.sources import current_version
 from rollbook.streaming import (
+    ChangeLog,
+    SeenIds,
     dedupe_events,
     diff_companies,
     flatten_company,
+    new_events,
     parse_or_quarantine,
     read_events,
+    read_rates,
     repair_frames,
     run_until_current,
     save_each_batch,
+    store_rates,
     with_event_key,
 )
 from tests.conftest import rows
@@ -182,7 +188,7 @@ def test_filings(spark, tmp_path):
     ]
 
 
-def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
+def test_a_batch_writes_the_companies_it_changes(spark, tmp_path):
     landing, out = tmp_path / "landing", tmp_path / "out"
     landing.mkdir()
     (landing / "0.json").write_text("\n".join(event(n, number=f"{n:08d}") for n in range(1, 300)) + "\n")
@@ -190,6 +196,83 @@ def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
     (landing / "1.json").write_text(event(500, number="00000007") + "\n{broken\n")
     _, companies, bad = load_company_events(spark, str(landing), str(out))
     assert companies.count() == 299 and rows(bad) == [("{broken",)]
-    versions = sorted(p.name for p in (out / "companies").iterdir())
-    assert len(list((out / "companies" / versions[0]).glob("bucket=*"))) > 30
-    assert len(list((out / "companies" / versions[-1]).glob("bucket=*"))) == 1
+    logs = sorted((out / "companies" / "log").iterdir())
+    assert [spark.read.parquet(str(p)).count() for p in logs] == [299, 1]
+
+
+def log_of(spark, tmp_path, **options):
+    return ChangeLog(spark, str(tmp_path / "log"), "id", "id string, a int, b string", **options)
+
+
+def test_change_log_equals_a_dict_and_writes_what_changes(spark, tmp_path):
+    log, expected, written = log_of(spark, tmp_path, most_logs=2, share=0.5, range_rows=20), {}, []
+    for version in range(9):
+        changed = [(f"k{(version * 7 + i * 3) % 50}", version, None if i % 2 else f"v{i}") for i in range(50 if version == 0 else 6)]
+        changed = list({r[0]: r for r in changed}.values())
+        expected.update({r[0]: r for r in changed})
+        for _ in range(2):
+            # a batch that runs again changes nothing
+            log.append(spark.createDataFrame(changed, log.schema), version)
+            assert rows(log.read()) == sorted(expected.values(), key=str)
+        parts = current_version(spark, log.folder)[1]
+        written.append((sum(p.kind == "base" for p in parts), sum(p.kind == "log" for p in parts)))
+        keys = spark.createDataFrame([("k1",), ("k2",), ("none",), (None,)], "id string")
+        assert rows(log.read(keys)) == sorted([r for k, r in expected.items() if k in ("k1", "k2")], key=str)
+    # compactions have happened, and few parts are left at any time
+    assert any(b for b, _ in written) and all(n <= 3 for _, n in written)
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    log = log_of(spark, tmp_path, most_logs=0, share=0)
+    log.append(spark.createDataFrame([("x", 1, "old")], log.schema), 0)
+    before = log.read()
+    log.append(spark.createDataFrame([("x", 2, "new")], log.schema), 1)
+    assert rows(before) == [("x", 1, "old")] and rows(log.read()) == [("x", 2, "new")]
+    assert rows(log.read(before=1)) == [("x", 1, "old")]
+
+
+def test_seen_ids_across_merges_and_without_ids(spark, tmp_path):
+    store, known = SeenIds(spark, str(tmp_path / "seen"), most_parts=2), set()
+    for version in range(6):
+        ids = {f"id{i}" for i in range(version * 20, version * 20 + 30)}
+        table = spark.createDataFrame([(i,) for i in sorted(ids)], "id string")
+        assert {r.id for r in store.seen(table).collect()} == ids & known
+        assert {r.id for r in store.seen(table, version).collect()} == ids & known
+        store.add(spark.createDataFrame([(i,) for i in sorted(ids - known)], "id string"), version)
+        known |= ids
+    assert len(current_version(spark, store.folder)[1]) <= 3
+    batch = spark.createDataFrame([("id1", 1), ("new", 2), ("new", 2), (None, 3), (None, 3)], "event_key string, n int")
+    found, finish = new_events(batch, 6, store.folder, most_parts=2)
+    assert rows(found) == [("new", 2), (None, 3), (None, 3)]
+    finish(found)
+    assert rows(new_events(batch, 7, store.folder)[0]) == [(None, 3), (None, 3)]
+    # the same batch again finds what it found before
+    assert rows(new_events(batch, 6, store.folder)[0]) == [("new", 2), (None, 3), (None, 3)]
+
+
+def test_no_state_store_and_filters_spare_reads(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "0.json").write_text("\n".join(event(n) for n in range(1, 20)) + "\n")
+    load_company_events(spark, str(landing), str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "checkpoint" / "state").exists()
+    store = SeenIds(spark, str(tmp_path / "ids"))
+    store.add(spark.range(10_000).selectExpr("concat('a', id) AS id"), 0)
+    part = current_version(spark, store.folder)[1][0]
+    strange = spark.range(10_000).selectExpr("concat('b', id) AS id")
+    assert store._maybe(strange, part).count() < 500
+    assert store._maybe(spark.range(10_000).selectExpr("concat('a', id) AS id"), part).count() == 10_000
+
+
+def test_events_without_an_id_stay(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1), ("a", 2)], "event_key string, n int")
+    assert dedupe_events(df).filter("event_key IS NULL").count() == 2 and dedupe_events(df).count() == 3
+
+
+def test_rates_add_up_over_batches(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    landing.mkdir()
+    for n, points in enumerate([[1, 2], [3], [2, 61]]):
+        (landing / f"{n}.json").write_text("\n".join(event(p) for p in points) + "\n")
+        run_until_current(store_rates(read_events(spark, "companies", str(landing))[0], out), str(tmp_path / "check"))
+    assert [tuple(r)[1:] for r in read_rates(spark, out).collect()] == [(5, 5 / 300)]
