@@ -19,7 +19,7 @@ from .tables import written
 from .words import LOWER, mixed, span_hashes
 
 #: Bytes of text that are worked on at a time, rows of counts that a task holds, and bytes of phrases in one trie.
-CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 2 << 20, 1_000_000, 16 << 20
+CHUNK_BYTES, HELD_ROWS, TRIE_BYTES = 2 << 20, 1_000_000, 8 << 20
 #: Bits of the largest filter of hashes (32 MB).
 MOST_BITS = 28
 NO_LANG = "und"
@@ -212,15 +212,19 @@ class Tries:
     """
 
     def __init__(self, langs, phrases):
-        self.langs = sorted(set(langs))
-        split = [p.split(b" ") for p in phrases]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        words = pa.array([w for p in split for w in p], pa.binary()).dictionary_encode()
+        coded = pa.array(langs, pa.string()).dictionary_encode()
+        self.langs = coded.dictionary.to_pylist()
+        data = np.frombuffer(b"\n".join(phrases) + b"\n", np.uint8)
+        ends = np.flatnonzero((data == 0x20) | (data == 0x0A))
+        last = np.flatnonzero(data[ends] == 0x0A)
+        sizes = np.diff(last, prepend=-1)
+        offsets = np.concatenate(([0], np.cumsum(np.diff(ends, prepend=-1) - 1))).astype(np.int32)
+        own = data[(data != 0x20) & (data != 0x0A)]
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(own)]).dictionary_encode()
         self.words = words.dictionary
         self.half = max(1, (len(self.words).bit_length() + 1) // 2)
         numbers, first = words.indices.to_numpy().astype(np.int64), np.cumsum(sizes) - sizes
-        code = {lang: i for i, lang in enumerate(self.langs)}
-        node = np.fromiter((code[lang] for lang in langs), np.int64, len(langs))
+        node = coded.indices.to_numpy().astype(np.int64)
         nodes, symbols = len(self.langs), 1 << self.half
         parents, edges, accepts = [], [], []
         for level in range(int(sizes.max())):
