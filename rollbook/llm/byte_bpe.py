@@ -235,6 +235,25 @@ def decode(vocabulary, ids):
     return F.arrow_udf(decoded, "binary")(ids)
 
 
+def encode_and_decode(vocabulary, text):
+    """Column of structs of a text column: ``n_tokens``, ``packed`` (ids as little-endian unsigned 32-bit numbers in a row) and
+    ``decoded``, the bytes of the ids. Each text is encoded once; results as ``encode`` and ``decode`` have them."""
+    content, pattern = vocabulary.content, vocabulary.pattern
+
+    def both(texts: pa.Array) -> pa.Array:
+        bpe, tokens, cut = _once(ByteBpe, content.value), _once(Tokens, content.value), regex.compile(pattern)
+        n, ids_out, bytes_out = [], [], []
+        for t in texts:
+            ids = np.array(bpe.encode(t.as_py() or "", cut), np.int64)
+            n.append(len(ids))
+            ids_out.append(ids.astype("<u4").tobytes())
+            bytes_out.append(tokens.decode(ids)[0].tobytes())
+        columns = [pa.array(n, pa.int64()), pa.array(ids_out, pa.binary()), pa.array(bytes_out, pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "packed", "decoded"])
+
+    return F.arrow_udf(both, "struct<n_tokens: bigint, packed: binary, decoded: binary>")(text)
+
+
 def packed(ids):
     """Column of token ids as little-endian unsigned 32-bit numbers in a row."""
 

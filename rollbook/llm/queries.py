@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .alignment import align, tokenizers
-from .byte_bpe import Vocabulary, decode, encode, packed
+from .byte_bpe import Vocabulary, encode_and_decode
 from .decontamination import benchmark_hits, hit_words
 from .fingerprints import digests, edited, fingerprint, likeness, with_difference, with_next
 from .fixity import audit, warc_records
@@ -71,12 +71,9 @@ def gpt_vocabulary(spark):
 def op6(spark, folder):
     """Digests of every document's token ids and of the bytes they decode to."""
     vocabulary = gpt_vocabulary(spark)
-    docs = documents_of(spark, folder, "doc_id", "text").select("doc_id", encode(vocabulary, F.col("text")).alias("ids"))
+    docs = documents_of(spark, folder, "doc_id", "text").select("doc_id", encode_and_decode(vocabulary, F.col("text")).alias("t"))
     return docs.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(packed(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(decode(vocabulary, F.col("ids")), 256).alias("decoded_sha256"),
+        "doc_id", "t.n_tokens", F.sha2("t.packed", 256).alias("ids_sha256"), F.sha2("t.decoded", 256).alias("decoded_sha256")
     )
 
 

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollbook.llm import QUERIES
-from rollbook.llm.byte_bpe import ByteBpe, Tokens, decode, encode, packed
+from rollbook.llm.byte_bpe import ByteBpe, Tokens, decode, encode, encode_and_decode, packed
 from rollbook.llm.queries import gpt_vocabulary
 
 FILES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
@@ -81,3 +81,13 @@ def test_odd_rows_and_empty_table(spark, odd):
 def test_every_byte_must_be_a_token():
     with pytest.raises(ValueError):
         ByteBpe(base64.b64encode(b"a") + b" 0\n")
+
+
+def test_encoded_once(spark, data, odd):
+    vocabulary = gpt_vocabulary(spark)
+    plan = QUERIES["op6_byte_bpe"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("both(text") >= 1 and "encoded(" not in plan and plan.count("ArrowEvalPython [") == 1
+    out = odd.select("text", encode(vocabulary, F.col("text")).alias("ids"), encode_and_decode(vocabulary, F.col("text")).alias("t"))
+    for r in out.collect():
+        assert bytes(r.t.decoded) == (r.text or "").encode() and r.t.n_tokens == len(r.ids)
+        assert bytes(r.t.packed) == struct.pack(f"<{len(r.ids)}I", *r.ids)
