@@ -246,3 +246,26 @@ def test_distinct_values_of_a_large_filing(spark):
     )
     got = distinct_values(facts, ["company_number"]).collect()
     assert sorted((r.position, r.officer) for r in got) == list(enumerate(sorted(f"P{i}" for i in range(100))))
+
+
+def test_windows_take_null_as_a_key(spark, data_rows):
+    """All five window operators: a third of the rows has no key, and they are a group like any other."""
+    unkeyed = [(None if r[0] == "hot" else r[0], *r[1:]) for r in data_rows]
+    df = spark.createDataFrame(unkeyed, "k string, at bigint, v bigint, s string").repartition(6)
+    groups = by_key(unkeyed)
+    before, first, place, mean, rolling = {}, {}, {}, {}, {}
+    for own in groups.values():
+        for i, r in enumerate(own):
+            before[r[1]] = own[i - 1][2] if i else None
+            first[r[1]], place[r[1]] = own[0][2], i
+            mean[r[1]] = sum(x[2] for x in own[: i + 1]) / (i + 1)
+            window = [x[2] for x in own[max(0, i - 3) : i + 1]]
+            rolling[r[1]] = sum(window) / len(window)
+    got = {r.at: r.previous_v for r in with_previous(df, "k", "at", ["v"], segment()).collect()}
+    assert got == before
+    assert {r.at: r.first_v for r in with_first_seen(df, "k", "at", ["v"]).collect()} == first
+    assert {r.at: r.position for r in with_position(df, "k", "at", segment()).collect()} == place
+    found = {r.at: r.rolling_mean for r in rolling_mean(df, "k", "at", "v", 4, segment(), block=10).collect()}
+    assert found.keys() == rolling.keys() and all(abs(found[a] - rolling[a]) < 1e-9 for a in found)
+    found = {r.at: r.running_mean for r in running_mean(df, "k", "at", "v", segment()).collect()}
+    assert found.keys() == mean.keys() and all(abs(found[a] - mean[a]) < 1e-9 for a in found)
