@@ -2,6 +2,7 @@
 voters' accuracies and correlations gives posterior labels, and a linear classifier learns them."""
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import ahocorasick
@@ -14,16 +15,14 @@ from .tables import written
 
 #: Labelled texts that the model is fitted on at most, those with the smallest hash of their id.
 SAMPLE = 30_000
-#: Word parts (whole words, beginnings, ends) that the classifier may use at most.
-PARTS = 2_000
-#: Voters of the label model at most, besides the annotator and the two counts of parts.
-VOTERS = 40
 LENGTHS = range(3, 7)
 #: A part needs this much evidence (log-likelihood ratio) and this share of toxic texts.
-EVIDENCE, PURITY = 15.0, 0.9
+EVIDENCE, PURITY = 10.0, 0.9
 #: A beginning or end needs so many words that occur in toxic texts only; else the words themselves tell as much.
 FORMS = 3
 THRESHOLD = 0.3
+#: Costs of squared weights that the classifier is tried with, on so many folds of the learnable texts.
+DECAYS, FOLDS = (0.03, 0.1, 0.3, 1.0), 4
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -85,26 +84,34 @@ def _without_copies(sample):
     return sample.groupBy("mark").agg(F.max_by(F.struct("text", "toxic"), F.struct("toxic", "order")).alias("kept")).select("kept.*")
 
 
+def _forms(word):
+    """A word, its beginnings and its ends, as an array of parts."""
+    blank = F.lit(" ")
+    begin = [F.when(F.length(word) > n, F.concat(blank, F.left(word, F.lit(n)))) for n in LENGTHS]
+    end = [F.when(F.length(word) > n, F.concat(F.right(word, F.lit(n)), blank)) for n in LENGTHS]
+    return F.array_compact(F.array(F.concat(blank, word, blank), *begin, *end))
+
+
 def _parts(sample):
-    """Words, beginnings and ends that occur in toxic texts and hardly in others, the most frequent first."""
+    """Words, beginnings and ends that occur in toxic texts and hardly in others, the most frequent first.
+
+    Texts are counted, not words: a text with ten forms of a word is evidence of one text.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")))
     toxic, clean = F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
-    counted = sample.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(toxic, clean)
-    whole = [F.concat(F.lit(" "), "word", F.lit(" "))]
-    begin = [F.when(F.length("word") > n, F.concat(F.lit(" "), F.left("word", F.lit(n)))) for n in LENGTHS]
-    end = [F.when(F.length("word") > n, F.concat(F.right("word", F.lit(n)), F.lit(" "))) for n in LENGTHS]
-    parts = counted.select("t", "c", F.explode(F.array_compact(F.array(*whole, *begin, *end))).alias("part"))
-    forms = F.sum(F.when((F.col("t") > 0) & (F.col("c") == 0), 1).otherwise(0)).alias("forms")
-    parts = parts.groupBy("part").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), forms).filter("t > 1")
-    parts = parts.filter((F.col("forms") >= FORMS) | F.col("part").like(" % "))
+    own = F.array_distinct(F.flatten(F.transform(words, _forms)))
+    parts = sample.select("toxic", F.explode(own).alias("part")).groupBy("part").agg(toxic, clean).filter("t > 1")
+    counted = sample.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(toxic, clean).filter("c = 0")
+    forms = counted.select(F.explode(_forms(F.col("word"))).alias("part")).groupBy("part").agg(F.count("*").alias("forms"))
+    parts = parts.join(forms, "part", "left").filter((F.col("forms") >= FORMS) | F.col("part").like(" % "))
     t, c = F.col("t"), F.col("c")
     share = (t + 0.5) / (t + c + 1)
-    total = counted.agg(F.sum("t").alias("all_t"), F.sum("c").alias("all_c"))
-    base = F.col("all_t") / (F.col("all_t") + F.col("all_c"))
+    total = sample.agg(F.sum("toxic").alias("all_t"), F.sum(1 - F.col("toxic")).alias("all_c"))
+    base = (F.col("all_t") + 0.5) / (F.col("all_t") + F.col("all_c") + 1)
     evidence = t * F.log(share / base) + c * F.log((1 - share) / (1 - base))
     # one row of totals
     chosen = parts.join(F.broadcast(total)).filter((share >= PURITY) & (base < PURITY) & (evidence >= EVIDENCE))
-    return [r.part for r in chosen.orderBy(F.desc("t"), "part").limit(PARTS).collect()]
+    return [r.part for r in chosen.orderBy(F.desc("t"), "part").collect()]
 
 
 def _voters(rows, toxic, weight, n):
@@ -114,7 +121,7 @@ def _voters(rows, toxic, weight, n):
         for i in hits:
             by_part.setdefault(i, set()).add(row)
     left, chosen = {i for i in range(len(rows)) if toxic[i]}, []
-    while left and len(chosen) < VOTERS:
+    while left:
         best = max(range(n), key=lambda i: (sum(weight[r] for r in by_part.get(i, set()) & left), -i), default=None)
         if best is None or not by_part.get(best, set()) & left:
             break
@@ -123,30 +130,52 @@ def _voters(rows, toxic, weight, n):
     return chosen
 
 
-def _classifier(rows, weight, target, n, rounds=800, rate=0.3, decay=1e-6):
-    """Weights and bias of a logistic regression on the presence of parts; targets are probabilities, weights sum to 1."""
+def _classifier(rows, weight, target, n, decay, rounds=400, rate=0.3):
+    """Weights and bias of a logistic regression on the presence of parts; targets are probabilities, and the
+    squared weights cost ``decay`` / 2 per text."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     part = np.fromiter((i for r in rows for i in r), np.int64, len(at))
-    share = float(weight @ target)
+    texts = weight.sum()
+    share = float(weight @ target) / texts
     w, b = np.zeros(n), np.log((share + 1e-4) / (1 - share + 1e-4))
     moment, square = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, rounds + 1):
         z = np.bincount(at, w[part], len(rows)) + b
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target)
-        gradient = np.append(np.bincount(part, error[at], n) + decay * w, error.sum())
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) / texts
+        gradient = np.append(np.bincount(part, error[at], n) + decay / texts * w, error.sum())
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return w.tolist(), float(b)
+    return w, float(b)
+
+
+def _loss(rows, weight, target, w, b):
+    """Log-loss of a classifier over texts, summed."""
+    z = np.array([b + sum(w[i] for i in r) for r in rows])
+    return float(weight @ (np.logaddexp(0, z) - target * z))
+
+
+def _decay(rows, weight, target, n):
+    """The decay with the least loss on folds of the texts that the classifier has not seen; the larger of equals."""
+    fold = np.array([zlib.crc32(repr(list(r)).encode()) % FOLDS for r in rows])
+    loss = dict.fromkeys(DECAYS, 0.0)
+    for decay in DECAYS:
+        for f in range(FOLDS):
+            seen, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            if not len(seen) or not len(rest):
+                continue
+            model = _classifier([rows[i] for i in seen], weight[seen], target[seen], n, decay)
+            loss[decay] += _loss([rows[i] for i in rest], weight[rest], target[rest], *model)
+    return min(sorted(DECAYS, reverse=True), key=loss.get)
 
 
 def learn(df, labels, id="doc_id", text="text", label="toxic", sample=SAMPLE):
     """A model from the texts of ``df`` that ``labels`` (id, label 0 or 1) covers.
 
     At most ``sample`` labelled rows are taken, by the hash of their id, so that what comes to the
-    driver is bounded for any table: PARTS word parts, and per sampled text the parts in it. Parts that
-    occur in toxic texts almost only are mined from them; each of up to VOTERS chosen parts votes
+    driver is bounded for any table: the word parts with enough evidence, and per sampled text those in it. Parts that
+    occur in toxic texts almost only are mined from them; each part that finds texts which others miss votes
     "toxic" where it occurs, a voter for several parts and one for none at all are added, and the given
     label votes as an annotator who may err. The label model turns the votes into posterior labels,
     on which the classifier over all parts is fitted.
@@ -179,9 +208,10 @@ def learn(df, labels, id="doc_id", text="text", label="toxic", sample=SAMPLE):
     votes[count == 0, none] = 1
     votes[:, annotator] = 1 + toxic
     model = fit(votes, weight, np.where(toxic == 1, 0.9, 0.05))
-    weights, bias = _classifier(hits, weight / weight.sum(), model.posterior(votes), len(parts))
+    target = model.posterior(votes)
+    weights, bias = _classifier(hits, weight, target, len(parts), _decay(hits, weight, target, len(parts)))
     names = [parts[i] for i in chosen] + ["several parts", "no part", "annotator"]
-    return ToxicityModel(parts, weights, bias, dict(zip(names, model.accuracies())))
+    return ToxicityModel(parts, weights.tolist(), bias, dict(zip(names, model.accuracies())))
 
 
 def score(df, model, text="text", carry=None):

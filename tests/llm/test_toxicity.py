@@ -11,8 +11,8 @@ def test_held_out_accuracy(spark):
     rows = out.join(labels, "doc_id").filter("held_out").collect()
     toxic = [r for r in rows if r.toxic == 1]
     clean = [r for r in rows if r.toxic == 0]
-    assert sum(r.predicted for r in toxic) >= 0.75 * len(toxic)
-    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+    assert sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     assert out.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
 
@@ -39,6 +39,16 @@ def test_beginnings_of_words_carry_over(spark):
     assert got[1] > 0.5 > 0.3 > got[2]
 
 
+def test_forms_of_one_text_are_not_many_texts(spark):
+    """Two toxic texts full of forms of a word are too little to take the word for toxic."""
+    forms = " ".join("gobbel" + 2 * c for c in "abcdefghijklmnop")
+    texts = [(i, f"fine words number {chr(97 + i % 26) * 4} here", 0) for i in range(50)]
+    texts += [(100 + i, f"{forms} {chr(97 + i) * 6}", 1) for i in range(2)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int")
+    model = learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert model.parts == [] and all(r.score < 0.3 for r in score(df, model).collect())
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     model = small_model(spark)
     out = score(odd, model).select("row.*", F.col("score").alias("own_score")).collect()
