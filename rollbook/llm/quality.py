@@ -13,6 +13,8 @@ from .words import chunks, mixed, span_hashes
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
+#: Words in a row among which different ones are counted.
+STRETCH = 1000
 #: A rule votes "good" up to ``good``, "bad" from ``bad`` on (the other way round where good > bad),
 #: and abstains between them and where its measure does not exist. Shares are per word, letter or line.
 Rule = namedtuple("Rule", "name good bad")
@@ -46,6 +48,14 @@ def _distinct(doc, hashes, n):
     return np.bincount(doc[own], minlength=n)
 
 
+def _varied(c, hashes):
+    """Different words of each STRETCH words in a row, summed over a text, so that its length doesn't matter."""
+    stretch = (np.arange(len(hashes)) - c.first[c.doc]) // STRETCH
+    key = mixed(hashes + (c.doc.astype(np.uint64) + np.uint64(1)) * _SALT) + stretch.astype(np.uint64) * _SALT
+    own = np.unique(mixed(key), return_index=True)[1]
+    return np.bincount(c.doc[own], minlength=c.n)
+
+
 def _repeats(c, hashes):
     """Words of each text that lie in a window of WINDOW words which the text has twice or more."""
     at, value = c.windows(hashes, WINDOW)
@@ -98,7 +108,6 @@ def _measure(c):
     last = c.data[c.ends - 1]
     share = lambda a, b: np.where(b > 0, a / np.maximum(b, 1), np.nan)
     sentences = c.words_per_text(STOP[last])
-    short = np.where(words <= 2000, words, 0)
     measures = {
         "symbols_per_word": share(counts["n_symbols"], words),
         "repeated_words": share(counts["n_repeat_words"], words),
@@ -108,7 +117,7 @@ def _measure(c):
         "words_without_letter": share(c.words_per_text(with_letter[c.ends] == with_letter[c.starts]), words),
         "letters_per_byte": share(letters, c.per_text(head) - 1),
         "words_per_sentence": np.where(words >= LEAST_WORDS, words / (sentences + 1), np.nan),
-        "distinct_words": share(_distinct(c.doc, hashes, c.n), short),
+        "distinct_words": share(_varied(c, hashes), words),
         "word_length": share(counts["word_chars"], words),
         "echoed_words": share(c.words_per_text(_echoes(c, hashes)), words),
         "short_words": share(c.words_per_text((c.ends - c.starts <= 4) & (with_letter[c.ends] > with_letter[c.starts])), words),

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -60,6 +61,17 @@ def test_odd_rows(odd):
         assert tuple(r[c] for c in BASE) == base_counts(r.text)
 
 
+def test_verdict_does_not_hang_on_length(spark):
+    """One word over and over gets the same votes at any length, and prose the same as a tenth of it."""
+    same = [(n, "word " * n) for n in (1000, 1999, 2000, 2001, 40_000)]
+    r = random.Random(5)
+    prose = [" ".join(str(r.randrange(5000)) + "th" for _ in range(n)) for n in (1000, 2000, 2001, 10_000)]
+    df = spark.createDataFrame([(i, t) for i, t in same] + [(-i, t) for i, t in enumerate(prose, 1)], "doc_id bigint, text string")
+    rows = quality(df).select("row.doc_id", "posterior").collect()
+    for sign in (True, False):
+        assert len({x.posterior for x in rows if (x.doc_id > 0) == sign}) == 1
+
+
 def test_empty_table(odd):
     assert quality(odd.limit(0)).collect() == []
 
