@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from .tables import written
 
 
-def components(edges, known=None, most=60):
+def components(edges, known=None):
     """(node, component) for each node of ``edges`` (columns a, b: numbers), component being the
     smallest node reachable. ``known`` may hold such rows for a part of the edges.
 
     Every round takes the smallest label among the neighbours and then the label's own label, so
-    chains halve; a star or a clique is done in two rounds. Each round is a written table. A hub is
+    chains halve; a star or a clique is done in two rounds. It ends once no label changes: labels only fall. Each round is a written table. A hub is
     a hot key of joins and of combined aggregates only.
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other")
@@ -22,7 +22,7 @@ def components(edges, known=None, most=60):
             "node", F.least("component", "before").alias("component")
         )
     labels = written(start, "labels")
-    for _ in range(most):
+    while True:
         near = (
             both.join(labels.withColumnRenamed("node", "other"), "other")
             .groupBy("node")
@@ -39,4 +39,3 @@ def components(edges, known=None, most=60):
         labels = step.select("node", "component")
         if step.filter(F.col("before") != F.col("component")).isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {most} rounds")
