@@ -24,5 +24,6 @@ from .snapshots import (  # noqa: F401
     company_document,
     company_documents,
     companies_and_sic,
+    sic_codes,
     warehouse_company,
 )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import NO_ACCOUNTS, SNAPSHOT_HEADERS
+from ..fixed_values import NO_ACCOUNTS, SIC_HEADERS, SNAPSHOT_HEADERS
 from ..functions import (
     ch_date,
     null_if_empty,
@@ -133,6 +133,14 @@ def company_documents(spark, path, stored=None):
     return new if stored is None else replace_documents(stored, new, "_key", F.col("_key"))
 
 
+def sic_codes(spark, path, stored=None):
+    """The list of activity codes (code, description) after its CSV file; known codes keep their description."""
+    rows = read_mapped_csv(spark, path, SIC_HEADERS, place="_place").filter(F.col("code").isNotNull())
+    # of several rows of a code the first counts
+    new = drop_exact(rows, ["code"], F.col("_place")).drop("_place")
+    return new if stored is None else insert_new(stored, new, "code", F.col("description"))
+
+
 def companies_and_sic(spark, path, companies=None, sic=None):
     """(companies, activity code bridge) after a snapshot; known companies stay as they are."""
     rows = read_mapped_csv(spark, path, SNAPSHOT_HEADERS, place="_place")

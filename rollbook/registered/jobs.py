@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import ACCOUNTANTS_LABEL, OFFICER_LABEL, REGISTERED_NUMBER_LABEL, WIDE_ACCOUNTS
+from ..fixed_values import ACCOUNTANTS_LABEL, FACT_HEADERS, OFFICER_LABEL, REGISTERED_NUMBER_LABEL, WIDE_ACCOUNTS
 from ..operators import in_order, with_position
 from ..plans import (
     account_officers,
@@ -16,6 +16,7 @@ from ..plans import (
     daily_frequency,
     hourly_frequency,
     load_company_events,
+    load_fact_stream,
     load_facts,
     load_filing_events,
     load_officers,
@@ -23,10 +24,12 @@ from ..plans import (
     read_wide_accounts,
     refresh_wide_accounts,
     regional_accounts,
+    sic_codes,
     wide_accounts,
 )
 from ..plans.accounts import FACT_COLUMNS
 from ..session import shared_folder
+from ..sources import pending, write_documents
 from .adapters import (
     accounts,
     companies,
@@ -100,6 +103,24 @@ def jb02(spark, folder):
     return joined.select("number", "name", C("date").cast("string").alias("date"), "sic_code")
 
 
+@query(
+    "jb02b_activity_codes",
+    """SELECT DISTINCT (41000 + n_nationkey)::VARCHAR AS code,
+              CASE WHEN n_regionkey = 0 THEN 'kept' ELSE n_name || ', other "n.e.c."' END AS description
+       FROM customer JOIN nation ON c_nationkey = n_nationkey
+       UNION SELECT (41000 + n_nationkey)::VARCHAR, 'kept' FROM nation WHERE n_regionkey = 0""",
+)
+def jb02b(spark, folder):
+    """A code file with a line per customer on top of a list that holds the codes of one region."""
+    nation = table(spark, folder, "nation").withColumn("code", (C("n_nationkey") + 41000).cast("string"))
+    lines = table(spark, folder, "customer").join(nation, C("c_nationkey") == C("n_nationkey"))
+    path = shared_folder(spark, "activity-codes")
+    text = F.concat("n_name", F.lit(', other "n.e.c."'))
+    write_csv(lines.select(text.alias("Description"), C("c_name").alias("Other"), C("code").alias("SIC Code")), path)
+    stored = nation.filter("n_regionkey = 0").select("code", F.lit("kept").alias("description"))
+    return sic_codes(spark, path, stored)
+
+
 def _fact_files(spark, folder):
     """Facts of an order and year as the rows of one fact file, texts as files of their own."""
     year = F.date_format(F.trunc(C("end_date").cast("date"), "year"), "yyyy-MM-dd")
@@ -241,6 +262,64 @@ def jb03c(spark, folder):
     )
 
 
+def _streamed(spark, folder):
+    """Tables of ``load_fact_stream`` after three deliveries of fact files, one per supplier and year. The second one
+    brings files of the first again, with other values."""
+    year = F.trunc("l_shipdate", "year")
+    old = {v: k for k, v in FACT_HEADERS.items()}
+    text = F.lit(None).cast("string")
+    lines = table(spark, folder, "lineitem").select(
+        _pad(C("l_suppkey")).alias("company_number"),
+        C("l_linestatus").alias("name"),
+        F.concat(F.lit("Line status "), "l_linestatus").alias("label"),
+        C("l_returnflag").alias("context_ref"),
+        (C("l_partkey") * 10 + C("l_linenumber")).alias("number"),
+        text.alias("start_date"),
+        year.cast("string").alias("end_date"),
+        text.alias("unit"),
+        F.lit("INF").alias("decimals"),
+        (F.year("l_shipdate") % 3).alias("delivery"),
+    )
+    again = lines.filter((C("delivery") == 0) & (C("company_number").cast("int") % 2 == 0))
+    again = again.withColumns({"delivery": F.lit(1), "number": C("number") * 1000})
+    lines = lines.unionByName(again).withColumn("value", F.format_number("number", 0))
+    landing, target = shared_folder(spark, "fact-landing"), shared_folder(spark, "fact-tables")
+    for n in range(3):
+        part = lines.filter(C("delivery") == n).select(
+            F.concat("company_number", F.lit("_"), "end_date", F.lit(".csv")).alias("file_name"),
+            *[C(c).alias(header) for c, header in old.items()],
+        )
+        part = part.repartition("file_name").write.partitionBy("file_name")
+        part.option("header", True).option("escape", '"').csv(f"{landing}/delivery-{n}")
+        out = load_fact_stream(spark, f"{landing}/*/*", target)
+    return out
+
+
+STREAMED = """WITH f AS (SELECT lpad(l_suppkey::VARCHAR, 8, '0') AS company_number, l_linestatus AS name,
+                                l_returnflag AS context_ref, l_partkey * 10 + l_linenumber AS number,
+                                strftime(date_trunc('year', l_shipdate), '%Y-%m-%d') AS end_date FROM lineitem)"""
+
+
+@query(
+    "jb03d_fact_files_as_a_stream",
+    STREAMED
+    + """ SELECT company_number, name, context_ref, end_date, MAX(number)::VARCHAR AS value
+          FROM f GROUP BY ALL""",
+)
+def jb03d(spark, folder):
+    return _streamed(spark, folder)["facts"].select("company_number", "name", "context_ref", "end_date", "value")
+
+
+@query(
+    "jb03e_audit_of_the_stream",
+    STREAMED
+    + """ SELECT company_number, end_date AS accounts_date, COUNT(*) AS number_of_facts
+          FROM (SELECT DISTINCT * FROM f) AS d GROUP BY ALL""",
+)
+def jb03e(spark, folder):
+    return _streamed(spark, folder)["scanned"].select("company_number", "accounts_date", "number_of_facts")
+
+
 def _tracked_orders(spark, folder):
     return table(spark, folder, "orders").select(
         _pad(C("o_custkey")).alias("company_number"),
@@ -448,6 +527,17 @@ def jb06(spark, folder):
 )
 def jb07(spark, folder):
     files = fact_json_documents(spark, folder).select("file_name", "content")
+    built, nested, _ = account_documents_from_json(files, *_dimensions_and_filings(spark, folder))
+    return _with_info(built, nested)
+
+
+def _with_info(built, nested):
+    keys = ["company_number", "accounts_date"]
+    informed = nested.groupBy(*keys).agg(F.count("additional_info").alias("with_info"))
+    return built.select(*keys, "id", "number_of_facts").join(informed, keys)
+
+
+def _dimensions_and_filings(spark, folder):
     lines = table(spark, folder, "lineitem")
     names = lines.select("l_returnflag").distinct().select(
         C("l_returnflag").alias("key"),
@@ -474,10 +564,28 @@ def jb07(spark, folder):
             text.alias("type"),
         )
     )
-    built, nested, _ = account_documents_from_json(files, names.unionByName(members), filings)
-    keys = ["company_number", "accounts_date"]
-    informed = nested.groupBy(*keys).agg(F.count("additional_info").alias("with_info"))
-    return built.select(*keys, "id", "number_of_facts").join(informed, keys)
+    return names.unionByName(members), filings
+
+
+@query("jb07b_json_files_to_written_documents", SQL["jb07_account_documents_from_json"])
+def jb07b(spark, folder):
+    """The same from landed files to written documents, in two deliveries of which the second holds all files; those
+    done before are skipped."""
+    landing, target = shared_folder(spark, "json-landing"), shared_folder(spark, "json-documents")
+    dims, filings = _dimensions_and_filings(spark, folder)
+    rendered = fact_json_documents(spark, folder)
+    kind = "file_name string, content string"
+    done = spark.createDataFrame([], "file_name string")
+    for n, part in enumerate((rendered.filter(C("l_orderkey") % 2 == 0), rendered)):
+        part.select("file_name", "content").write.json(f"{landing}/{n}")
+        files = pending(spark.read.schema(kind).json(f"{landing}/{n}"), done, "file_name")
+        built, nested, _ = account_documents_from_json(files, dims, filings)
+        for name, rows in (("documents", built), ("facts", nested)):
+            year = F.left("accounts_date", F.lit(4)).alias("accounts_year")
+            write_documents(rows.select("*", year), f"{target}/{name}/delivery={n}", "accounts_year")
+        done = done.union(files.select("file_name").distinct())
+    read = lambda name, rows: spark.read.schema(rows.schema).json(f"{target}/{name}")
+    return _with_info(read("documents", built), read("facts", nested))
 
 
 @query(
@@ -499,6 +607,23 @@ def jb08(spark, folder):
     return plain_profile(rows)
 
 
+@query(
+    "jb08c_profiles_added_to_stored_ones",
+    f"""WITH p AS ({SQL["jb08_profile_rows"]}),
+             s AS (SELECT * REPLACE ('stored' AS company_name) FROM p WHERE document::INT % 2 = 0),
+             n AS (SELECT *, row_number() OVER (PARTITION BY company_number ORDER BY document) AS nth FROM p
+                   WHERE company_number IS NOT NULL
+                     AND company_number NOT IN (SELECT company_number FROM s WHERE company_number IS NOT NULL))
+        SELECT * FROM s UNION ALL SELECT * EXCLUDE (nth) FROM n WHERE nth = 1""",
+)
+def jb08c(spark, folder):
+    """Profiles of half of the documents are stored, under another name; known companies stay as they are."""
+    given = documents(spark, folder), accounts(spark, folder)
+    half = profile_rows(given[0], given[1].filter(C("document").cast("int") % 2 == 0))[0]
+    stored = half.withColumn("company_name", F.lit("stored"))
+    return plain_profile(profile_rows(*given, companies=stored)[0])
+
+
 @query(
     "jb08b_profile_officers",
     with_sql(

@@ -3,13 +3,16 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Columns that a file may have at most.
+#: Columns that a file may have at most; with more, reading fails.
 MOST_COLUMNS = 128
 
 
 def raw_reader(reader, columns=MOST_COLUMNS, multiline=False, **options):
-    """A reader of all lines, header lines too, as text columns ``_c0``, ``_c1``, ..."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns)])
+    """A reader of all lines, header lines too, as text columns ``_c0``, ``_c1``, ...
+
+    There is one column more than allowed, by which ``with_file`` tells that a file is too wide.
+    """
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns + 1)])
     reader = reader.schema(schema).option("escape", '"').option("multiLine", multiline)
     for name, value in options.items():
         reader = reader.option(name, value)
@@ -17,11 +20,14 @@ def raw_reader(reader, columns=MOST_COLUMNS, multiline=False, **options):
 
 
 def with_file(lines):
-    """Lines as an array of cells, with the file they are from and where it begins."""
-    cells = F.array(*[F.col(c) for c in lines.columns])
+    """Lines as an array of cells, with the file they are from and where it begins. A line with more cells
+    than the reader allows ends the job: else its last cells would be lost."""
+    *columns, behind = [c for c in lines.columns if c.startswith("_c")]
+    path = F.col("_metadata.file_path")
+    wide = F.raise_error(F.concat(F.lit(f"more than {len(columns)} columns in "), path))
     return lines.select(
-        cells.alias("_cells"),
-        F.col("_metadata.file_path").alias("file_path"),
+        F.when(F.col(behind).isNull(), F.array(*columns)).otherwise(wide).alias("_cells"),
+        path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )

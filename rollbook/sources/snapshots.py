@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from .headed import MOST_COLUMNS, cell, header_names, raw_reader, with_file, with_header
 
 
-def _lines(spark, path, **options):
+def _lines(spark, path, columns=MOST_COLUMNS, **options):
     """All columns as text: company numbers such as 00012345 must not become numbers."""
-    return with_header(with_file(raw_reader(spark.read, MOST_COLUMNS, **options).csv(path)))
+    return with_header(with_file(raw_reader(spark.read, columns, **options).csv(path)))
 
 
 def nest_dotted(df):
@@ -31,7 +31,8 @@ def read_snapshot_csv(spark, path, schema=None, place=None, **options):
 
     With ``schema`` (a StructType) the result has exactly those columns; one that the files
     lack is NULL. ``place`` names a column to add: the place of the row, older files first.
-    ``multiline=True`` allows line breaks in values; a file is then read by one task.
+    ``multiline=True`` allows line breaks in values; a file is then read by one task. ``columns`` is the
+    greatest width: a line with more cells ends the job.
     """
     lines = _lines(spark, path, **options)
     names = header_names(lines)

@@ -106,6 +106,35 @@ def test_fact_files_as_a_stream(spark, fact_folder, tmp_path):
     assert two["scanned"].count() == 3
 
 
+def test_files_wider_than_allowed_fail(spark, tmp_path):
+    """A cell behind the last column that is read must not be lost."""
+    path = tmp_path / "wide"
+    path.mkdir()
+    names = [f"h{i}" for i in range(130)]
+    (path / "a.csv").write_text(",".join(names) + "\n" + ",".join(str(i) for i in range(130)) + "\n")
+    with pytest.raises(Exception, match="more than 128 columns"):
+        read_mapped_csv(spark, str(path), {"h129": "last"}).collect()
+    got = read_mapped_csv(spark, str(path), {"h129": "last", "h0": "first"}, columns=130).collect()
+    assert [tuple(r) for r in got] == [("129", "0")]
+    facts = tmp_path / "facts"
+    facts.mkdir()
+    (facts / "00012345.csv").write_text(FACT_HEADER.strip() + "," * 20 + "\n" + "a," * 29 + "b\n")
+    with pytest.raises(Exception, match="more than 24 columns"):
+        read_fact_csv(spark, str(facts)).collect()
+
+
+def test_fact_files_written_as_folders(spark, tmp_path):
+    for folder in ("00012345_2020-05-31.csv", "file_name=000999992020-01-01.csv", "other"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part-0.csv").write_text(FACT_HEADER + "Equity,core:Equity,c1,5,x,,2020-05-31,GBP,0,e\n")
+    got = read_fact_csv(spark, f"{tmp_path}/*").orderBy("file_name").collect()
+    assert [(r.file_name, r.file_company, r.file_date, r.value) for r in got] == [
+        ("00012345_2020-05-31.csv", "00012345", "2020-05-31", "5"),
+        ("000999992020-01-01.csv", "00099999", "2020-01-01", "5"),
+        ("part-0.csv", None, None, "5"),
+    ]
+
+
 def test_fact_json(spark, tmp_path):
     folder = tmp_path / "json"
     folder.mkdir()
