@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .tables import small, written
+from .tables import scratch, small, written
 
 #: No source is repeated more often than this.
 MOST = 3
@@ -67,37 +67,27 @@ def _uniform(key, level):
 def pivotal(p, size, rng):
     """Round probabilities ``p`` (between 0 and 1) so that the sum of ``p * size`` stays as it is.
 
-    Rows are in order of size, the largest first. Each in turn is paired with the pool of the open rows
-    after it: mass goes one way or the other at random, until the row or one of the pool is 0 or 1; the
-    pool's rows share it by size * p * (1 - p), either way. So a large row's outcome is made up for
-    by many small ones, and the row that stays open at last is a small one, unless one is larger than
-    all others together. Expected values of all rows stay what they were, since each trade's is nothing.
+    Rows are in order of size, the largest first. Two open rows are paired: mass goes from one to the other,
+    the direction drawn so that expected values stay what they were, until one of them is 0 or 1. The row that is still open
+    is paired with the next. Partners are of about the same size, so a large row is soon settled and
+    the one that stays open at last is a small one, unless one is larger than all others together.
     Returns p with one open row at most, and that row (or -1).
     """
-    p = p.copy()
-    for i in range(len(p)):
-        while 0 < p[i] < 1:
-            pool = i + 1 + np.flatnonzero((p[i + 1 :] > 0) & (p[i + 1 :] < 1))
-            if not len(pool):
-                return p, i
-            q = p[pool]
-            share = q * (1 - q)
-            mass = share @ size[pool]
-            low, high = int(np.argmin(q)), int(np.argmax(q))
-            gain, loss = (1 - p[i]) * size[i], p[i] * size[i]
-            give, take = mass / (1 - q[low]), mass / q[high]
-            up, down = min(gain, give), min(loss, take)
-            if rng.random() * (up + down) < down:
-                p[pool] = np.clip(q - up * share / mass, 0.0, 1.0)
-                p[i] = 1.0 if gain <= give else p[i] + up / size[i]
-                if give <= gain:
-                    p[pool[low]] = 0.0
-            else:
-                p[pool] = np.clip(q + down * share / mass, 0.0, 1.0)
-                p[i] = 0.0 if loss <= take else p[i] - down / size[i]
-                if take <= loss:
-                    p[pool[high]] = 1.0
-    return p, -1
+    p, i = p.copy(), -1
+    for j in np.flatnonzero((p > 0) & (p < 1)):
+        if i < 0:
+            i = j
+            continue
+        mass, room = p[[i, j]] * size[[i, j]], (1 - p[[i, j]]) * size[[i, j]]
+        up, down = min(room[0], mass[1]), min(mass[0], room[1])
+        if rng.random() * (up + down) < down:
+            p[i] = 1.0 if room[0] <= mass[1] else min(p[i] + up / size[i], 1.0)
+            p[j] = 0.0 if mass[1] <= room[0] else max(p[j] - up / size[j], 0.0)
+        else:
+            p[i] = 0.0 if mass[0] <= room[1] else max(p[i] - down / size[i], 0.0)
+            p[j] = 1.0 if room[1] <= mass[0] else min(p[j] + down / size[j], 1.0)
+        i = next((row for row in (i, j) if 0 < p[row] < 1), -1)
+    return p, int(i)
 
 
 def _rounder(level, last):
@@ -117,6 +107,11 @@ def _rounder(level, last):
     return rounded
 
 
+def _key(id, text, source):
+    """Hash of the three, in which NULL is a value of its own."""
+    return F.xxhash64(id, text, source, F.isnull(text), F.isnull(source))
+
+
 def copies(df, id="doc_id", text="text", source="source", weights=WEIGHTS, most=MOST):
     """How often each row is taken so that the words of the sources come to their targets.
 
@@ -132,7 +127,7 @@ def copies(df, id="doc_id", text="text", source="source", weights=WEIGHTS, most=
     one unit whose copies are shared out by ``shares``; NULL ids, texts and sources are values like others.
     Texts without words have no mass: the rest of theirs is drawn by hash. An empty table gives an empty result.
     """
-    key = F.xxhash64(id, text, source)
+    key = _key(id, text, source)
     units = df.select(
         F.col(id).alias("id"),
         F.col(source).alias("source"),
@@ -198,16 +193,17 @@ def mix(df, id="doc_id", text="text", source="source", weights=WEIGHTS, most=MOS
 
     Rows that agree in id, text and source are copies of one another; one of them stands for all.
     """
-    units = written(copies(df, id, text, source, weights, most), "copies")
-    taken = units.filter("copies > 0").select(F.col("key").alias("_key"), F.col("copies").alias("_copies"))
-    docs = df.withColumn("_key", F.xxhash64(id, text, source))
+    with scratch(df.sparkSession):
+        units = written(copies(df, id, text, source, weights, most), "copies", keep=True)
+    taken = units.filter("copies > 0").select(F.col("key").alias("taken_key"), "copies")
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    docs = df.select(whole.alias("row"), _key(id, text, source).alias("key"))
     repeated = not units.filter("rows > 1").isEmpty()
     if repeated:
-        docs = docs.dropDuplicates(["_key"])
-    out = docs.join(taken, "_key")
-    run = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / RUN)))
+        docs = docs.dropDuplicates(["key"])
+    out = docs.join(taken, F.col("key") == F.col("taken_key"))
+    run = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / RUN)))
     if repeated:
-        out = out.withColumn("_run", run).repartition("_key", "_run")
-        out = out.withColumn("_copies", F.least(F.col("_copies") - F.col("_run") * RUN, F.lit(RUN)))
-    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+        out = out.withColumn("run", run).repartition("key", "run")
+        out = out.withColumn("copies", F.least(F.col("copies") - F.col("run") * RUN, F.lit(RUN)))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

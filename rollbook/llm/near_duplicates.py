@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import small, written
+from .tables import scratch, small, written
 from .words import chunks, mixed
 
 #: A pair of similarity 0.8 shares none of the bands with probability (1 - 0.8^5)^32 = 3e-6.
@@ -19,8 +19,8 @@ BATCH = 20
 MISS = 1e-6
 #: Members of a bucket that all of it is compared with, before what is left is compared.
 HUBS = 3
-#: Classes of a bucket that one task compares with as many others.
-BLOCK = 512
+#: Classes of a bucket that one task compares with as many others, and shingles that these have.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 _rng = np.random.default_rng(7)
 _FACTOR = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -87,14 +87,18 @@ def _matrix(signatures):
     return np.frombuffer(b"".join(signatures.to_pylist()), np.uint32).reshape(len(signatures), HASHES)
 
 
-def _bands(signature: pa.Array) -> pa.Array:
-    """A number for each band of each signature."""
-    rows = _matrix(signature).reshape(-1, BANDS, ROWS).astype(np.uint64)
+def _band_numbers(signatures):
+    """A number for each band of each signature, a row for each signature."""
+    rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _SALT, rows.shape[:2])
     for i in range(ROWS):
         key = mixed(key * _FACTOR[0] + rows[:, :, i])
+    return key.view(np.int64)
+
+
+def _bands(signature: pa.Array) -> pa.Array:
     offsets = np.arange(0, BANDS * (len(signature) + 1), BANDS, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.ravel().view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(_band_numbers(_matrix(signature)).ravel()))
 
 
 def least_matches(similarity, miss=MISS):
@@ -138,32 +142,69 @@ def _may_match(similarity):
     return may_match
 
 
-FOUND = "a bigint, b bigint, n_a bigint, n_b bigint"
+def _running(table, percent, steps):
+    """(an asking class, the classes it is in the running with) of a block, as row numbers.
+
+    Only classes of different components are compared. A pair belongs to the bucket of the first band
+    that it shares, and where both ask, to the question of the smaller number: so it comes up once.
+    """
+    number, component, n = (table[c].to_numpy() for c in ("class", "component", "n"))
+    asks, minor = (table[c].to_numpy() for c in ("asks", "minor"))
+    signatures = _matrix(table["signature"].combine_chunks())
+    bands, bucket = _band_numbers(signatures), table["bucket"][0].as_py()
+    other = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks):
+        own = (component[other] != component[i]) & (~minor[other] | (number[i] < number[other]))
+        rest = other[own & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
+        first = (bands[rest] == bands[i]).argmax(axis=1)
+        rest = rest[bands[i][first] == bucket]
+        hit = rest[_alive(np.broadcast_to(signatures[i], (len(rest), HASHES)), signatures[rest], steps)]
+        if len(hit):
+            yield i, hit
+
+
+MEMBER = "bucket bigint, one bigint, other bigint, class bigint, component bigint, n bigint, asks boolean, minor boolean"
+
+
+def _block_members(percent):
+    """The rows of a block that are in the running with another, without their signatures."""
+    steps = least_matches(percent / 100)
+
+    def block_members(table: pa.Table) -> pa.Table:
+        running = np.zeros(len(table), bool)
+        for i, hit in _running(table, percent, steps):
+            running[i] = running[hit] = True
+        return table.select([c.split()[0] for c in MEMBER.split(", ")]).filter(pa.array(running))
+
+    return block_members
 
 
-def _block_pairs(percent):
-    """Pairs in the running among the asking classes of a block and its other classes."""
+def _block_links(percent):
+    """Links (a, b) by full sets that join the components of a block, none of them needless."""
     steps = least_matches(percent / 100)
 
-    def block_pairs(table: pa.Table) -> pa.Table:
-        number, component, n = (table[c].to_numpy() for c in ("class", "component", "n"))
-        asks = table["asks"].to_numpy(zero_copy_only=False)
-        signatures = _matrix(table["signature"].combine_chunks())
-        ask, other = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found = []
-        for i in ask:
-            rest = other[component[other] != component[i]]
-            sizes = n[rest]
-            rest = rest[100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])]
-            hit = rest[_alive(np.broadcast_to(signatures[i], (len(rest), HASHES)), signatures[rest], steps)]
-            found.append(np.stack([np.full(len(hit), i), hit], axis=1))
-        found = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        first = np.where(number[found[:, 0]] < number[found[:, 1]], found[:, 0], found[:, 1])
-        second = found.sum(axis=1) - first
-        columns = [number[first], number[second], n[first], n[second]]
-        return pa.table([pa.array(c) for c in columns], names=["a", "b", "n_a", "n_b"])
-
-    return block_pairs
+    def block_links(table: pa.Table) -> pa.Table:
+        number, n = table["class"].to_numpy(), table["n"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        root = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
+        a, b = [], []
+        for i, hit in _running(table, percent, steps):
+            hit = hit[root[hit] != root[i]]
+            if not len(hit):
+                continue
+            values = np.concatenate([sets[j] for j in hit])
+            place = np.searchsorted(sets[i], values)
+            place[place == len(sets[i])] = 0
+            starts = np.cumsum(n[hit]) - n[hit]
+            shared = np.add.reduceat((sets[i][place] == values).astype(np.int64), starts)
+            for j in hit[100 * shared >= percent * (n[i] + n[hit] - shared)]:
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    a.append(number[i])
+                    b.append(number[j])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return block_links
 
 
 def _shingles(k):
@@ -202,8 +243,9 @@ def near_duplicates(df, id="doc_id", text="text", k=5, percent=80):
     Texts with equal sets are one class, and only one text of a class takes part. Classes that share
     a band of their signatures are candidates. Not all pairs of a bucket are made: the members are first
     compared with HUBS of them, and only classes that are then still in different components of a bucket
-    are compared with the rest of it. A pair is pruned batch by batch with miss probability
-    MISS; survivors are verified on full sets. Sets and classes are compared by 64-bit hashes.
+    are compared with the rest of it, block by block, each pair in the bucket of its first shared band. A pair is pruned
+    batch by batch with miss probability MISS; survivors are verified on full sets, those of a block inside it,
+    and a block gives out the links that join components, never its pairs. Sets and classes are compared by 64-bit hashes.
 
     Texts without words (and NULL) have no shingles and are linked with nothing. NULL ids never become a
     component's id unless all its ids are NULL. Repeated rows are in one class; rows that share an
@@ -212,6 +254,19 @@ def near_duplicates(df, id="doc_id", text="text", k=5, percent=80):
     """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     docs = docs.withColumn("text_key", F.xxhash64("text"))
+    with scratch(df.sparkSession):
+        named = written(_named(docs, k, percent), "named", keep=True)
+    return named.select(
+        F.col("id").alias(id),
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "text_key",
+    )
+
+
+def _named(docs, k, percent):
+    """(id, text_key, n, component_id) of all rows."""
     profile = F.arrow_udf(_profile(k), PROFILE)(F.col("text").cast("binary"))
     profiles = written(docs.select("id", "text_key", profile.alias("p")).select("id", "text_key", "p.*"), "profiles")
     classes = written(
@@ -225,21 +280,14 @@ def near_duplicates(df, id="doc_id", text="text", k=5, percent=80):
         ),
         "classes",
     )
-    members = _members(classes)
-    labels = _linked(docs, classes, members, k, percent)
+    labels = _linked(docs, classes, k, percent)
     numbered = classes.select("class", "id").join(labels, F.col("node") == F.col("class"), "left")
     numbered = numbered.select("class", "id", F.coalesce("component", "class").alias("component"))
     first = numbered.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = written(numbered.join(first, "component").select("class", "component_id"), "named")
+    named = numbered.join(first, "component").select("class", "component_id")
     out = profiles.select("id", "text_key", "n", "class").join(named, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(
-        F.col("id").alias(id),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
-        "text_key",
-    )
+    return out.select("id", "text_key", "n", component.alias("component_id"))
 
 
 def _members(classes):
@@ -255,16 +303,16 @@ def _members(classes):
     return written(buckets.join(shared, "bucket").select("bucket", "class"), "buckets")
 
 
-def _linked(docs, classes, members, k, percent):
+def _linked(docs, classes, k, percent):
     """(node, component) of the classes that have links."""
-    taking_part = members.select("class").distinct()
-    signatures = written(classes.join(taking_part, "class", "left_semi"), "signatures")
+    members = _members(classes)
+    signatures = written(classes.join(members.select("class").distinct(), "class", "left_semi"), "signatures")
     found = _verified(docs, signatures, _hub_survivors(members, signatures, percent), k, percent)
     labels = components(found)
     left = _open_buckets(members, labels)
     if left.isEmpty():
         return labels
-    more = _verified(docs, signatures, _rest_survivors(left, signatures, percent), k, percent)
+    more = _rest_links(docs, left, signatures, k, percent)
     return labels if more.isEmpty() else components(found.unionByName(more), labels)
 
 
@@ -297,43 +345,53 @@ def _hub_survivors(members, signatures, percent):
     return written(both.filter(may).select("a", "b", "n_a", "n_b"), "survivors")
 
 
-def _rest_survivors(members, signatures, percent):
-    """Pairs in the running among all classes of a bucket that are in different components.
+def _rest_links(docs, members, signatures, k, percent):
+    """Links among the classes of a bucket that are in different components, enough to join them.
 
     Classes outside the bucket's largest component ask, all classes answer. Both are dealt to
     blocks by hash, and each block of the one meets each block of the other in a task, so no
-    task gets more than about two blocks and no pair is a row unless it is in the running.
+    task gets more than about two blocks. Blocks are compared by signatures first; the classes left in the
+    running meet again with their sets. No pair is a row unless it is a link that joins components.
     """
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    buckets = sizes.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"),
-        F.sum("n").alias("all"),
-        F.max("n").alias("most"),
-    )
-    blocks = lambda c: F.ceil(c / BLOCK).cast("long")
+    rows = members.join(signatures.select("class", "n"), "class")
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    sizes = sizes.withColumn("size", F.struct("rows", "component", "shingles"))
+    buckets = sizes.groupBy("bucket").agg(F.max("size").alias("most"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"))
+    blocks = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES))
     buckets = buckets.select(
-        "bucket", "largest", blocks(F.col("all") - F.col("most")).alias("askers"), blocks(F.col("all")).alias("answerers")
+        "bucket",
+        F.col("most.component").alias("largest"),
+        blocks(F.col("rows") - F.col("most.rows"), F.col("shingles") - F.col("most.shingles")).alias("askers"),
+        blocks(F.col("rows"), F.col("shingles")).alias("answerers"),
     )
-    rows = members.join(written(buckets, "blocks"), "bucket")
+    rows = rows.join(written(buckets, "blocks"), "bucket").withColumn("minor", F.col("component") != F.col("largest"))
     own = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    asking = rows.filter(F.col("component") != F.col("largest")).withColumn("one", own("askers"))
-    asking = asking.select("bucket", "class", "component", "one", every("answerers").alias("other"), F.lit(True).alias("asks"))
-    answering = rows.withColumn("other", own("answerers"))
-    answering = answering.select("bucket", "class", "component", every("askers").alias("one"), "other", F.lit(False).alias("asks"))
-    both = asking.unionByName(answering).join(signatures.select("class", "n", "signature"), "class")
-    found = both.groupBy("bucket", "one", "other").applyInArrow(_block_pairs(percent), FOUND)
-    return written(found.distinct(), "survivors")
+    asking = rows.filter("minor").withColumn("one", own("askers")).withColumn("other", every("answerers"))
+    answering = rows.withColumn("other", own("answerers")).withColumn("one", every("askers"))
+    both = asking.withColumn("asks", F.lit(True)).unionByName(answering.withColumn("asks", F.lit(False)))
+    both = both.drop("largest", "askers", "answerers").join(signatures.select("class", "signature"), "class")
+    block = ["bucket", "one", "other"]
+    running = written(both.groupBy(*block).applyInArrow(_block_members(percent), MEMBER), "running")
+    sets = _sets_of(docs, signatures, running.select("class").distinct(), k)
+    full = running.join(sets, "class").join(signatures.select("class", "signature"), "class")
+    return written(full.groupBy(*block).applyInArrow(_block_links(percent), "a bigint, b bigint"), "links")
+
+
+def _sets_of(docs, signatures, wanted, k):
+    """(class, shingles): the full sets of the ``wanted`` classes, shingles in order."""
+    texts = signatures.join(wanted, "class", "left_semi")
+    texts = written(texts.select("class", F.col("id").alias("own_id"), F.col("text_key").alias("own_key")), "ends")
+    same = (F.col("text_key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
+    shingles = F.arrow_udf(_shingles(k), "binary")(F.col("text").cast("binary"))
+    sets = docs.join(small(texts), same).select("class", shingles.alias("shingles"))
+    return written(sets.groupBy("class").agg(F.any_value("shingles").alias("shingles")), "sets")
 
 
 def _verified(docs, signatures, survivors, k, percent):
     """The pairs (a, b) whose full sets are similar enough."""
     ends = survivors.select(F.col("a").alias("class")).union(survivors.select("b")).distinct()
-    texts = written(signatures.join(ends, "class", "left_semi").select("class", F.col("id").alias("own_id"), F.col("text_key").alias("own_key")), "ends")
-    same = (F.col("text_key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
-    shingles = F.arrow_udf(_shingles(k), "binary")(F.col("text").cast("binary"))
-    sets = docs.join(small(texts), same).select("class", shingles.alias("shingles"))
-    sets = written(sets.groupBy("class").agg(F.any_value("shingles").alias("shingles")), "sets")
+    sets = _sets_of(docs, signatures, ends, k)
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias(f"set_{name}"))
     shared = F.arrow_udf(_shared, "bigint")(F.col("set_a"), F.col("set_b"))
     both = survivors.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", shared.alias("shared"))
@@ -347,9 +405,12 @@ def keep_one(df, id="doc_id", text="text", k=5, percent=80):
     The row with the group's smallest id stays. Where ids repeat or are NULL, the rows that would stay
     are told apart by their text, and one of those that agree in id and text stays.
     """
-    found = written(near_duplicates(df, id, text, k, percent), "near")
+    found = near_duplicates(df, id, text, k, percent)
     counted = found.filter("kept").agg(F.count("*").alias("n"), F.countDistinct(id).alias("ids")).first()
-    dropped = found.filter("not kept").select(F.col(id).alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    out = df.join(small(dropped), same, "left_anti")
-    return out if counted.n == counted.ids else out.dropDuplicates([id, text])
+    dropped = found.filter("not kept").select(F.col(id).alias("dropped_id"), F.col("text_key").alias("dropped_key")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(whole.alias("row"), F.col(id).alias("id"), F.xxhash64(text).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("dropped_id")) & (F.col("key") == F.col("dropped_key"))
+    out = rows.join(small(dropped), same, "left_anti")
+    out = out if counted.n == counted.ids else out.dropDuplicates(["id", "key"])
+    return out.select("row.*")

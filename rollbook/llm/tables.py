@@ -1,5 +1,8 @@
 """Tables that a job writes on the way, and joins whose small side is checked before it is sent."""
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
@@ -8,10 +11,33 @@ from ..session import shared_folder
 SENT_ROWS = 2_000_000
 
 
-def written(df, name):
+_scope = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark):
+    """Tables ``written`` inside are deleted at the end, but those with ``keep``, which belong to the
+    scope around, if any. What leaves the block must not read the deleted ones."""
+    outer, inside = _scope.get(), []
+    token = _scope.set((inside, outer))
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in inside:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df, name, keep=False):
     """``df`` written to the shared folder and read back: lineage ends here, and a lost executor
     costs only its running tasks."""
     path = shared_folder(df.sparkSession, f"llm-{name}")
+    scope = _scope.get()
+    if scope and keep:
+        scope = scope[1]
+    if scope:
+        scope[0].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

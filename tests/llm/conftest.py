@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rollbook.llm.registry import ship
 
 #: Names that operators use inside; a table may have them too.
-CLASHING = ["row", "key", "id", "n", "class", "text_key", "size", "shard_", "copies", "run", "m", "place", "word", "toxic_"]
+CLASHING = ["row", "key", "id", "n", "class", "text_key", "size", "shard_", "copies", "run", "m", "place", "word", "toxic_", "_copies", "_copy", "_run", "_key", "_id", "dropped_id", "taken_key"]
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 

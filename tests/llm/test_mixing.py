@@ -90,6 +90,20 @@ def test_numbered_is_a_gapless_order(spark):
     assert [got[s] for s in sorted(got)] == list(range(500))
 
 
+def test_pivotal_trades_between_two_rows_at_a_time():
+    """A pair's mass stays in it; the last row stays open, or none."""
+    for seed in range(50):
+        out, left = pivotal(np.array([0.5, 0.25]), np.array([4.0, 2.0]), np.random.default_rng(seed))
+        assert (list(out), left) in [([0.625, 0.0], 0), ([0.125, 1.0], 0)]
+    assert pivotal(np.array([0.0, 0.3, 1.0]), np.ones(3), np.random.default_rng(0))[1] == 1
+    assert pivotal(np.array([0.5, 0.5]), np.ones(2), np.random.default_rng(0))[1] == -1
+
+
+def test_null_text_and_null_source_are_told_apart(spark):
+    df = spark.createDataFrame([(1, "x", None), (1, None, "x")], "doc_id bigint, text string, source string")
+    assert copies(df).count() == 2
+
+
 def test_pivotal_keeps_the_sum_and_the_means():
     rng = np.random.default_rng(0)
     size = np.sort(rng.integers(1, 100, 30))[::-1].astype(float)

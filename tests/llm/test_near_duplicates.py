@@ -1,8 +1,12 @@
 import itertools
+import random
+from pathlib import Path
 
+import rollbook.llm.near_duplicates as near_module
 from rollbook.llm import QUERIES
 from rollbook.llm.components import components
 from rollbook.llm.near_duplicates import HASHES, keep_one, least_matches, near_duplicates
+from rollbook.session import shared_folder
 
 from .conftest import prose
 
@@ -73,6 +77,36 @@ def test_group_whose_links_go_through_some_members_only(spark):
     assert sum(1 for r in got if r[2] == 100) == 60
 
 
+def test_pairs_that_are_nearly_links_are_never_rows(spark, monkeypatch):
+    """Many texts at a similarity of about 0.7 to one another, and some links among them."""
+    base = prose(9, 150).split()
+    rows = []
+    for i in range(300):
+        r, words = random.Random(i), list(base)
+        for at in r.sample(range(150), 8 if i % 10 else 3):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    sizes, write = {}, near_module.written
+
+    def counted(df, name, **how):
+        out = write(df, name, **how)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_module, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(df, 2) == expected(rows, 2)
+    assert sizes["links"][-1] < 300
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    df = spark.createDataFrame([(i, prose(i // 2, 40)) for i in range(20)], "doc_id bigint, text string")
+    folder = Path(shared_folder(spark, "any").removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    assert near_duplicates(df).filter("kept").count() == 10
+    assert ["named" in p.name for p in set(folder.iterdir()) - before] == [True]
+
+
 def test_keep_one_keeps_columns_and_one_row_of_a_group(odd):
     kept = keep_one(odd)
     assert kept.columns == odd.columns
