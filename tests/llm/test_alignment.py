@@ -127,3 +127,13 @@ def test_odd_rows_and_empty_table(spark, odd):
     assert len(rows) == odd.count()
     assert all((r.n_a, r.groups) == (0, "") for r in rows if not r.row.text)
     assert align(odd.limit(0), both).collect() == []
+
+
+def test_digest_has_groups_apart_by_semicolons(spark, tmp_path):
+    texts = ["The cat. The dog! 123 456", "Alignment of tokenizers", "x", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op13_tokenizer_alignment"](spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        groups = whole(text)
+        joined = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups or ())
+        assert got[i].groups_sha256 == (hashlib.sha256(joined.encode()).hexdigest() if groups else "")
