@@ -51,6 +51,7 @@ from .pivot import (  # noqa: F401
     distinct_values,
     financial_profile,
     first_for,
+    hits_and_keys,
     max_for,
     nest_facts,
     only_values,
