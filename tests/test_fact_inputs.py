@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
-from rollbook.operators import dated_summary, hits_and_keys
+from rollbook.operators import dated_summary, hits_and_keys, pivot_facts
 from rollbook.registered import adapters
+from rollbook.registered.sources import write_csv
+from rollbook.sources import read_fact_csv, write_documents
 
 from .conftest import rows
 
@@ -55,3 +57,42 @@ def test_dated_summary_sends_no_facts_into_the_join(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     # the facts are aggregated below the join
     assert "Aggregate" in plan[plan.index("Join") :]
+
+
+def test_texts_of_facts_that_are_left_out_are_not_made(spark, data):
+    found = adapters.facts(spark, data)
+    plan = found.filter(F.col("label") == "Debtors").groupBy("company_number").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "format_number" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "format_number" not in plan
+
+
+def test_pivot_compares_the_text_of_a_label_once(spark):
+    facts = [
+        ("a", "Debtors", "1,000", 1), ("a", "Debtors", "x", 0), ("a", "Debtors", "-2", 2), ("a", None, "5", 3),
+        (None, "Debtors", "-1", 1), (None, "Creditors", "7", 1), ("b", "own", "b", 1), ("b", "Debtors", None, 2), ("c", "other", "1", 1),
+    ]
+    facts = spark.createDataFrame(facts, COLUMNS)
+    spec = [("first", "Debtors", "text"), ("debtors", "Debtors", "signed"), ("most", "Debtors", "max"), ("day", "Creditors", "date")]
+    found = pivot_facts(facts, ["company_number"], spec)
+    plain = found.select("company_number", "first", F.col("debtors").cast("int"), F.col("most").cast("int"), "day")
+    assert rows(plain) == sorted([("a", "x", 1000, 1000, None), (None, "-1", -1, -1, None), ("b", None, None, None, None)], key=str)
+    own = pivot_facts(facts, ["company_number"], spec, consistent=("own", "company_number"))
+    assert rows(own.select("company_number", "first")) == [("b", None)]
+    aggregate = found._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert "label" not in aggregate
+
+
+def test_lines_of_files_are_not_shuffled_for_their_headers(spark, tmp_path):
+    lines = ["Label,Value", "Debtors,1"], ["Value,Label", '"2\n3",Creditors']
+    for n, text in enumerate(lines):
+        (tmp_path / f"0000000{n}_2020-01-01.csv").write_text("\n".join(text) + "\n")
+    found = read_fact_csv(spark, str(tmp_path))
+    assert rows(found.select("file_company", "label", "value")) == [("00000000", "Debtors", "1"), ("00000001", "Creditors", "2\n3")]
+    assert "Exchange hashpartitioning" not in _plan(found)
+
+
+def test_landed_files_are_compressed(spark, tmp_path):
+    df = spark.range(3).select(F.col("id").cast("string").alias("a"))
+    write_csv(df, str(tmp_path / "csv"))
+    write_documents(df.withColumn("b", F.lit("x")), str(tmp_path / "json"), "a", "gzip")
+    assert list((tmp_path / "csv").glob("*.csv.gz")) and list((tmp_path / "json").rglob("*.json.gz"))
