@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
+
 #: Columns that a file may have at most; with more, reading fails.
 MOST_COLUMNS = 128
 
@@ -38,12 +40,16 @@ def with_header(lines):
     all lines: older files first, then by path, then as they stand. Header lines are left out.
 
     The first line of each file is found by an aggregate with a row per file and joined back, so files
-    need not agree in the order or number of their columns.
+    need not agree in the order or number of their columns. These lines are stored first: by the size of their table Spark
+    sees whether the join has to shuffle all lines.
     """
     lines = lines.withColumn("row", F.monotonically_increasing_id())
     heads = lines.groupBy("file_path").agg(
         F.min_by("_cells", F.struct("block_start", "row")).alias("_first")
     )
+    path = shared_folder(lines.sparkSession, "heads")
+    heads.write.parquet(path)
+    heads = lines.sparkSession.read.schema(heads.schema).parquet(path)
     named = lines.join(heads, "file_path").filter(~F.col("_cells").eqNullSafe(F.col("_first")))
     return named.withColumns(
         {
