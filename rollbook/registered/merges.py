@@ -131,7 +131,7 @@ def mg04(spark, folder):
     ),
 )
 def mg05(spark, folder):
-    rows = facts(spark, folder).select("company_number", "label", "value", "seq", "batch")
+    rows = facts(spark, folder, ["company_number"]).select("company_number", "label", "value", "seq", "batch")
     old = rows.filter(F.col("batch") == "O").drop("batch")
     new = rows.filter(F.col("batch") != "O").drop("batch")
     return upsert_largest(old, new, ["company_number", "label"], "value", F.col("seq")).drop("seq")
@@ -161,7 +161,7 @@ def mg06(spark, folder):
     ),
 )
 def mg07(spark, folder):
-    rows = drop_exact(facts(spark, folder), ["company_number", "end_date", "label", "value"], F.col("seq"))
+    rows = drop_exact(facts(spark, folder, ["company_number"]), ["company_number", "end_date", "label", "value"], F.col("seq"))
     return rows.groupBy("company_number").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
