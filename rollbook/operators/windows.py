@@ -81,8 +81,8 @@ def latest_per_key(df, key, order):
 
 def with_position(df, key, order, segment, name="position"):
     """Add the place of the row within its key, from 0."""
-    keys = ["_key"]
-    rows = _keyed(df, key).withColumn("_segment", segment)
+    keys = _names(key)
+    rows = df.withColumn("_segment", segment)
     sizes = rows.groupBy(*keys, "_segment").agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(
         Window.unboundedPreceding, -1
@@ -90,12 +90,14 @@ def with_position(df, key, order, segment, name="position"):
     offsets = sizes.select(
         *keys, "_segment", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
     )
-    in_segment = Window.partitionBy(*keys, "_segment").orderBy(order)
+    # the offset of a segment is its first row: no join, so rows that lie together by key stay where they are
+    both = rows.unionByName(offsets, allowMissingColumns=True)
+    in_segment = Window.partitionBy(*keys, "_segment").orderBy(F.col("_offset").isNull(), order)
     return (
-        rows.withColumn("_row", F.row_number().over(in_segment))
-        .join(offsets, [*keys, "_segment"])
-        .withColumn(name, (F.col("_offset") + F.col("_row") - 1).cast("bigint"))
-        .drop("_key", "_segment", "_row", "_offset")
+        both.withColumns({"_row": F.row_number().over(in_segment), "_start": F.max("_offset").over(in_segment)})
+        .filter(F.col("_offset").isNull())
+        .withColumn(name, (F.col("_start") + F.col("_row") - 2).cast("bigint"))
+        .drop("_segment", "_row", "_offset", "_start")
     )
 
 
