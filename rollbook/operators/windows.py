@@ -80,7 +80,7 @@ def latest_per_key(df, key, order):
 
 
 def with_position(df, key, order, segment, name="position"):
-    """Add the place of the row within its key, from 0."""
+    """Add the place of the row within its key, from 0. Rows without a segment are counted, as the first ones, and left out."""
     keys = _names(key)
     rows = df.withColumn("_segment", segment)
     sizes = rows.groupBy(*keys, "_segment").agg(F.count("*").alias("_size"))
@@ -95,7 +95,7 @@ def with_position(df, key, order, segment, name="position"):
     in_segment = Window.partitionBy(*keys, "_segment").orderBy(F.col("_offset").isNull(), order)
     return (
         both.withColumns({"_row": F.row_number().over(in_segment), "_start": F.max("_offset").over(in_segment)})
-        .filter(F.col("_offset").isNull())
+        .filter(F.col("_offset").isNull() & F.col("_segment").isNotNull())
         .withColumn(name, (F.col("_start") + F.col("_row") - 2).cast("bigint"))
         .drop("_segment", "_row", "_offset", "_start")
     )

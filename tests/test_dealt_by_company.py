@@ -66,3 +66,11 @@ def test_not_processed_near_a_key(spark):
     assert sorted(r.n for r in near.collect()) == sorted(r.n for r in plain.collect()) == [3, 4, 5, 6, 7]
     dealt = not_processed(rows.repartition(3, "c"), done.hint("merge"), ["c", "d"], "c").groupBy("c", "d").count()
     assert "hashpartitioning(c#" in dealt._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_without_a_segment(spark):
+    rows = spark.createDataFrame([("a", None), ("a", 5), (None, 7), (None, 8), ("a", 6)], "k string, at int")
+    placed = with_position(rows, "k", "at", F.col("at"), "place")
+    assert placed.columns == ["k", "at", "place"]
+    assert sorted(tuple(r) for r in placed.collect() if r.k) == [("a", 5, 1), ("a", 6, 2)]
+    assert sorted(tuple(r)[1:] for r in placed.collect() if not r.k) == [(7, 0), (8, 1)]
