@@ -343,3 +343,39 @@ def test_snapshots_with_their_own_headers_and_repeated_companies(spark, tmp_path
     placed = read_mapped_csv(spark, str(folder), {"CompanyNumber": "number", "CompanyName": "name"}, place="_place")
     kept = drop_exact(placed, ["number"], F.col("_place"))
     assert rows(kept.select("number", "name")) == [("1", "FIRST"), ("2", "OTHER")]
+
+
+def test_bundled_fact_files_equal_single_ones(spark, fact_folder, tmp_path):
+    """Lines of many fact files in one landed file count as those of their own files, also in a later delivery."""
+    header = "factFile," + FACT_HEADER
+    line = "{},Equity,core:Equity,c1,{},x,,2021-05-31,GBP,0,e\n"
+    landing = tmp_path / "landing"
+    (landing / "one").mkdir(parents=True)
+    files = ("00000001_2021-05-31.csv", "00000002.csv", "badname.csv", "")
+    (landing / "one" / "a.csv").write_text(header + "".join(line.format(f, n) for n, f in enumerate(files)))
+    read = read_fact_csv(spark, str(landing / "one"))
+    assert rows(read.select("file_company", "file_date", "value")) == sorted(
+        [("00000001", "2021-05-31", "0"), ("00000002", None, "1"), (None, None, "2"), (None, None, "3")], key=str
+    )
+    out = load_fact_stream(spark, f"{landing}/*", str(tmp_path / "out"))
+    assert rows(out["facts"].select("company_number", "value")) == [("00000001", "0"), ("00000002", "1")]
+    (landing / "two").mkdir()
+    again = ("00000001_2021-05-31.csv", "00000003.csv")
+    (landing / "two" / "a.csv").write_text(header + "".join(line.format(f, 900) for f in again))
+    out = load_fact_stream(spark, f"{landing}/*", str(tmp_path / "out"))
+    assert rows(out["facts"].select("company_number", "value")) == [
+        ("00000001", "0"), ("00000002", "1"), ("00000003", "900")
+    ]
+    assert out["scanned"].count() == 3
+
+
+def test_fact_files_of_a_delivery_land_in_few_files(spark, data, tmp_path_factory, monkeypatch):
+    """Not a file and a folder for each supplier and year."""
+    import glob
+
+    from rollbook.registered import QUERIES, jobs
+
+    base = str(tmp_path_factory.mktemp("stream"))
+    monkeypatch.setattr(jobs, "shared_folder", lambda spark, name: f"{base}/{name}")
+    assert QUERIES["jb03e_audit_of_the_stream"](spark, data).count() > 60
+    assert len(glob.glob(f"{base}/fact-landing/**/*.csv*", recursive=True)) <= 3
