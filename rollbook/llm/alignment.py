@@ -1,17 +1,18 @@
 """Which tokens of two tokenizers cover the same bytes, and how usual each such pair is in a corpus.
 
-A first pass counts in how many documents each pair of ids is linked. The distinct pairs get a minimal perfect hash, built
-shard by shard; the counts are vectors with one cell per pair and no gap, added up in a tree. A second pass aligns the
-documents again and looks the counts up; the pair itself is stored in its cell, so that a strange one is never
-taken for another.
+Documents are aligned once and written with their distinct pairs of ids and how often each of them is linked. Over these it is
+counted in how many documents each pair is linked. The distinct pairs get a minimal perfect hash, built shard by shard; the
+counts are vectors with one cell per pair and no gap, added up in a tree. Then the counts are looked up for the written
+pairs; the pair itself is stored in its cell, so that a strange one is never taken for another.
 """
 
 import json
 import math
-import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +23,15 @@ from .words import mixed
 SHARD_PAIRS, BUCKET_PAIRS = 200_000, 2
 #: Rows of counts in one dense vector's task, vectors that are added at once, and bytes of the table sent at once.
 VECTOR_ROWS, FAN, SENT_BYTES = 1_000_000, 16, 96 << 20
-#: Bytes of text worked on at a time, segments remembered in each of two generations, pairs counted before they are combined.
-CHUNK_BYTES, SEGMENTS, HELD_PAIRS = 2 << 20, 150_000, 2_000_000
+#: Bytes of text worked on at a time, segments remembered in each of two generations, pairs counted before they are combined, and
+#: pairs looked up at a time.
+CHUNK_BYTES, SEGMENTS, HELD_PAIRS, FOUND_PAIRS = 2 << 20, 150_000, 2_000_000, 500_000
+#: Bytes of a row group of the written alignment: its writer and reader hold one, beside the tokenizers.
+GROUP_BYTES = 16 << 20
 #: Links of a group from which on its pairs are formed from distinct ids.
 WIDE = 10_000
+#: What is written between the ids A and B of a group, and between groups.
+MARKS = ";", "|"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 SPACE = "▁"
 #: Fixed value: how a byte-level model cuts texts before it merges bytes.
@@ -47,12 +53,11 @@ class Aligner:
     piece model has a piece that could go over it, the whole text is one segment.
     """
 
-    def __init__(self, contents, lookup=None):
+    def __init__(self, contents, marks=MARKS):
         import sentencepiece
         from tokenizers import Tokenizer
 
         content_a, content_b = contents
-        self.lookup = lookup
         model = json.loads(content_a)
         letters = _byte_letters()
         vocabulary = model["model"]["vocab"]
@@ -74,8 +79,8 @@ class Aligner:
         self.sizes_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(most)], np.int64)
         self.sizes_b = np.array(list(map(len, self.bytes_b)), np.int64)
         # how an id is written, by what comes behind it
-        self.written_a = [[f"{i}{c}" for i in range(most)] for c in ",;"]
-        self.written_b = [[f"{i}{c}" for i in range(len(pieces))] for c in (",", "|", "")]
+        self.written_a = [[f"{i}{c}" for i in range(most)] for c in (",", marks[0])]
+        self.written_b = [[f"{i}{c}" for i in range(len(pieces))] for c in (",", marks[1], "")]
         self.width = len(pieces)
         self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.front = len(self.b.encode("a"))
@@ -121,13 +126,13 @@ class Aligner:
         return b"".join([self.bytes_a[i] for i in ids_a]) == data and b"".join([self.bytes_b[i] for i in ids_b]) == data
 
     def _entries(self, segments):
-        """(tokens A, tokens B, groups, links, groups as text, pairs, times of each pair or None, n_best, count_sum) of each segment;
+        """(tokens A, tokens B, groups, links, groups as text, pairs, times of each pair or None) of each segment;
         (None, ids A, ids B) if the bytes differ."""
         ids_a, ids_b = self._ids(segments)
         good = [i for i, s in enumerate(segments) if self._fits(f" {s}".encode(), ids_a[i], ids_b[i])]
         made = self._aligned([ids_a[i] for i in good], [ids_b[i] for i in good])
         out = [(None, a, b) for a, b in zip(ids_a, ids_b)]
-        for i, entry in zip(good, self._with_counts(made) if self.lookup else made):
+        for i, entry in zip(good, made):
             out[i] = entry
         return out
 
@@ -161,7 +166,7 @@ class Aligner:
             k, own_times = tuple(keys[edge[i] : edge[i + 1]]), None
             if len(k) != m:
                 own_times = tuple(times[edge[i] : edge[i + 1]])
-            out.append((n_a, n_b, n, m, "".join(words[at : stops[i]]), k, own_times, 0, 0))
+            out.append((n_a, n_b, n, m, "".join(words[at : stops[i]]), k, own_times))
             at = stops[i]
         return out
 
@@ -186,16 +191,6 @@ class Aligner:
         new = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (own[1:] != own[:-1])))) if len(pair) else np.zeros(0, np.int64)
         return pair[new], np.add.reduceat(times, new) if len(new) else times, own[new]
 
-    def _with_counts(self, entries):
-        """The entries with the looked up counts of their links."""
-        sizes = np.fromiter((len(e[5]) for e in entries), np.int64, len(entries))
-        keys = np.fromiter((k for e in entries for k in e[5]), np.int64, int(sizes.sum()))
-        times = np.fromiter((n for e in entries for n in (e[6] or (1,) * len(e[5]))), np.int64, len(keys))
-        counts, best = self.lookup.find(keys, keys // self.width)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[ends]).tolist() for x in (times * best, times * counts)]
-        return [(*e[:7], n_best, total) for e, n_best, total in zip(entries, *sums)]
-
     def align(self, texts):
         """Entries of each text; no entry if there is no text or the joined tokens are not its bytes."""
         out = []
@@ -207,7 +202,6 @@ class Aligner:
                 own = ()
                 if self._fits(f" {text}".encode(), *ids):
                     own = self._aligned(*[[i] for i in ids])
-                    own = self._with_counts(own) if self.lookup else own
             out.append(own)
         return out
 
@@ -229,15 +223,22 @@ def _ranks(model, tokens):
 _loaded = {}
 
 
-def _once(contents, lookup=None):
-    """An aligner, made once per Python worker and table of counts."""
-    key = (contents.value[0][:64], len(contents.value[0]), len(contents.value[1]), None if lookup is None else lookup.value.name)
+def _once(contents, marks):
+    """An aligner, made once per Python worker."""
+    key = (contents.value[0][:64], len(contents.value[0]), len(contents.value[1]), marks)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Aligner(contents.value, None if lookup is None else lookup.value)
+        _loaded[key] = Aligner(contents.value, marks)
     return _loaded[key]
 
 
+def _unload():
+    """A worker that has aligned texts needs its memory for the counts now."""
+    if _loaded:
+        _loaded.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def _slices(column):
     """(first row, texts) of a column, about CHUNK_BYTES at a time."""
     texts, size, at = [], 0, 0
@@ -252,14 +253,62 @@ def _slices(column):
         yield at, texts
 
 
-def _count_pairs(contents):
+def _parts_of(values, sizes):
+    """Rows of bytes: the next ``sizes`` of the values each."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))) * values.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def _times_by_text(made, limit):
+    """(pairs, times, how many per text) of the distinct linked pairs of texts, from their entries."""
+    flat, sizes, more = [], [], []
+    for i, own in enumerate(made):
+        before = len(flat)
+        flat.extend(chain.from_iterable([e[5] for e in own]))
+        sizes.append(len(flat) - before)
+        more.extend([(i * limit + pair, n - 1) for e in own if e[6] for pair, n in zip(e[5], e[6]) if n > 1])
+    keys = np.fromiter(flat, np.int64, len(flat)) + np.repeat(np.arange(len(sizes)) * limit, sizes)
+    keys, times = np.unique(keys, return_counts=True)
+    if more:
+        both = np.array(more, np.int64)
+        np.add.at(times, np.searchsorted(keys, both[:, 0]), both[:, 1])
+    return keys % limit, times, np.diff(np.searchsorted(keys, np.arange(len(sizes) + 1) * limit))
+
+
+def _align_texts(contents, marks, limit, kind):
+    """The rows of a task with the alignment of their texts, their distinct pairs and the times of each."""
+
+    def rows(batches):
+        aligner = _once(contents, marks)
+        for batch in batches:
+            for at, texts in _slices(batch.column(1)):
+                made = aligner.align(texts)
+                sums = [[sum([e[i] for e in own]) for own in made] for i in range(4)]
+                groups = [marks[1].join([e[4] for e in own]) for own in made]
+                pairs, times, sizes = _times_by_text(made, limit)
+                # as few bytes as the largest takes; a reader knows them by the length of the row
+                times = times.astype(np.min_scalar_type(int(times.max(initial=0))))
+                columns = [*[pa.array(c, pa.int64()) for c in sums], pa.array(groups, pa.string()), _parts_of(pairs.astype(kind), sizes), _parts_of(times, sizes)]
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), *columns], ["row", *[name for name, _ in _ALIGNED]])
+
+    return rows
+
+
+def _pairs_in(column, kind):
+    """(pairs, how many per row) of a column of written pairs."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // kind.itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64), sizes
+
+
+def _count_pairs(kind):
     """(pair, n): in how many texts of a task a pair is linked."""
 
     def count(batches):
-        aligner, held, sums = _once(contents), [], []
+        _unload()
+        held, sums = [], []
 
         def combine():
-            keys, n = np.unique(np.array(held, np.int64), return_counts=True)
+            keys, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.int64), return_counts=True)
             held.clear()
             sums.append((keys, n))
             if len(sums) > 1:
@@ -268,16 +317,11 @@ def _count_pairs(contents):
                 sums[:] = [(both, total)]
 
         for batch in batches:
-            for _, texts in _slices(batch.column(0)):
-                for own in aligner.align(texts):
-                    linked = set()
-                    for pairs in {e[5] for e in own}:
-                        linked.update(pairs)
-                    held.extend(linked)
-                    if len(held) > HELD_PAIRS:
-                        combine()
-                        if len(sums[0][0]) > HELD_PAIRS:
-                            yield pa.record_batch([pa.array(c) for c in sums.pop()], ["pair", "n"])
+            held.append(_pairs_in(batch.column(0), kind)[0])
+            if sum(map(len, held)) > HELD_PAIRS:
+                combine()
+                if len(sums[0][0]) > HELD_PAIRS:
+                    yield pa.record_batch([pa.array(c) for c in sums.pop()], ["pair", "n"])
         combine()
         yield pa.record_batch([pa.array(c) for c in sums.pop()], ["pair", "n"])
 
@@ -413,10 +457,10 @@ def _with_shard(shards):
     return F.arrow_udf(shard, "int")(F.col("pair"))
 
 
-def pair_table(texts, contents, shard_pairs=SHARD_PAIRS, vector_rows=VECTOR_ROWS):
-    """(shards, table): the distinct linked pairs of the column ``text`` as shards of a minimal perfect hash, a row each
+def pair_table(aligned, kind, shard_pairs=SHARD_PAIRS, vector_rows=VECTOR_ROWS):
+    """(shards, table): the distinct pairs of the column ``pairs`` as shards of a minimal perfect hash, a row each
     with its ``seeds``, the ``pairs`` by cell and the ``vector`` of counts."""
-    partial = written(texts.select("text").mapInArrow(_count_pairs(contents), "pair bigint, n bigint"), "pair-counts")
+    partial = written(aligned.select("pairs").mapInArrow(_count_pairs(kind), "pair bigint, n bigint"), "pair-counts")
     distinct = written(partial.select("pair").distinct(), "pairs")
     rows, n = partial.count(), distinct.count()
     shards = max(1, math.ceil(n / shard_pairs))
@@ -453,28 +497,36 @@ def _blocks(shards, table, width, sent_bytes):
     for k in range(blocks):
         rows = table.filter(F.col("shard") % blocks == k).collect()
         if rows or not k:
-            yield context.broadcast(PairCounts(uuid.uuid4().hex, shards, rows, highest))
+            yield context.broadcast(PairCounts(k, shards, rows, highest))
 
 
-_FIELDS = [("n_a", "bigint"), ("n_b", "bigint"), ("n_groups", "bigint"), ("n_links", "bigint"), ("n_best", "bigint"), ("count_sum", "bigint"), ("groups", "string")]
+#: Columns of the written alignment, and what is looked up for them.
+_ALIGNED = [
+    ("n_a", "bigint"), ("n_b", "bigint"), ("n_groups", "bigint"), ("n_links", "bigint"), ("groups", "string"), ("pairs", "binary"), ("times", "binary"),
+]
+_FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
 
-def _look_up(contents, sent):
-    """The rows of a task with what their texts' links sum up to."""
+def _look_up(sent, kind, width):
+    """What the counts of the links of a row sum up to, from its ``pairs`` and ``times``."""
 
-    def look_up(batches):
-        aligner = _once(contents, sent)
-        for batch in batches:
-            for at, texts in _slices(batch.column(1)):
-                sums, groups = [], []
-                for own in aligner.align(texts):
-                    parts = list(zip(*own))
-                    sums.append([sum(parts[i]) for i in (0, 1, 2, 3, 7, 8)] if own else [0] * 6)
-                    groups.append("|".join(parts[4]) if own else "")
-                columns = [batch.column(0).slice(at, len(texts)), *[pa.array(c, pa.int64()) for c in zip(*sums)], pa.array(groups, pa.string())]
-                yield pa.record_batch(columns, ["row", *[name for name, _ in _FIELDS]])
+    def sums(pairs, times, counts):
+        keys, sizes = _pairs_in(pairs, kind)
+        n = [np.frombuffer(t, f"u{len(t) // m}") for t, m in zip(times.to_pylist(), sizes.tolist()) if m]
+        n = np.concatenate(n).astype(np.int64) if n else np.zeros(0, np.int64)
+        count, best = counts.find(keys, keys // width)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return [np.diff(np.concatenate(([0], np.cumsum(x)))[ends]) for x in (n * best, n * count)]
+
+    def look_up(pairs: pa.Array, times: pa.Array) -> pa.Array:
+        _unload()
+        sizes = pc.binary_length(pairs).to_numpy(zero_copy_only=False).astype(np.int64) // kind.itemsize
+        # whole rows, about FOUND_PAIRS pairs at a time
+        edges = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // FOUND_PAIRS)) + 1).tolist(), len(pairs)]
+        parts = [sums(pairs[low:high], times[low:high], sent.value) for low, high in zip(edges, edges[1:])]
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], ["n_best", "count_sum"])
 
-    return look_up
+    return F.arrow_udf(look_up, "struct<n_best: bigint, count_sum: bigint>")("pairs", "times").alias("found")
 
 
 def _width(content):
@@ -493,35 +545,34 @@ def tokenizers(spark, byte_level, pieces):
     return spark.sparkContext.broadcast(tuple(contents))
 
 
-def align(df, contents, text="text", carry=None, shard_pairs=SHARD_PAIRS, vector_rows=VECTOR_ROWS, sent_bytes=SENT_BYTES):
+def align(df, contents, text="text", carry=None, shard_pairs=SHARD_PAIRS, vector_rows=VECTOR_ROWS, sent_bytes=SENT_BYTES, marks=MARKS):
     """``row`` (struct of the columns ``carry``, all by default) and the alignment of each text by two ``tokenizers`` A and B.
 
     A takes a space and the text, B the text, which gets the space by itself. Places where tokens of both end cut them into
-    groups; ``groups`` has them as ``a1,a2|b1`` would read for two groups: ids A, semicolon, ids B. A link is a token of A and
+    groups; ``groups`` has their ids A, the first of the ``marks``, and their ids B, and the second mark between groups: ``a1,a2;b1|a3;b2``. A link is a token of A and
     one of B in a group; the count of its pair of ids says in how many texts that pair is linked. ``n_best`` links have the
     highest count that their id A has anywhere, ``count_sum`` adds up the counts of all links.
 
     NULL and empty texts, and those whose joined tokens differ from space and text, have no tokens: zeros and ''. Repeated
-    rows count each time. A table of pairs larger than ``sent_bytes`` comes in blocks: the rows are then numbered and
-    written once, and each block is a pass whose sums are added.
+    rows count each time. The alignment is written once, with a number per row. A table of pairs larger than ``sent_bytes`` comes
+    in blocks: each block is a pass over the written pairs whose sums are added.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry)]).alias("row")
     named = df.select(row, F.col(f"`{text}`").cast("string").alias("text"))
     width = _width(contents.value[1])
-    blocks = list(_blocks(*pair_table(named, contents, shard_pairs, vector_rows), width, sent_bytes))
-    fields = [T.StructField(name, T.LongType() if kind == "bigint" else T.StringType()) for name, kind in _FIELDS]
-    if len(blocks) > 1:
-        named = written(named.select(F.struct("row", F.monotonically_increasing_id().alias("at")).alias("row"), "text"), "rows")
-    schema = T.StructType([named.schema["row"], *fields])
-    parts = [named.mapInArrow(_look_up(contents, sent), schema) for sent in blocks]
-    if len(parts) == 1:
-        return parts[0]
-    # the first block gives all that doesn't depend on counts, the others their sums
-    first = parts[0]
-    rest = [p.select(F.col("row.at").alias("at"), "n_best", "count_sum") for p in parts]
-    sums = rest[0]
-    for p in rest[1:]:
+    limit = (max(json.loads(contents.value[0])["model"]["vocab"].values()) + 1) * width
+    kind = np.dtype(np.uint32 if limit < 1 << 32 else np.int64)
+    types = {"bigint": T.LongType(), "string": T.StringType(), "binary": T.BinaryType()}
+    schema = T.StructType([named.schema["row"], *[T.StructField(name, types[of]) for name, of in _ALIGNED]])
+    aligned = named.mapInArrow(_align_texts(contents, tuple(marks), limit, kind), schema).withColumn("at", F.monotonically_increasing_id())
+    aligned = written(aligned, "aligned", group_bytes=GROUP_BYTES)
+    blocks = list(_blocks(*pair_table(aligned, kind, shard_pairs, vector_rows), width, sent_bytes))
+    own = ["row", "n_a", "n_b", "n_groups", "n_links", "groups"]
+    if len(blocks) == 1:
+        return aligned.select(*own, _look_up(blocks[0], kind, width)).select(*own, "found.*").select("row", *_FIELDS)
+    parts = [aligned.select("at", _look_up(sent, kind, width)).select("at", "found.*") for sent in blocks]
+    sums = parts[0]
+    for p in parts[1:]:
         sums = sums.unionByName(p)
     sums = written(sums.groupBy("at").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")), "sums")
-    joined = first.select(F.col("row.row").alias("row"), F.col("row.at").alias("at"), *[n for n, _ in _FIELDS if n not in ("n_best", "count_sum")]).join(sums, "at")
-    return joined.select("row", *[n for n, _ in _FIELDS])
+    return aligned.select("at", *own).join(sums, "at").select("row", *_FIELDS)

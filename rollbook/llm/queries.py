@@ -260,9 +260,8 @@ def op13(spark, folder):
     import public_tokenizers
 
     both = tokenizers(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    aligned = align(documents_of(spark, folder, "doc_id", "text"), both, carry=["doc_id"])
-    # the operator writes a;b|a;b, the contract wants a|b;a|b
-    groups = F.translate("groups", ";|", "|;").cast("binary")
-    digest = F.when(F.col("n_a") > 0, F.sha2(groups, 256)).otherwise("")
+    # the contract wants a|b;a|b
+    aligned = align(documents_of(spark, folder, "doc_id", "text"), both, carry=["doc_id"], marks="|;")
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
     columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     return aligned.select(F.col("row.doc_id").alias("doc_id"), *columns, digest.alias("groups_sha256"))

@@ -29,16 +29,17 @@ def scratch(spark):
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def written(df, name, keep=False):
+def written(df, name, keep=False, group_bytes=None):
     """``df`` written to the shared folder and read back: lineage ends here, and a lost executor
-    costs only its running tasks."""
+    costs only its running tasks. ``group_bytes`` are those of a row group, for wide rows."""
     path = shared_folder(df.sparkSession, f"llm-{name}")
     scope = _scope.get()
     if scope and keep:
         scope = scope[1]
     if scope:
         scope[0].append(path)
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -137,3 +137,23 @@ def test_digest_has_groups_apart_by_semicolons(spark, tmp_path):
         groups = whole(text)
         joined = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups or ())
         assert got[i].groups_sha256 == (hashlib.sha256(joined.encode()).hexdigest() if groups else "")
+
+
+def test_distinct_pairs_and_their_times():
+    from rollbook.llm.alignment import _times_by_text
+
+    texts = ["the cat and the cat the", "", "x", "y" * 3000, "the the the"]
+    pairs, times, sizes = _times_by_text(LOADED.align(texts), 1 << 40)
+    pairs, times = iter(pairs.tolist()), iter(times.tolist())
+    for text, n in zip(texts, sizes.tolist()):
+        got = {next(pairs): next(times) for _ in range(n)}
+        assert got == Counter(a * LOADED.width + b for ga, gb in whole(text) or [] for a in ga for b in gb)
+
+
+def test_texts_are_aligned_once(spark, tmp_path, monkeypatch):
+    """What is left for the result reads the written alignment and no text."""
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(i, prose(i, 30)) for i in range(20)], "doc_id bigint, text string").write.parquet(path)
+    out = align(spark.read.parquet(path), tokenizers(spark, *PATHS), carry=["doc_id"])
+    plan = out._jdf.queryExecution().toString()
+    assert "llm-aligned" in plan and path not in plan
