@@ -25,7 +25,7 @@ SHARD_PAIRS, BUCKET_PAIRS = 200_000, 2
 VECTOR_ROWS, FAN, SENT_BYTES = 1_000_000, 16, 96 << 20
 #: Bytes of text worked on at a time, segments remembered in each of two generations, pairs counted before they are combined, and
 #: pairs looked up at a time.
-CHUNK_BYTES, SEGMENTS, HELD_PAIRS, FOUND_PAIRS = 2 << 20, 150_000, 2_000_000, 500_000
+CHUNK_BYTES, SEGMENTS, HELD_PAIRS, FOUND_PAIRS = 1 << 20, 150_000, 2_000_000, 500_000
 #: Bytes of a row group of the written alignment: its writer and reader hold one, beside the tokenizers.
 GROUP_BYTES = 16 << 20
 #: Links of a group from which on its pairs are formed from distinct ids.
