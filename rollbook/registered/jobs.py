@@ -43,6 +43,7 @@ from .adapters import (
     company_events,
     dbl,
     documents,
+    documents_and_accounts,
     facts,
     filing_events,
     line_parts,
@@ -632,7 +633,7 @@ def jb08(spark, folder):
 )
 def jb08c(spark, folder):
     """Profiles of half of the documents are stored, under another name; known companies stay as they are."""
-    given = documents(spark, folder), accounts(spark, folder)
+    given = documents_and_accounts(spark, folder)
     half = profile_rows(given[0], given[1].filter(C("document").cast("int") % 2 == 0))[0]
     stored = half.withColumn("company_name", F.lit("stored"))
     return plain_profile(profile_rows(*given, companies=stored)[0])

@@ -1,9 +1,10 @@
 """Facts that are dealt out by company: no shuffle of facts behind that, and the same results."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rollbook.operators import drop_exact, largest_absolute, not_processed, with_position
-from rollbook.registered import adapters
+from rollbook.registered import QUERIES, adapters
 
 
 def exchanges(df):
@@ -74,3 +75,42 @@ def test_places_without_a_segment(spark):
     assert placed.columns == ["k", "at", "place"]
     assert sorted(tuple(r) for r in placed.collect() if r.k) == [("a", 5, 1), ("a", 6, 2)]
     assert sorted(tuple(r)[1:] for r in placed.collect() if not r.k) == [(7, 0), (8, 1)]
+
+
+def shuffled_facts(df):
+    """The exchanges that facts pass behind that of the lines of orders."""
+    plan = [(len(line) - len(line.lstrip(" :+-*(0123456789)")), line) for line in df._jdf.queryExecution().executedPlan().toString().split("\n")]
+    found = []
+    for at, (depth, line) in enumerate(plan):
+        below = plan[at + 1 :]
+        end = next((n for n, (d, _) in enumerate(below) if d <= depth), len(below))
+        if "Exchange" in line and "REPARTITION_BY_NUM" not in line and any("Generate" in other for _, other in below[:end]):
+            found.append(line.strip(" :+-"))
+    return found
+
+
+@pytest.fixture
+def orders(spark, tmp_path, monkeypatch):
+    """Lines of orders in two parts, and companies, without broadcasts."""
+    monkeypatch.setattr(adapters, "LINES", 4)
+    folder = lines(spark, tmp_path, [1, 1, 2, 2, 3, None, None, 4])
+    customers = [(n, f"C{n}", n % 2, 1.0, "BUILDING") for n in (1, 2, 3)]
+    spark.createDataFrame(customers, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(0, "N0", 0), (1, "N1", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(0, "R0")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield folder
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+#: Queries, and the columns by which rows that were made of facts are shuffled later.
+DEALT = {
+    "jb08c_profiles_added_to_stored_ones": ["company_number"],
+}
+
+
+@pytest.mark.parametrize("name", DEALT)
+def test_queries_shuffle_no_facts(spark, orders, name):
+    found = shuffled_facts(QUERIES[name](spark, orders))
+    assert all(any(f"hashpartitioning({c}#" in e for c in DEALT[name]) for e in found), found
