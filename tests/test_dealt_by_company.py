@@ -107,6 +107,7 @@ def orders(spark, tmp_path, monkeypatch):
 #: Queries, and the columns by which rows that were made of facts are shuffled later.
 DEALT = {
     "jb08c_profiles_added_to_stored_ones": ["company_number"],
+    "ag15_value_map": [],
 }
 
 
