@@ -108,6 +108,7 @@ def orders(spark, tmp_path, monkeypatch):
 DEALT = {
     "jb08c_profiles_added_to_stored_ones": ["company_number"],
     "ag15_value_map": [],
+    "ag16_only_value": [],
 }
 
 
