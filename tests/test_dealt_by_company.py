@@ -109,6 +109,7 @@ DEALT = {
     "jb08c_profiles_added_to_stored_ones": ["company_number"],
     "ag15_value_map": [],
     "ag16_only_value": [],
+    "ag17_financial_profile": [],
 }
 
 
