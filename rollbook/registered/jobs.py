@@ -682,7 +682,7 @@ def _wide_sql():
     ),
 )
 def jb09(spark, folder):
-    wide = wide_accounts(facts(spark, folder), companies(spark, folder))
+    wide = wide_accounts(facts(spark, folder, ["company_number"]), companies(spark, folder))
     return wide.select(
         "company_number",
         "end_date",

@@ -110,6 +110,7 @@ DEALT = {
     "ag15_value_map": [],
     "ag16_only_value": [],
     "ag17_financial_profile": [],
+    "jb09_wide_accounts": [],
 }
 
 
