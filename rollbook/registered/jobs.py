@@ -618,7 +618,7 @@ def jb07b(spark, folder):
     ),
 )
 def jb08(spark, folder):
-    rows, _, _ = profile_rows(documents(spark, folder), accounts(spark, folder))
+    rows, _, _ = profile_rows(*documents_and_accounts(spark, folder))
     return plain_profile(rows)
 
 

@@ -111,6 +111,7 @@ DEALT = {
     "ag16_only_value": [],
     "ag17_financial_profile": [],
     "jb09_wide_accounts": [],
+    "jb08_profile_rows": [],
 }
 
 
