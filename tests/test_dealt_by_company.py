@@ -112,6 +112,7 @@ DEALT = {
     "ag17_financial_profile": [],
     "jb09_wide_accounts": [],
     "jb08_profile_rows": [],
+    "ag19_largest_absolute": [],
 }
 
 
