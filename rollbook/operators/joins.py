@@ -30,8 +30,24 @@ def in_region(keys, companies, postcodes, counties):
     return keys.join(numbers, "company_number", "left_semi")
 
 
-def join_facts(keys, facts, on=("company_number", "end_date")):
-    return keys.join(facts, list(on))
+def join_near(a, b, keys, near):
+    """The inner join of ``a`` and ``b`` on ``keys``, planned by the key ``near`` alone: rows that lie together by it are not shuffled.
+
+    A value of ``near`` should have no more than some thousand rows in ``b``.
+    """
+    named = {k: f"_{k}" for k in keys}
+    b = b.withColumnsRenamed(named)
+    # for Spark two bounds are no key of the join
+    same = [(F.col(k) >= F.col(own)) & (F.col(k) <= F.col(own)) for k, own in named.items() if k != near]
+    return a.join(b, [F.col(near) == F.col(named[near]), *same]).drop(*named.values())
+
+
+def join_facts(keys, facts, on=("company_number", "end_date"), near=None):
+    """The facts of the keys; ``near``, one of ``on``, says by which one the facts lie together (see ``join_near``)."""
+    if near is None:
+        return keys.join(facts, list(on))
+    rest = [c for c in [*keys.columns, *facts.columns] if c not in on]
+    return join_near(facts, keys, on, near).select(*on, *rest)
 
 
 def scalar_lookup(df, dim, key, col, dim_key=None):

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.operators import drop_exact, largest_absolute, not_processed, with_position
+from rollbook.operators import drop_exact, join_facts, largest_absolute, not_processed, with_position
+from rollbook.operators.joins import join_near
 from rollbook.registered import QUERIES, adapters
 
 
@@ -113,6 +114,7 @@ DEALT = {
     "jb09_wide_accounts": [],
     "jb08_profile_rows": [],
     "ag19_largest_absolute": [],
+    "ag22_dated_summary": [],
 }
 
 
@@ -120,3 +122,13 @@ DEALT = {
 def test_queries_shuffle_no_facts(spark, orders, name):
     found = shuffled_facts(QUERIES[name](spark, orders))
     assert all(any(f"hashpartitioning({c}#" in e for c in DEALT[name]) for e in found), found
+
+
+def test_join_near_a_key(spark):
+    a = spark.createDataFrame([("x", "1", 1), ("x", "1", 2), ("x", "2", 3), ("x", None, 4), (None, "1", 5), ("y", "1", 6)], "k string, d string, n int")
+    b = spark.createDataFrame([("x", "1", "p"), ("x", "1", "q"), ("x", None, "r"), (None, "1", "s"), ("y", "2", "t")], "k string, d string, m string")
+    near = join_near(a, b, ["k", "d"], "k")
+    assert near.columns == ["k", "d", "n", "m"]
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, a.join(b, ["k", "d"]).collect()))
+    plain, facts = join_facts(b, a, ["k", "d"]), join_facts(b, a, ["k", "d"], "k")
+    assert facts.columns == plain.columns and sorted(map(tuple, facts.collect())) == sorted(map(tuple, plain.collect()))
