@@ -27,6 +27,7 @@ from .adapters import (
     documents,
     facts,
     filing_events,
+    line_parts,
     postcodes,
     register_events,
     stamp,
@@ -104,12 +105,15 @@ def jn03(spark, folder):
     ),
 )
 def jn04(spark, folder):
-    rows = facts(spark, folder)
+    parts = line_parts(spark, folder, ["company_number"])
+    rows = facts(spark, folder, parts=parts)
     keys = rows.filter(
         (F.col("label") == "UK Companies House registered number")
         & (F.col("value") == F.col("company_number"))
     )
-    joined = join_facts(key_list(keys, ["company_number", "end_date"]), rows)
+    joined = join_facts(
+        key_list(keys, ["company_number", "end_date"]), rows, near="company_number" if parts[1] else None
+    )
     return joined.groupBy("company_number", "end_date").agg(
         F.count("*").alias("n"), F.max("value").alias("high")
     )
