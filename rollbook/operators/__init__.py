@@ -63,6 +63,7 @@ from .predicates import (  # noqa: F401
     above,
     complete_groups,
     in_values,
+    is_long,
     lookup,
     lookup_misses,
     match_name,

@@ -96,10 +96,14 @@ def null_sentinels(df, cols, tokens=tuple(EMPTY_FACT_TOKENS), decimals=None):
     return out
 
 
+def is_long(cols, n):
+    """Whether the texts together have ``n`` characters or more."""
+    return reduce(lambda a, b: a + b, [F.length(F.coalesce(F.col(c), F.lit(""))) for c in cols]) >= n
+
+
 def route_by_length(df, cols, n):
     """(short, long): rows whose texts together have fewer than ``n`` characters, the others."""
-    total = reduce(lambda a, b: a + b, [F.length(F.coalesce(F.col(c), F.lit(""))) for c in cols])
-    return df.filter(total < n), df.filter(total >= n)
+    return df.filter(~is_long(cols, n)), df.filter(is_long(cols, n))
 
 
 def match_name(df, col, pattern):

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from rollbook.operators import largest_absolute
-from rollbook.plans.accounts import clean_facts
+from rollbook.operators import drop_exact, largest_absolute
+from rollbook.plans.accounts import _split_new, clean_facts
 
 from .conftest import rows
 
@@ -45,3 +45,21 @@ def test_numbers_are_read_once_for_the_largest(spark):
     )
     # a pattern tells numbers, once a row
     assert optimized(found).count("RLIKE") == 1
+
+
+def test_exact_repeats_of_a_flag_are_hashed(spark):
+    made = [("a", True), ("a", False), ("a", None), ("b", None), (None, True), (None, True), ("c", True)]
+    df = spark.createDataFrame(made, "k string, flag boolean")
+    found = drop_exact(df, ["k"], F.col("flag"))
+    assert rows(found) == sorted([("a", False), ("b", None), (None, True), ("c", True)], key=str)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_audit_reads_facts_once(spark, tmp_path):
+    fact_lines(spark).write.parquet(f"{tmp_path}/facts")
+    lines = spark.read.parquet(f"{tmp_path}/facts")
+    scanned = spark.createDataFrame([], "company_number string, accounts_date string")
+    *_, audit, rejected = _split_new(lines, scanned, "2024-01-31")
+    assert rows(audit.select("company_number", "number_of_facts", "number_of_long_facts")) == [("00000000", 2, 1), ("00000001", 3, 0)]
+    assert [r.file_name for r in rejected.collect()] == ["odd"]
+    assert optimized(audit).count("parquet") == 1
