@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rollbook.operators import drop_exact, largest_absolute
-from rollbook.plans.accounts import _split_new, clean_facts
+from rollbook.plans.accounts import _split_new, clean_facts, load_facts
 
 from .conftest import rows
 
@@ -63,3 +63,14 @@ def test_the_audit_reads_facts_once(spark, tmp_path):
     assert rows(audit.select("company_number", "number_of_facts", "number_of_long_facts")) == [("00000000", 2, 1), ("00000001", 3, 0)]
     assert [r.file_name for r in rejected.collect()] == ["odd"]
     assert optimized(audit).count("parquet") == 1
+
+
+def test_companies_of_facts_are_read_once(spark, tmp_path):
+    fact_lines(spark).write.parquet(f"{tmp_path}/facts")
+    lines = spark.read.parquet(f"{tmp_path}/facts")
+    none = lines.withColumn("company_number", F.col("file_company")).limit(0)
+    companies = spark.createDataFrame([("00000001", "known"), ("9", "other")], "number string, name string")
+    scanned = spark.createDataFrame([], "company_number string, accounts_date string")
+    found = load_facts(lines, scanned, companies, none, none, "2024-01-31")["companies"]
+    assert rows(found) == sorted([("00000000", None), ("00000001", "known"), ("9", "other")], key=str)
+    assert optimized(found).count("parquet") == 1
