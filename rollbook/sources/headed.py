@@ -12,10 +12,12 @@ MOST_COLUMNS = 128
 def raw_reader(reader, columns=MOST_COLUMNS, multiline=False, **options):
     """A reader of all lines, header lines too, as text columns ``_c0``, ``_c1``, ...
 
-    There is one column more than allowed, by which ``with_file`` tells that a file is too wide.
+    There is one column more than allowed, by which ``with_file`` tells that a file is too wide, and one behind that which
+    nothing reads: the parser then takes columns by their place, and a line with fewer cells is no error to it. Such an error
+    is raised and caught for each line, which costs far more than the line.
     """
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns + 1)])
-    reader = reader.schema(schema).option("escape", '"').option("multiLine", multiline)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns + 2)])
+    reader = reader.schema(schema).option("escape", '"').option("multiLine", multiline).option("columnPruning", True)
     for name, value in options.items():
         reader = reader.option(name, value)
     return reader
@@ -24,7 +26,7 @@ def raw_reader(reader, columns=MOST_COLUMNS, multiline=False, **options):
 def with_file(lines):
     """Lines as an array of cells, with the file they are from and where it begins. A line with more cells
     than the reader allows ends the job: else its last cells would be lost."""
-    *columns, behind = [c for c in lines.columns if c.startswith("_c")]
+    *columns, behind, _ = [c for c in lines.columns if c.startswith("_c")]
     path = F.col("_metadata.file_path")
     wide = F.raise_error(F.concat(F.lit(f"more than {len(columns)} columns in "), path))
     return lines.select(
@@ -48,15 +50,12 @@ def with_header(lines):
         F.min_by("_cells", F.struct("block_start", "row")).alias("_first")
     )
     path = shared_folder(lines.sparkSession, "heads")
+    heads = heads.withColumn("_head", F.transform("_first", lambda c: F.trim(c)))
     heads.write.parquet(path)
     heads = lines.sparkSession.read.schema(heads.schema).parquet(path)
     named = lines.join(heads, "file_path").filter(~F.col("_cells").eqNullSafe(F.col("_first")))
-    return named.withColumns(
-        {
-            "_head": F.transform("_first", lambda c: F.trim(c)),
-            "seq": F.struct("modified", "file_path", F.col("block_start").alias("at"), "row"),
-        }
-    ).drop("_first", "row", "block_start", "modified")
+    seq = F.struct("modified", "file_path", F.col("block_start").alias("at"), "row")
+    return named.withColumn("seq", seq).drop("_first", "row", "block_start", "modified")
 
 
 def cell(name):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from rollbook.operators import drop_exact, largest_absolute
 from rollbook.plans.accounts import _split_new, clean_facts, load_facts
+from rollbook.sources.headed import raw_reader, with_file
 
 from .conftest import rows
 
@@ -74,3 +75,16 @@ def test_companies_of_facts_are_read_once(spark, tmp_path):
     found = load_facts(lines, scanned, companies, none, none, "2024-01-31")["companies"]
     assert rows(found) == sorted([("00000000", None), ("00000001", "known"), ("9", "other")], key=str)
     assert optimized(found).count("parquet") == 1
+
+
+def test_short_lines_are_no_errors_to_the_reader(spark, tmp_path):
+    """The parser would raise and catch an error for each; with FAILFAST it ends the job."""
+    texts = ["A,B", "1", '"2\n""3""",4', ",5", "1,2,3"]
+    (tmp_path / "short.csv").write_text("\n".join(texts) + "\n")
+    for multiline in (True, False):
+        path = str(tmp_path / "short.csv")
+        lines = with_file(raw_reader(spark.read, 4, multiline=multiline, mode="FAILFAST").csv(path))
+        cells = [[c for c in r._cells if c is not None] for r in lines.collect()]
+        if multiline:
+            assert cells == [["A", "B"], ["1"], ['2\n"3"', "4"], ["5"], ["1", "2", "3"]]
+        assert len(cells) == (5 if multiline else 6)
